@@ -32,9 +32,12 @@ def collapse_ws(c: ColumnOrName) -> Column:
 
 
 def tokens(c: ColumnOrName) -> Column:
-    """``text.split()``: whitespace tokens, empty array for a blank text."""
-    s = strip(c)
-    return F.when(s == "", F.array().cast("array<string>")).otherwise(F.split(s, r"(?U)\s+"))
+    """``text.split()``: whitespace tokens, empty array for a blank text.
+
+    One regex pass: leading/trailing whitespace only yields empty strings,
+    which are removed.
+    """
+    return F.array_remove(F.split(_col(c), r"(?U)\s+", -1), "")
 
 
 def is_blank(c: ColumnOrName) -> Column:

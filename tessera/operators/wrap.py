@@ -20,41 +20,36 @@ MAX_SENTENCE_LENGTH = 200
 ColumnFn = Callable[[Column], Column]
 
 
-def wrap_column(text: Column, max_length: int = MAX_SENTENCE_LENGTH,
-                before_wrap: ColumnFn | None = None, after_wrap: ColumnFn | None = None) -> Column:
-    """P1 as an array expression: the pieces of one line.
+def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text: str = "text",
+               max_length: int = MAX_SENTENCE_LENGTH, before_wrap: ColumnFn | None = None,
+               after_wrap: ColumnFn | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``lines`` → ``pieces(keys…, is_empty, n_pieces, piece_no, text)``.
 
     A line of more than ``max_length`` whitespace tokens becomes
     ``ceil(n / max_length)`` pieces of single-space-joined tokens; any other
     line stays one piece, stripped but with inner whitespace kept.  The hooks
     are P4: ``before_wrap`` runs on the line, ``after_wrap`` on each piece.
+    ``is_empty`` (D4/P5) is judged on the stripped input line; ``n_pieces``
+    travels with each piece so regrouping never needs a second pass.
+
+    Narrow (no shuffle).  The token array is projected as a column before the
+    slicing lambda so Spark computes it once per line, not once per piece.
     """
-    line = T.strip(text)
+    line = T.strip(F.col(text))
     if before_wrap is not None:
         line = before_wrap(line)
-    tok = T.tokens(line)
-    n = F.size(tok)
+    base = lines.select(*keys, *keep, T.is_blank(F.col(text)).alias("is_empty"), line.alias("_line"))
+    base = base.withColumn("_tok", T.tokens("_line")).withColumn("_n", F.size("_tok"))
     m = F.lit(max_length)
-    pieces = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / m).cast("int")),
+    tok = F.col("_tok")
+    sliced = F.transform(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / m).cast("int")),
                          lambda i: F.array_join(F.slice(tok, i * m + 1, m), " "))
     after = after_wrap or (lambda c: c)
-    return F.when(n > m, F.transform(pieces, lambda p: T.strip(after(p)))).otherwise(
-        F.array(T.strip(after(line)) if after_wrap is not None else T.strip(line)))
-
-
-def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text: str = "text",
-               max_length: int = MAX_SENTENCE_LENGTH, before_wrap: ColumnFn | None = None,
-               after_wrap: ColumnFn | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """``lines`` → ``pieces(keys…, piece_no, n_pieces, is_empty, text)``.
-
-    Narrow (no shuffle): each line is split where it lives.  ``is_empty``
-    (D4/P5) is judged on the stripped input line; ``n_pieces`` travels with
-    each piece so regrouping never needs a second pass over the line.
-    """
-    arr = wrap_column(F.col(text), max_length, before_wrap, after_wrap)
-    return (lines.select(*keys, *keep, T.is_blank(F.col(text)).alias("is_empty"), arr.alias("_p"))
-                 .select(*keys, *keep, "is_empty", F.size("_p").alias("n_pieces"),
-                         F.posexplode("_p").alias("piece_no", "text")))
+    pieces = F.when(F.col("_n") > m, F.transform(sliced, lambda p: T.strip(after(p)))).otherwise(
+        F.array(T.strip(after(F.col("_line")))))
+    return (base.select(*keys, *keep, "is_empty", pieces.alias("_p"))
+                .select(*keys, *keep, "is_empty", F.size("_p").alias("n_pieces"),
+                        F.posexplode("_p").alias("piece_no", "text")))
 
 
 def unwrap_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
