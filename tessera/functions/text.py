@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 # The characters the repair step deletes (CR, NUL, ZWNJ, BOM).
-BROKEN_CHARS = "\r\u0000‌﻿"
+BROKEN_CHARS = "\r\u0000\u200c\ufeff"
 
 
 def _col(c: ColumnOrName) -> Column:
