@@ -133,14 +133,16 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     body = rows.filter("_nb").select(file, "block", seq, header.alias("_hdr"), tok.alias("_tok"),
                                      F.coalesce(F.get(parts, 1), F.lit("")).alias("_rest"))
     body = with_alternatives(body, F.col("_rest"), "_m")
-    words = F.when(~F.col("_hdr"), F.col("_m"))
+    # Maps are not orderable, their entry arrays are: collect (seq, token,
+    # entries) and sort natively, then rebuild the maps.
+    entries = F.when(~F.col("_hdr"), F.map_entries("_m"))
     blocks = (body.select(file, "block", F.struct(F.col(seq).alias("s"), F.col("_tok").alias("t"),
-                                                  words.alias("m")).alias("e"))
-              .groupBy(file, "block").agg(F.collect_list("e").alias("_e")))
-    ordered = F.array_sort("_e", lambda l, r: F.signum(l["s"] - r["s"]).cast("int"))
+                                                  entries.alias("m")).alias("e"))
+              .groupBy(file, "block").agg(F.sort_array(F.collect_list("e")).alias("_e")))
+    ordered = F.col("_e")
     text = T.strip(F.array_join(F.transform(
         F.filter(ordered, lambda e: e["t"].isNotNull() & (e["t"] != END_TOKEN)), lambda e: e["t"]), ""))
-    maps = F.transform(F.filter(ordered, lambda e: e["m"].isNotNull()), lambda e: e["m"])
+    maps = F.transform(F.filter(ordered, lambda e: e["m"].isNotNull()), lambda e: F.map_from_entries(e["m"]))
     out = (blocks.select(file, (F.floor(F.col("block") / n_best)).cast("long").alias("item"),
                          (F.col("block") % n_best).cast("int").alias("rank"),
                          text.alias("translation"), maps.alias("nbest_words"))

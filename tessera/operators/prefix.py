@@ -23,33 +23,30 @@ def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> tuple[
     return (F.broadcast(df), True) if n <= limit else (df, False)
 
 
-def exclusive_prefix_sum(df: DataFrame, order_col: str | list[str], value_col: str, out_col: str,
-                         n_buckets: int | None = None) -> DataFrame:
-    """``out = sum(value) over rows with a smaller order_col`` for one row per key.
+def prefix_sum(df: DataFrame, order: str, value: str, out: str, group: list[str] | tuple = (),
+               width: int = 1 << 16) -> DataFrame:
+    """Exclusive running sum of ``value`` ordered by the numeric ``order``
+    column, restarting per ``group`` (W1/W4 and every "offset" the reference
+    keeps as a counter).
 
-    Used for W4 (first global piece of every document).  Rows are range
-    partitioned on ``order_col`` into ``n_buckets`` contiguous ranges; the
-    bucket totals (``n_buckets`` rows, a bound we choose) are prefix-summed in
-    one tiny task and broadcast back; the rest is a window per bucket.
+    Rows are bucketed by ``floor(order / width)``.  Bucket totals form a
+    small table (one row per bucket) whose own running sum gives each
+    bucket's start; the row-level window then only spans one bucket.  No
+    window ever holds a whole group, so a single huge document or file is
+    still split over many tasks, and the plan is deterministic (no
+    checkpoint needed).
     """
-    spark = df.sparkSession
-    order = [order_col] if isinstance(order_col, str) else list(order_col)
-    n = n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order)
-                .withColumn("_bucket", F.spark_partition_id()))
-    # Materialise the bucket assignment once so a retried task cannot see a
-    # different range split; on a cluster this is the shared checkpoint dir.
-    ranged = ranged.checkpoint(eager=True)
-    totals = ranged.groupBy("_bucket").agg(F.sum(value_col).alias("_total"))
-    starts = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_total").over(Window.orderBy("_bucket").rowsBetween(
-            Window.unboundedPreceding, -1)), F.lit(0)).alias("_bucket_start"))
-    within = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(starts), "_bucket")
-            .withColumn(out_col, (F.col("_bucket_start")
-                                  + F.coalesce(F.sum(value_col).over(within), F.lit(0))).cast("long"))
-            .drop("_bucket", "_bucket_start"))
+    group = list(group)
+    b = F.floor(F.col(order) / width).cast("long")
+    df = df.withColumn("_pb", b)
+    totals = df.groupBy(*group, "_pb").agg(F.sum(value).alias("_pt"))
+    wb = Window.partitionBy(*group).orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1) if group else \
+        Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*group, "_pb", F.coalesce(F.sum("_pt").over(wb), F.lit(0)).alias("_ps"))
+    within = Window.partitionBy(*group, "_pb").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (df.join(starts, [*group, "_pb"])
+              .withColumn(out, (F.col("_ps") + F.coalesce(F.sum(value).over(within), F.lit(0))).cast("long"))
+              .drop("_pb", "_ps"))
 
 
 def dense_offsets(rows: DataFrame, group: str, order: list[str], out: str) -> DataFrame:

@@ -12,6 +12,7 @@ from tessera.plans.sqlparts import LINES, PIECES, pieces_sql, with_
 
 BLANKED = ("blanked AS (SELECT doc_id, line_no, CASE WHEN line_no % 17 = 0 THEN '' ELSE text END AS text "
            "FROM lines)")
+from tessera.session import materialize
 from tessera.sources.tables import document_lines, read_table
 
 
@@ -48,24 +49,29 @@ def wrap_unwrap_roundtrip(spark, sf_dir):
     return wrap.unwrap_pieces(hyps)
 
 
-def global_items(pieces: DataFrame) -> DataFrame:
-    """W1/W4 over the whole corpus: the global position of every piece.
-
-    Ordering is (doc_id, line_no, piece_no), the reference's concatenation
-    order.  The prefix sum runs over one row per line and is range-split,
-    so one huge document is still spread over many tasks.
-    """
+def local_items(pieces: DataFrame) -> DataFrame:
+    """Position of every piece inside its own document (the reference's
+    per-file item id): pieces of earlier lines plus ``piece_no``."""
     per_line = pieces.filter("piece_no = 0").select("doc_id", "line_no", "n_pieces")
-    starts = prefix.exclusive_prefix_sum(per_line, ["doc_id", "line_no"], "n_pieces", "line_first")
-    return (pieces.join(starts.select("doc_id", "line_no", "line_first"), ["doc_id", "line_no"])
-            .withColumn("item", (F.col("line_first") + F.col("piece_no")).cast("long"))
-            .drop("line_first"))
+    starts = prefix.prefix_sum(per_line, "line_no", "n_pieces", "_line_first", group=["doc_id"])
+    return (pieces.join(starts.select("doc_id", "line_no", "_line_first"), ["doc_id", "line_no"])
+            .withColumn("local_item", (F.col("_line_first") + F.col("piece_no")).cast("long"))
+            .drop("_line_first"))
 
 
 def doc_ranges(pieces: DataFrame) -> DataFrame:
-    """``doc_stats(doc_id, n_pieces, first_piece)`` — one row per document."""
-    per_doc = (pieces.groupBy("doc_id").agg(F.count("*").alias("n_pieces")))
-    return prefix.exclusive_prefix_sum(per_doc, "doc_id", "n_pieces", "first_piece")
+    """``doc_stats(doc_id, n_pieces, first_piece)`` — one row per document,
+    documents concatenated in ``doc_id`` order."""
+    per_doc = pieces.groupBy("doc_id").agg(F.count("*").alias("n_pieces"))
+    return prefix.prefix_sum(per_doc, "doc_id", "n_pieces", "first_piece")
+
+
+def global_items(pieces: DataFrame) -> DataFrame:
+    """W1/W4 over the whole corpus: the global position of every piece in
+    (doc_id, line_no, piece_no) order = document start + position inside it."""
+    docs = doc_ranges(pieces).select("doc_id", "first_piece")
+    return (local_items(pieces).join(docs, "doc_id")
+            .withColumn("item", F.col("first_piece") + F.col("local_item")).drop("first_piece"))
 
 
 def range_join_items(items: DataFrame, docs: DataFrame, block: int = 1 << 16) -> DataFrame:
@@ -98,7 +104,7 @@ FROM items i JOIN doff d ON i.item >= d.first_piece AND i.item < d.first_piece +
 """)
 def doc_offsets_range_join(spark, sf_dir):
     """W4 + J2: decoder items carry only a global position; give them back their document."""
-    pieces = pieces_of(spark, sf_dir)
+    pieces = materialize(pieces_of(spark, sf_dir))        # stage table, read by three branches
     items = global_items(pieces).select("item")          # what a raw decoder stream knows
     docs = doc_ranges(pieces)
     owned = range_join_items(items, docs)

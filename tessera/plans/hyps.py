@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import nbest, prefix, wrap
-from tessera.plans.corpus import BLANKED, global_items, lines_with_blanks
+from tessera.plans.corpus import BLANKED, lines_with_blanks, local_items
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, pieces_sql, with_
+from tessera.session import materialize
 from tessera.sources.tables import read_table
 
 
@@ -77,23 +78,18 @@ def words_block_lines(hyp: F.Column, item: F.Column) -> F.Column:
     return F.concat(F.array(header), tok_lines, F.array(F.lit("</s> |||  </s> -0.1"), F.lit("")))
 
 
-def words_raw(units: DataFrame, file: str, order: list[str], text: str = "text") -> DataFrame:
+def words_raw(units: DataFrame, file: str, order: str, text: str = "text") -> DataFrame:
     """Write 2-best n-best-words output for every unit (turn or piece).
 
     ``seq`` is dense per ``file``: the line count of each unit is prefix
-    summed over ``order`` with the range-split prefix sum (skew-safe).
+    summed over ``order`` within the file (bucketed, skew-safe).
     """
-    blocks = F.concat(words_block_lines(F.col(text), F.col("_item")),
-                      words_block_lines(F.lower(F.col(text)), F.col("_item")))
-    per_unit = units.select(file, *[c for c in order if c != file], F.col(order[-1]).alias("_item"),
-                            blocks.alias("_lines")).withColumn("_n", F.size("_lines"))
-    starts = prefix.exclusive_prefix_sum(per_unit, order, "_n", "_first")
-    # per-file offset: subtract the file's own first line
-    file_first = starts.groupBy(file).agg(F.min("_first").alias("_file_first"))
-    return (starts.join(file_first, file)
-            .select(F.col(file).alias("src_file"), (F.col("_first") - F.col("_file_first")).alias("_base"),
-                    F.posexplode("_lines").alias("_pos", "line"))
-            .select("src_file", (F.col("_base") + F.col("_pos")).cast("long").alias("seq"), "line"))
+    blocks = F.concat(words_block_lines(F.col(text), F.col(order)),
+                      words_block_lines(F.lower(F.col(text)), F.col(order)))
+    per_unit = units.select(file, order, blocks.alias("_lines")).withColumn("_n", F.size("_lines"))
+    starts = prefix.prefix_sum(per_unit, order, "_n", "_first", group=[file])
+    return (starts.select(F.col(file).alias("src_file"), "_first", F.posexplode("_lines").alias("_pos", "line"))
+            .select("src_file", (F.col("_first") + F.col("_pos")).cast("long").alias("seq"), "line"))
 
 
 @register("nbest_words_blocks", r"""
@@ -112,21 +108,13 @@ FROM t
 def nbest_words_blocks(spark, sf_dir):
     """Parse 2-best n-best-words blocks built from conversations."""
     conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", _hyp().alias("text"))
-    raw = words_raw(conv, "conv_id", ["conv_id", "turn"])
+    raw = materialize(words_raw(conv, "conv_id", "turn"))       # the stored decoder output
     parsed = nbest.parse_nbest_words(raw, n_best=2)
     return parsed.select("src_file", "item", "rank", "translation",
                          F.size("nbest_words").alias("n_positions"),
                          nbest.canonical_words(F.col("nbest_words")).alias("words"))
 
 
-def local_items(pieces: DataFrame) -> DataFrame:
-    """Position of every piece inside its own document (the reference's per-file item id)."""
-    g = global_items(pieces)
-    first = g.groupBy("doc_id").agg(F.min("item").alias("_doc_first"))
-    return g.join(first, "doc_id").withColumn("local_item", F.col("item") - F.col("_doc_first")).drop(
-        "_doc_first", "item")
-
-
 @register("nbest_zip_expand", with_(LINES, BLANKED, pieces_sql("blanked")) + r"""
 , pt AS (SELECT *, CASE WHEN trim(text) = '' THEN 0 ELSE len(regexp_split_to_array(trim(text), '\s+')) END AS nt
          FROM pieces),
@@ -140,8 +128,8 @@ FROM per_line, (SELECT unnest([0, 1]) AS r)
 """)
 def nbest_zip_expand(spark, sf_dir):
     """Stored n-best-words output per document → parse → J1 → zip ranks, blank empties, expand."""
-    pieces = local_items(wrap.wrap_lines(lines_with_blanks(spark, sf_dir)))
-    raw = words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", ["doc_id", "local_item"])
+    pieces = materialize(local_items(wrap.wrap_lines(lines_with_blanks(spark, sf_dir))))   # stage table
+    raw = materialize(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"))
     parsed = nbest.parse_nbest_words(raw, n_best=2)
     hyps = parsed.join(pieces.drop("text").withColumnRenamed("doc_id", "src_file")
                        .withColumnRenamed("local_item", "item"), ["src_file", "item"])

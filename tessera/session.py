@@ -23,6 +23,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Text stages are CPU-bound per byte (regexes, array lambdas): AQE must
+    # not merge small shuffles into one task.  Large inputs are unaffected.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
 
@@ -67,3 +71,14 @@ def scratch_table_dir(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for stage tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def materialize(df):
+    """Cut lineage of an intermediate that several branches of a plan read.
+
+    Reliable ``checkpoint()`` into the shared ``spark.checkpoint.dir`` (never
+    ``localCheckpoint``): the stage survives executor loss and is computed
+    once instead of once per consuming branch.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -12,7 +12,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet scan of one driver table, spread over the cluster if it is too coarse."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition only when the scan has fewer splits than the
+    cluster has cores (e.g. one parquet row group).  On large inputs the
+    file splits already outnumber the cores and the plan is left alone; no
+    key is used, so a hot document cannot skew it."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
