@@ -38,7 +38,8 @@ def batch_decode(pieces: DataFrame, decoder_factory: Callable[[], Decoder], n_be
 
     keys = list(keys or [c for c in pieces.columns if c != text])
     slim = pieces.select(*keys, text)
-    out_schema = slim.drop(text).schema.add("rank", "int").add("translation", "string")
+    from pyspark.sql.types import IntegerType, StringType
+    out_schema = slim.drop(text).schema.add("rank", IntegerType()).add("translation", StringType())
 
     def run(batches):
         decode = decoder_factory()

@@ -77,13 +77,27 @@ def read_big_file_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def folder_listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Every file under ``path`` with its length, including empty ones."""
-    opts = {"recursiveFileLookup": True}
-    if glob:
-        opts["pathGlobFilter"] = glob
-    base = _base_uri(path)
-    return (spark.read.format("binaryFile").options(**opts).load(path)
-            .select(F.regexp_replace("path", "^" + _quote(base), "").alias("doc"), "length"))
+    """Every file under ``path`` with its length, including empty ones.
+
+    Spark's file scans (text, binaryFile) skip zero-byte files, so the
+    listing comes from the Hadoop FileSystem API, the same metadata listing
+    Spark's file index performs on the driver; no file content is read.
+    """
+    import fnmatch
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toString().rstrip("/") + "/"
+    it = fs.listFiles(root, True)
+    rows = []
+    while it.hasNext():
+        st = it.next()
+        name = st.getPath().toString()
+        rel = name[len(base):] if name.startswith(base) else name
+        if glob and not fnmatch.fnmatch(rel.rsplit("/", 1)[-1], glob):
+            continue
+        rows.append((rel, int(st.getLen())))
+    return spark.createDataFrame(rows, "doc string, length long")
 
 
 def _base_uri(path: str) -> str:
