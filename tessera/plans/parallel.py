@@ -191,3 +191,46 @@ def vocab_threshold(spark, sf_dir):
     """Lower-cased token counts, kept at frequency ≥ 5 (map-side partial counts)."""
     toks = lines_of(spark, sf_dir).select(F.explode(T.tokens(F.lower("text"))).alias("token"))
     return toks.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= VOCAB_THRESHOLD)
+
+
+# --- case model and truecasing (N1, F38, F39, J14, W9) ---------------------
+from tessera.operators import truecase as TC  # noqa: E402
+
+TOKENS_SQL = with_(LINES) + r"""
+, tk AS (SELECT doc_id, line_no, CASE WHEN trim(text) = '' THEN []::VARCHAR[]
+                                      ELSE regexp_split_to_array(trim(text), '\s+') END AS tok FROM lines),
+ toks AS (SELECT doc_id, line_no, CAST(unnest(range(0, len(tok))) AS INTEGER) AS pos,
+                 unnest(list_transform(range(1, len(tok) + 1), lambda i:
+                   {'token': tok[i], 'initial': i = 1 OR regexp_matches(tok[i - 1], '[.!?:]$')})) AS t FROM tk),
+ tokens AS (SELECT doc_id, line_no, pos, t.token AS token, t.initial AS initial FROM toks),
+ forms AS (SELECT lower(token) AS lc, token AS surface, count(*) AS n FROM tokens WHERE NOT initial GROUP BY 1, 2),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY lc ORDER BY n DESC, surface) AS r FROM forms),
+ model AS (SELECT lc, max(CASE WHEN r = 1 THEN surface END) AS best, max(CASE WHEN r = 1 THEN n END) AS n_best,
+                  sum(n) AS n_total, list_sort(list(surface)) AS forms FROM ranked GROUP BY lc)
+"""
+
+
+@register("case_model", TOKENS_SQL + """
+SELECT lc, best, CAST(n_best AS BIGINT) AS n_best, CAST(n_total AS BIGINT) AS n_total,
+       CAST(len(forms) AS INTEGER) AS n_forms FROM model""")
+def case_model(spark, sf_dir):
+    """Casing statistics of every word type from non-initial tokens."""
+    model = TC.case_model(TC.token_table(lines_of(spark, sf_dir)))
+    return model.select("lc", "best", "n_best", "n_total", F.size("forms").alias("n_forms"))
+
+
+@register("truecase_lines", TOKENS_SQL + """
+, cased AS (SELECT t.doc_id, t.line_no, t.pos,
+                   CASE WHEN t.initial THEN coalesce(m.best, t.token)
+                        WHEN list_contains(m.forms, t.token) THEN t.token
+                        ELSE coalesce(m.best, t.token) END AS w
+            FROM tokens t LEFT JOIN model m ON m.lc = lower(t.token)),
+ tc AS (SELECT l.doc_id, l.line_no, coalesce(string_agg(c.w, ' ' ORDER BY c.pos), '') AS text
+        FROM lines l LEFT JOIN cased c USING (doc_id, line_no) GROUP BY l.doc_id, l.line_no)
+SELECT doc_id, line_no, text, upper(left(text, 1)) || substr(text, 2) AS detruecased FROM tc""")
+def truecase_lines(spark, sf_dir):
+    """F38/J14 then F39: truecase every line with the corpus case model, and
+    the detruecased (sentence-start upper-cased) form."""
+    tokens = TC.token_table(lines_of(spark, sf_dir))
+    out = TC.truecase(tokens, TC.case_model(tokens))
+    return out.select("doc_id", "line_no", "text", T.detruecase(F.col("text")).alias("detruecased"))
