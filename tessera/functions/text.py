@@ -21,9 +21,14 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Every character Python's ``str.isspace`` accepts (derived by rule, not listed).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip(c: ColumnOrName) -> Column:
-    """Unicode-aware ``str.strip()`` (Spark ``trim`` only removes U+0020)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    """``str.strip()`` exactly: ``btrim`` with Python's whitespace set (Spark
+    ``trim`` only removes U+0020); a plain character-set trim, no regex."""
+    return F.btrim(_col(c), F.lit(PY_WHITESPACE))
 
 
 def collapse_ws(c: ColumnOrName) -> Column:

@@ -126,12 +126,16 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     with a blank line, like the reference's end-of-stream rule.
     """
     rows, files = block_index(raw, file, seq, line, bucket_lines)
-    s = T.strip(F.col(line))
-    header = F.size(F.split(s, r" \|\|\| ", -1)) == 4
-    parts = F.split(s, r"\|\|\|", 2)
-    tok = F.when(~header, F.get(parts, 0))
-    body = rows.filter("_nb").select(file, "block", seq, header.alias("_hdr"), tok.alias("_tok"),
-                                     F.coalesce(F.get(parts, 1), F.lit("")).alias("_rest"))
+    # Literal (non-regex) string functions: a header has exactly three
+    # FIELD_SEPs; a token line is ``token|||rest``.
+    s = F.col("_s")
+    n_sep = (F.length(s) - F.length(F.replace(s, F.lit(FIELD_SEP), F.lit("")))) / len(FIELD_SEP)
+    header = n_sep == 3
+    at = F.instr(s, WORD_SEP)
+    tok = F.when(~header, F.substring_index(s, WORD_SEP, 1))
+    rest = F.when(at > 0, F.expr(f"substr(_s, instr(_s, '{WORD_SEP}') + {len(WORD_SEP)})")).otherwise(F.lit(""))
+    body = (rows.filter("_nb").withColumn("_s", T.strip(F.col(line)))
+            .select(file, "block", seq, header.alias("_hdr"), tok.alias("_tok"), rest.alias("_rest")))
     body = with_alternatives(body, F.col("_rest"), "_m")
     # Maps are not orderable, their entry arrays are: collect (seq, token,
     # entries) and sort natively, then rebuild the maps.
