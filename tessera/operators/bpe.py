@@ -29,6 +29,7 @@ from tessera.session import materialize
 # End-of-word marker and subword continuation mark.
 END_OF_WORD = "</w>"
 CONTINUATION = "@@"
+SPM_MARK = "\u2581"
 SEP = "\u0001"           # symbol separator inside the symbol string (never in text)
 
 
@@ -105,8 +106,12 @@ def segment_word(word: str, ranks: dict) -> list[str]:
     return [s for s in syms if s]
 
 
-def encode_corpus(lines: DataFrame, merges: DataFrame, keys=("doc_id", "line_no"), text: str = "text") -> DataFrame:
-    """``keys…, text`` with every token replaced by ``sub@@ sub@@ sub``."""
+def encode_corpus(lines: DataFrame, merges: DataFrame, keys=("doc_id", "line_no"), text: str = "text",
+                  style: str = "bpe") -> DataFrame:
+    """``keys…, text`` with every token segmented.
+
+    ``style="bpe"``: ``sub@@ sub@@ sub``; ``style="spm"``: ``▁sub sub sub``
+    (word-start marker, SentencePiece's surface form)."""
     import pandas as pd
 
     keys = list(keys)
@@ -117,12 +122,16 @@ def encode_corpus(lines: DataFrame, merges: DataFrame, keys=("doc_id", "line_no"
     def seg(batches):
         ranks = bc.value
         for pdf in batches:
-            yield pd.DataFrame({"word": pdf["word"],
-                                "seg": [f"{CONTINUATION} ".join(segment_word(w, ranks)) for w in pdf["word"]]})
+            if style == "spm":
+                segs = [SPM_MARK + " ".join(segment_word(w, ranks)) for w in pdf["word"]]
+            else:
+                segs = [f"{CONTINUATION} ".join(segment_word(w, ranks)) for w in pdf["word"]]
+            yield pd.DataFrame({"word": pdf["word"], "seg": segs})
 
     toks = lines.select(*keys, F.posexplode_outer(T.tokens(F.col(text))).alias("pos", "word"))
     distinct = toks.select("word").where(F.col("word").isNotNull()).distinct()
-    segs = distinct.mapInPandas(seg, "word string, seg string")
+    # one segmentation per word type, computed once and kept (it is read twice)
+    segs = materialize(distinct.mapInPandas(seg, "word string, seg string"))
     n = segs.count()
     segs = F.broadcast(segs) if n <= BROADCAST_ROW_LIMIT else segs
     joined = toks.join(segs, "word", "left")

@@ -263,3 +263,31 @@ def bpe_learned_roundtrip(spark, sf_dir):
     lines = lines_of(spark, sf_dir)
     enc = BPE.encode_corpus(lines, BPE.learn_merges(lines, BPE_MERGES))
     return enc.select("doc_id", "line_no", T.strip(T.bpe_decode(F.col("text"))).alias("text"))
+
+
+@register("spm_learned_roundtrip", with_(LINES) + r"""
+SELECT doc_id, line_no, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM lines""")
+def spm_learned_roundtrip(spark, sf_dir):
+    """F35 then F32: SentencePiece-style encoding with the learned merges, decoded back."""
+    lines = lines_of(spark, sf_dir)
+    enc = BPE.encode_corpus(lines, BPE.learn_merges(lines, BPE_MERGES), style="spm")
+    return enc.select("doc_id", "line_no", T.spm_decode(F.col("text")).alias("text"))
+
+
+@register("validate_dev_set")
+def validate_dev_set(spark, sf_dir):
+    """Decoder output in training form (tokenised, lower-cased,
+    BPE-split) → BPE decode → detruecase → detokenise → corpus BLEU against
+    the raw references.  Rows-only: the tokeniser is a documented rule subset."""
+    from tessera.functions import processors as P
+    from tessera.operators import scoring
+    from tessera.plans.scoring import turn_pairs
+    pairs = turn_pairs(spark, sf_dir)
+    hyp_lines = pairs.select(F.col("conv_id").alias("doc_id"), F.col("turn").alias("line_no"),
+                             F.lower(P.tokenize(F.regexp_replace("hyp", "\n", " "))).alias("text"))
+    encoded = BPE.encode_corpus(hyp_lines, BPE.learn_merges(hyp_lines, BPE_MERGES))
+    post = P.chain(T.bpe_decode, T.detruecase, P.detokenize)
+    decoded = encoded.select(F.col("doc_id").alias("conv_id"), F.col("line_no").alias("turn"),
+                             post(F.col("text")).alias("hyp"))
+    segs = decoded.join(pairs.select("conv_id", "turn", "ref"), ["conv_id", "turn"])
+    return scoring.corpus_bleu(segs, [], ["conv_id", "turn"])

@@ -111,3 +111,33 @@ def _base_uri(path: str) -> str:
 def _quote(s: str) -> str:
     import re
     return re.escape(s)
+
+
+def read_vocab(spark: SparkSession, path: str, threshold: int = 0) -> DataFrame:
+    """A ``token count`` vocabulary file, kept at frequency ≥ threshold."""
+    v = spark.read.csv(path, sep=" ", schema="token string, n long")
+    return v.filter(F.col("n") >= threshold) if threshold else v
+
+
+PARSED_SCHEMA = ("id long, translation array<string>, "
+                 "nbest_words array<array<map<string,string>>>")
+
+
+def read_parsed(spark: SparkSession, path: str) -> DataFrame:
+    """Re-read json-lines items written by a parse stage, with a fixed schema."""
+    return spark.read.schema(PARSED_SCHEMA).json(path)
+
+
+def read_tags(lines: DataFrame, column: str = "value") -> DataFrame:
+    """A tag side file (one JSON list of [placeholder, original] per line)."""
+    from tessera.operators.placeholders import TAGS_TYPE
+    pairs = F.from_json(F.col(column), "array<array<string>>")
+    tags = F.transform(pairs, lambda p: F.struct(p[0].alias("placeholder"), p[1].alias("original")))
+    return lines.withColumn("tags", tags.cast(TAGS_TYPE))
+
+
+def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
+    """Fail early on an empty input (``isEmpty`` reads at most one row)."""
+    if df.isEmpty():
+        raise ValueError(f"{what} is empty")
+    return df

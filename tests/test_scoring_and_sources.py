@@ -92,3 +92,20 @@ def test_routing_errors(spark):
     assert out[("es", "en")][1].startswith("ambiguous")
     assert out[("zz", "en")][1].startswith("unrecognized")
     assert out[("en", "kk")] == ("kkenru", None)
+
+
+def test_tags_side_file_and_vocab(spark):
+    from tessera.operators import placeholders as PH
+    from tessera.sources import sinks
+    from tessera.sources.tables import read_tags, read_vocab, require_rows
+    d = tempfile.mkdtemp(prefix="tessera-sink-")
+    df = spark.createDataFrame([("a", 0, "mail x@y.org now")], "doc string, line_no long, text string")
+    ext = PH.extract_placeholders(df, "text", "masked", "tags")
+    sinks.write_tags(ext, f"{d}/tags")
+    back = read_tags(spark.read.parquet(f"{d}/tags"), "tags").first()
+    assert [(t.placeholder, t.original) for t in back.tags] == [("[EML0]", "x@y.org")]
+    with open(f"{d}/vocab.txt", "w") as f:
+        f.write("the 10\ncat 2\nsat 5\n")
+    assert {r.token for r in read_vocab(spark, f"{d}/vocab.txt", 5).collect()} == {"the", "sat"}
+    with pytest.raises(ValueError):
+        require_rows(df.filter("false"))
