@@ -55,8 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext (Spark Connect)
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)

@@ -21,11 +21,12 @@ def spread(df: DataFrame) -> DataFrame:
     cluster has cores (e.g. one parquet row group).  On large inputs the
     file splits already outnumber the cores and the plan is left alone; no
     key is used, so a hot document cannot skew it."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no SparkContext (e.g. Spark Connect): leave the plan alone
+        return df
+    return df.repartition(cores) if parts < cores else df
 
 
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",

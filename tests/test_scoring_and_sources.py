@@ -109,3 +109,23 @@ def test_tags_side_file_and_vocab(spark):
     assert {r.token for r in read_vocab(spark, f"{d}/vocab.txt", 5).collect()} == {"the", "sat"}
     with pytest.raises(ValueError):
         require_rows(df.filter("false"))
+
+
+def test_big_file_line_numbers_across_splits(spark):
+    from tessera.sources.tables import read_big_file_lines
+    d = tempfile.mkdtemp(prefix="tessera-big-")
+    lines = [f"line {i} " + "x" * (i % 37) for i in range(3000)]
+    with open(f"{d}/big.txt", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(f"{d}/small.txt", "w") as f:
+        f.write("a\r\nb")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_big_file_lines(spark, d)
+        assert df.rdd.getNumPartitions() > 10
+        got = {(r.doc.rsplit("/", 1)[-1], r.line_no): r.text for r in df.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert {k: v for k, v in got.items() if k[0] == "big.txt"} == {("big.txt", i): t for i, t in enumerate(lines)}
+    assert got[("small.txt", 0)] == "a" and got[("small.txt", 1)] == "b"
