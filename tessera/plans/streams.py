@@ -92,7 +92,7 @@ def stream_join(spark, sf_dir):
     joined = jobs.correlate(req, res).select(
         F.col("q.request_id").alias("request_id"), "user_id", "event_type", "payload",
         F.round(F.col("value") * 1000).cast("long").alias("latency_ms"))
-    jobs.run_available_now(joined, f"{base}/out", f"{base}/ckpt")
+    jobs.run_available_now(joined, f"{base}/out", f"{base}/ckpt", state_partitions=0)
     return spark.read.parquet(f"{base}/out")
 
 
@@ -119,5 +119,5 @@ def stream_sentence_ids(spark, sf_dir):
               .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{base}/in"))
     ids = jobs.running_ids(stream.select("source", "doc_id", "line_no"), "source", ["doc_id", "line_no"],
                            "source string, doc_id long, line_no long, sent_id long")
-    jobs.run_available_now(ids, f"{base}/out", f"{base}/ckpt")
+    jobs.run_available_now(ids, f"{base}/out", f"{base}/ckpt", state_partitions=0)
     return spark.read.parquet(f"{base}/out")

@@ -30,9 +30,31 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _cores(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, partition_by: list[str] | None = None,
-                      fmt: str = "parquet", timeout_s: int = 600) -> None:
-    """Drain everything available into ``sink`` and stop (T4)."""
+                      fmt: str = "parquet", timeout_s: int = 600, state_partitions: int | None = None) -> None:
+    """Drain everything available into ``sink`` and stop (T4).
+
+    A stateful query fixes its number of state-store partitions at its first
+    run (then it is kept in the checkpoint); ``state_partitions`` sizes it to
+    the cluster's cores instead of the session's batch shuffle setting."""
+    spark = stream.sparkSession
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions or _cores(spark)))
+    try:
+        _start_and_wait(stream, sink, checkpoint, partition_by, fmt, timeout_s)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _start_and_wait(stream, sink, checkpoint, partition_by, fmt, timeout_s):
     w = stream.writeStream.format(fmt).option("checkpointLocation", checkpoint).outputMode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)
