@@ -44,7 +44,7 @@ def parse_nbest(raw: DataFrame, n_best: int = 1, file: str = "src_file", seq: st
         F.when(has, F.get(parts, 2)).alias("features"),
         F.when(has, F.get(parts, 3)).alias("score"))
     per_file = raw.groupBy(file).agg(F.count("*").alias("_n_lines"))
-    out = (hyps.join(per_file, file)
+    out = (hyps.hint("merge").join(per_file, file)
            .filter(F.col("item") < F.floor(F.col("_n_lines") / n_best))
            .drop("_n_lines"))
     if n_items is not None:                       # L1: first n items of each file
@@ -85,8 +85,14 @@ def block_index(raw: DataFrame, file: str = "src_file", seq: str = "seq", line:
                    wf.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
     files = buckets.groupBy(file).agg(F.sum("_starts").alias("n_blocks"),
                                       F.max_by("_tail_nb", "_bkt").alias("ends_open"))
+    # Per-file totals ride along with the small bucket table, so no row-level
+    # join on ``file`` alone is needed (one huge file would land in one task).
+    small = buckets.select(file, "_bkt", "_seed_prev", "_offset").join(files, file)
     start = F.col("_nb") & ~F.coalesce(F.col("_prev_nb"), F.col("_seed_prev"))
-    rows = (df.join(buckets.select(file, "_bkt", "_seed_prev", "_offset"), [file, "_bkt"])
+    # ``merge``: the row side is already hash-partitioned on (file, _bkt) by
+    # the window above, so only the small table moves, and AQE cannot turn the
+    # row side into a broadcast that would collapse the downstream parallelism.
+    rows = (df.hint("merge").join(small, [file, "_bkt"])
               .withColumn("_start", start.cast("long"))
               .withColumn("_run", F.sum("_start").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
               .withColumn("block", F.when(F.col("_nb"), F.col("_offset") + F.col("_run") - 1))
@@ -135,22 +141,24 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     tok = F.when(~header, F.substring_index(s, WORD_SEP, 1))
     rest = F.when(at > 0, F.expr(f"substr(_s, instr(_s, '{WORD_SEP}') + {len(WORD_SEP)})")).otherwise(F.lit(""))
     body = (rows.filter("_nb").withColumn("_s", T.strip(F.col(line)))
-            .select(file, "block", seq, header.alias("_hdr"), tok.alias("_tok"), rest.alias("_rest")))
+            .select(file, "block", seq, "n_blocks", "ends_open", header.alias("_hdr"), tok.alias("_tok"),
+                    rest.alias("_rest")))
     body = with_alternatives(body, F.col("_rest"), "_m")
     # Maps are not orderable, their entry arrays are: collect (seq, token,
     # entries) and sort natively, then rebuild the maps.
     entries = F.when(~F.col("_hdr"), F.map_entries("_m"))
-    blocks = (body.select(file, "block", F.struct(F.col(seq).alias("s"), F.col("_tok").alias("t"),
-                                                  entries.alias("m")).alias("e"))
-              .groupBy(file, "block").agg(F.sort_array(F.collect_list("e")).alias("_e")))
+    blocks = (body.select(file, "block", "n_blocks", "ends_open",
+                          F.struct(F.col(seq).alias("s"), F.col("_tok").alias("t"), entries.alias("m")).alias("e"))
+              .groupBy(file, "block").agg(F.sort_array(F.collect_list("e")).alias("_e"),
+                                          F.first("n_blocks").alias("n_blocks"),
+                                          F.first("ends_open").alias("ends_open")))
     ordered = F.col("_e")
     text = T.strip(F.array_join(F.transform(
         F.filter(ordered, lambda e: e["t"].isNotNull() & (e["t"] != END_TOKEN)), lambda e: e["t"]), ""))
     maps = F.transform(F.filter(ordered, lambda e: e["m"].isNotNull()), lambda e: F.map_from_entries(e["m"]))
     out = (blocks.select(file, (F.floor(F.col("block") / n_best)).cast("long").alias("item"),
                          (F.col("block") % n_best).cast("int").alias("rank"),
-                         text.alias("translation"), maps.alias("nbest_words"))
-           .join(files, file)
+                         text.alias("translation"), maps.alias("nbest_words"), "n_blocks", "ends_open")
            .filter((F.col("item") < F.floor(F.col("n_blocks") / n_best)) | F.col("ends_open"))
            .drop("n_blocks", "ends_open"))
     if n_items is not None:

@@ -44,6 +44,8 @@ def prefix_sum(df: DataFrame, order: str, value: str, out: str, group: list[str]
         Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(*group, "_pb", F.coalesce(F.sum("_pt").over(wb), F.lit(0)).alias("_ps"))
     within = Window.partitionBy(*group, "_pb").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    # ``merge``: keep the row side's partitioning on (group, _pb) for the window
+    # below; AQE must not broadcast the row side (it would collapse parallelism).
     return (df.join(starts, [*group, "_pb"])
               .withColumn(out, (F.col("_ps") + F.coalesce(F.sum(value).over(within), F.lit(0))).cast("long"))
               .drop("_pb", "_ps"))
