@@ -94,19 +94,23 @@ def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str
                 refs: Sequence[str] = ("ref",)) -> DataFrame:
     """BLEU per ``group`` (e.g. test set) → ``group…, bleu, bp, sys_len, ref_len, p1..p4``."""
     group, seg_key = list(group), list(seg_key)
-    if not group:   # one corpus: group on a constant instead of joining 1×1 aggregates
-        res = corpus_bleu(segments.withColumn("_corpus", F.lit(0)), ["_corpus"], seg_key, hyp, refs)
-        return res.drop("_corpus")
     keys = group + seg_key
     cols = {"h": hyp, **{f"r{i}": r for i, r in enumerate(refs)}}
     tok = _tokens_once(segments, keys, cols)
     stats = ngram_stats(tok, keys, list(cols))
     per_n = stats.groupBy(*group, "n").agg(F.sum("_clip").alias("correct"), F.sum("_ch").alias("total"))
-    lens = lengths(tok, keys, list(cols)).groupBy(*group).agg(
-        F.sum("sys_len").alias("sys_len"), F.sum("ref_len").alias("ref_len"))
-    wide = per_n.groupBy(*group).agg(
+    lens = lengths(tok, keys, list(cols)).select(*group, "sys_len", "ref_len")
+    # n-gram totals and lengths meet in ONE aggregation (a union), not a join
+    null = F.lit(None).cast("long")
+    both = (per_n.select(*group, F.col("n").cast("long").alias("n"), F.col("correct").cast("long").alias("correct"),
+                         F.col("total").cast("long").alias("total"), null.alias("sys_len"), null.alias("ref_len"))
+            .unionByName(lens.select(*group, null.alias("n"), null.alias("correct"), null.alias("total"),
+                                     F.col("sys_len").cast("long").alias("sys_len"),
+                                     F.col("ref_len").cast("long").alias("ref_len"))))
+    out = both.groupBy(*group).agg(
         *[F.sum(F.when(F.col("n") == n, F.col("correct"))).alias(f"{n}_c") for n in range(1, MAX_ORDER + 1)],
-        *[F.sum(F.when(F.col("n") == n, F.col("total"))).alias(f"{n}_t") for n in range(1, MAX_ORDER + 1)])
+        *[F.sum(F.when(F.col("n") == n, F.col("total"))).alias(f"{n}_t") for n in range(1, MAX_ORDER + 1)],
+        F.sum("sys_len").alias("sys_len"), F.sum("ref_len").alias("ref_len"))
     cols_n = {n: (F.coalesce(F.col(f"{n}_c"), F.lit(0)), F.coalesce(F.col(f"{n}_t"), F.lit(0)))
               for n in range(1, MAX_ORDER + 1)}
     # exponential smoothing: the k-th order with zero matches gets 100 / (2^k * total)
@@ -117,7 +121,6 @@ def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str
         zeros = zeros + (c == 0).cast("int")
         prec[n] = F.when(t == 0, F.lit(0.0)).when(c == 0, F.lit(100.0) / (F.pow(F.lit(2.0), zeros) * t)) \
                    .otherwise(F.lit(100.0) * c / t)
-    out = lens.join(wide, group, "left")
     log_sum = sum((F.log(F.greatest(prec[n], F.lit(1e-300))) for n in range(1, MAX_ORDER + 1)), F.lit(0.0))
     any_zero = F.greatest(*[(prec[n] <= 0).cast("int") for n in prec]) > 0
     bp = F.when(F.col("sys_len") >= F.col("ref_len"), F.lit(1.0)).when(F.col("sys_len") == 0, F.lit(0.0)) \
