@@ -121,3 +121,10 @@ def test_parse_nbest_lines_and_topk(spark):
     assert rows == [(0, 0, "a b", "-2.0"), (0, 1, "a c", "-1.0")]       # incomplete item 1 dropped
     best = nbest.top_k(df, 1).collect()
     assert [(r.translation, r.rank) for r in best] == [("a c", 0)]
+
+
+def test_n_items_reads_first_items_only(spark):
+    got = nbest.parse_nbest_words(raw_table(spark, TWO_BEST), n_best=2, n_items=1).collect()
+    assert sorted((r.item, r.rank) for r in got) == [(0, 0), (0, 1)]
+    text = "0 ||| a ||| F0= 1 ||| -1\n1 ||| b ||| F0= 1 ||| -1\n2 ||| c ||| F0= 1 ||| -1\n"
+    assert [r.item for r in nbest.parse_nbest(raw_table(spark, text), 1, n_items=2).collect()] == [0, 1]
