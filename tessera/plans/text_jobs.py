@@ -133,9 +133,14 @@ def remove_punct(spark, sf_dir):
     return lines.select("doc_id", "line_no", N.remove_punct_tokens(F.col("text")).alias("text"))
 
 
-@register("cap_repetitions")
+@register("cap_repetitions", with_(LINES) + r"""
+SELECT doc_id, line_no,
+       list_reduce(regexp_extract_all(text, '(?s).'),
+                   lambda acc, c: CASE WHEN right(acc, 2) = c || c THEN acc ELSE acc || c END, '') AS text
+FROM lines""")
 def cap_repetitions(spark, sf_dir):
-    """characters repeated 3+ times are cut to 2 (rows-only: RE2 has no back-references)."""
+    """characters repeated 3+ times are cut to 2.  (The oracle has no
+    back-references, so it folds over the characters instead.)"""
     lines = lines_of(spark, sf_dir)
     return lines.select("doc_id", "line_no", N.cap_repetitions(F.col("text"), 2).alias("text"))
 
