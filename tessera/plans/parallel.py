@@ -153,7 +153,7 @@ WITH m AS (SELECT conv_id, turn, text,
 v AS (SELECT *, string_split(trim(text), chr(10)) AS lines,
              CASE WHEN query IS NULL THEN NULL ELSE string_split(trim(query), chr(10)) END AS qs FROM m),
 e AS (SELECT *, CASE WHEN qs IS NOT NULL AND len(qs) <> len(lines) THEN 'number of queries does not match number of lines' END AS error FROM v)
-SELECT conv_id, turn, NULL::BIGINT AS line_no, NULL::VARCHAR AS text, error FROM e WHERE error IS NOT NULL
+SELECT conv_id, turn, CAST(-1 AS BIGINT) AS line_no, NULL::VARCHAR AS text, error FROM e WHERE error IS NOT NULL
 UNION ALL
 SELECT conv_id, turn, CAST(unnest(range(0, len(lines))) AS BIGINT) AS line_no,
        unnest(list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN qs IS NULL THEN trim(lines[i])
@@ -169,8 +169,9 @@ def request_validation(spark, sf_dir):
     err = F.when(F.col("qs").isNotNull() & (F.size("qs") != F.size("lines")),
                  F.lit("number of queries does not match number of lines"))
     m = m.withColumn("error", err)
+    # an error row belongs to the whole message: line id -1 (no line)
     bad = m.filter(F.col("error").isNotNull()).select(
-        "conv_id", "turn", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("text"), "error")
+        "conv_id", "turn", F.lit(-1).cast("long").alias("line_no"), F.lit(None).cast("string").alias("text"), "error")
     good = m.filter(F.col("error").isNull())
     zipped = F.arrays_zip(F.col("lines").alias("l"), F.coalesce(F.col("qs"), F.array().cast("array<string>")).alias("q"))
     rows = good.select("conv_id", "turn", "qs", F.posexplode(zipped).alias("line_no", "z"))

@@ -51,7 +51,7 @@ l AS (SELECT conv_id, turn, CAST(unnest(range(0, len(lines))) AS BIGINT) AS id,
                   ELSE trim(lines[i]) || ' ||| ' || trim(qs[i]) END)) AS line
       FROM e WHERE error IS NULL),
 t AS (SELECT *, CASE WHEN trim(line) = '' THEN []::VARCHAR[] ELSE regexp_split_to_array(trim(line), '\s+') END AS tok FROM l)
-SELECT conv_id, turn, NULL::BIGINT AS id, NULL::VARCHAR AS translation,
+SELECT conv_id, turn, CAST(-1 AS BIGINT) AS id, NULL::VARCHAR AS translation,
        'number of queries does not match number of lines' AS error FROM e WHERE error IS NOT NULL
 UNION ALL
 SELECT conv_id, turn, id, CASE WHEN trim(line) = '' THEN '' WHEN len(tok) > 200 THEN array_to_string(tok, ' ')

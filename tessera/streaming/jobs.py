@@ -93,8 +93,9 @@ def translate_requests(stream: DataFrame, max_length: int = 200,
     m = stream.select("conv_id", "turn", lines.alias("lines"), qs.alias("qs"))
     m = m.withColumn("error", F.when(F.col("qs").isNotNull() & (F.size("qs") != F.size("lines")),
                                      F.lit("number of queries does not match number of lines")))
+    # an error response belongs to the whole message: id -1 (no line)
     bad = m.filter(F.col("error").isNotNull()).select(
-        "conv_id", "turn", F.lit(None).cast("long").alias("id"), F.lit(None).cast("string").alias("translation"),
+        "conv_id", "turn", F.lit(-1).cast("long").alias("id"), F.lit(None).cast("string").alias("translation"),
         "error")
     zipped = F.arrays_zip(F.col("lines").alias("l"), F.coalesce(F.col("qs"), F.array().cast("array<string>")).alias("q"))
     rows = m.filter(F.col("error").isNull()).select("conv_id", "turn", "qs", F.posexplode(zipped).alias("id", "z"))
