@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, simhash, url_filter
+from tessera.llm import exact_dedup, mixing, simhash, toxicity, url_filter
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -65,6 +65,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def mixing_sql(marginals=mixing.MARGINALS, sweeps: int = 40, seed: int = 7) -> str:
     """The raking, unrolled as a chain of CTEs."""
     names = [m.name for m in marginals]
