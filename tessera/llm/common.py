@@ -45,6 +45,12 @@ def drop_staged(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def without(docs: DataFrame, key: str, lost: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose key is in ``lost(key)``; rows without a key stay."""
+    rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"))
+    return rows.join(lost.select(F.col("key").alias("gone")), F.col("key") == F.col("gone"), "left_anti").select("doc.*")
+
+
 def ascii_lower(col):
     """A-Z lower-cased, nothing else."""
     return F.translate(col, UPPER, LOWER)

@@ -70,13 +70,11 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     Copies of a heavy text that are not its winner leave on the map side; only
     what is left is shuffled by digest, so no heavy group meets in one task.
     """
-    names = docs.columns
-    digests = staged(docs.select(F.col(key).alias("doc_id"), text_digest(F.col(text)).alias("digest"),
-                                 F.lit(0).alias("row")), "digests")
-    heavy = staged(verified_winners(digests, slots, winners).select(
-        F.col("digest").alias("_digest"), F.col("keep.doc_id").alias("_winner"), F.lit(True).alias("_heavy")), "winners")
-    rows = docs.select("*", text_digest(F.col(text)).alias("_digest"))
-    rest = (rows.join(F.broadcast(heavy), "_digest", "left")
-                .where(F.col("_heavy").isNull() | F.col(key).eqNullSafe(F.col("_winner"))))
-    order = Window.partitionBy("_digest").orderBy(F.col(key).desc_nulls_last())
-    return rest.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*names)
+    rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("doc_id"), text_digest(F.col(text)).alias("digest"))
+    digests = staged(rows.select("doc_id", "digest", F.lit(0).alias("row")), "digests")
+    heavy = staged(verified_winners(digests, slots, winners).select("digest", F.col("keep.doc_id").alias("winner"),
+                                                                     F.lit(True).alias("heavy")), "winners")
+    rest = (rows.join(F.broadcast(heavy), "digest", "left")
+                .where(F.col("heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("winner"))))
+    order = Window.partitionBy("digest").orderBy(F.col("doc_id").desc_nulls_last())
+    return rest.withColumn("n", F.row_number().over(order)).where("n = 1").select("doc.*")

@@ -104,7 +104,8 @@ def hash_unit(key: Column, seed: int) -> Column:
 
 def mix(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", text: str = "text", topic=topic_of,
         seed: int = 7) -> DataFrame:
-    """``docs`` with ``_tokens, _topic, _probability, _kept`` added.
+    """One row per row of ``docs``: ``doc`` (all its columns), the dimensions,
+    ``tokens, probability, kept``.
 
     The cells are aggregated before any shuffle of rows, and each document
     gets its probability by a join with the cell table, on the cell; that
@@ -112,22 +113,24 @@ def mix(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", text: str = "
     languages are values of their own.  Repeated ids share one random number.
     An empty table gives an empty result.
     """
-    rows = docs.withColumn("_tokens", tokens_of(F.col(text)))
-    rows = rows.withColumn("_topic", topic(F.col(text), F.col("_tokens")))
-    dims = [(m.name, "_topic" if m.name == "topic" else m.name) for m in marginals]
-    cells = staged(rows.groupBy(*[F.col(c).alias(n) for n, c in dims]).agg(F.sum("_tokens").alias("tokens")), "cells")
+    names = [m.name for m in marginals]
+    rows = docs.select(F.struct("*").alias("doc"), tokens_of(F.col(text)).alias("tokens"))
+    whole = F.col("doc").getField(text)
+    rows = rows.select("*", *[(topic(whole, F.col("tokens")) if n == "topic" else F.col("doc").getField(n)).alias(n) for n in names])
+    cells = staged(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
     rated = rake(cells, marginals).withColumn("rate", F.col("weight") / F.col("tokens"))
     top = rated.agg(F.max("rate").alias("r")).first()["r"]
-    rated = rated.select(*[F.col(n).alias(f"_c_{n}") for n, _ in dims],
-                         F.round(F.col("rate") / F.lit(top), DIGITS).alias("_probability"))
-    on = [F.col(c).eqNullSafe(F.col(f"_c_{n}")) for n, c in dims]
-    joined = rows.join(rated, on).drop(*[f"_c_{n}" for n, _ in dims])
-    return joined.withColumn("_kept", hash_unit(F.col(key), seed) < F.col("_probability"))
+    rated = rated.select(*[F.col(n).alias(f"_{n}") for n in names], F.round(F.col("rate") / F.lit(top), DIGITS).alias("probability"))
+    joined = rows.join(rated, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]).drop(*[f"_{n}" for n in names])
+    return joined.withColumn("kept", hash_unit(F.col("doc").getField(key), seed) < F.col("probability"))
 
 
 def sample_plan(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """One row per document: its cell, tokens, probability and whether it is sampled."""
-    need = docs.select(key, "text", "source", "lang")
-    return mix(need, marginals, key, seed=seed).select(
-        key, "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
-        F.col("_probability").alias("probability"), F.col("_kept").alias("kept"))
+    """One row per document: id, cell, tokens, probability and whether it is sampled; see :func:`mix`."""
+    return mix(docs, marginals, key, seed=seed).select(
+        F.col("doc").getField(key).alias(key), *[m.name for m in marginals], "tokens", "probability", "kept")
+
+
+def sample(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
+    """The sampled rows of ``docs``, all their columns; see :func:`mix`."""
+    return mix(docs, marginals, key, seed=seed).where("kept").select("doc.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import exact_dedup, mixing, simhash, toxicity, url_filter
+from tessera.llm import decontaminate, exact_dedup, mixing, simhash, toxicity, url_filter
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -65,6 +65,30 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
 
 
+OP6_SQL = r"""
+WITH words AS (
+  SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[a-z0-9\x{80}-\x{10FFFF}]+') AS w FROM documents
+  UNION ALL
+  SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[a-z0-9\x{80}-\x{10FFFF}]+') FROM benchmark
+), shingles AS (
+  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
+         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words WHERE len(w) > 0
+), sizes AS (SELECT id, count(*)::INTEGER AS shingles FROM shingles WHERE kind = 'i' GROUP BY id)
+SELECT d.id AS doc_id, i.id AS item_id, count(*)::INTEGER AS shared, any_value(z.shingles) AS shingles,
+       count(*)::INTEGER / any_value(z.shingles) AS containment
+FROM shingles i JOIN shingles d ON d.kind = 'd' AND i.kind = 'i' AND d.s = i.s JOIN sizes z ON z.id = i.id
+GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(z.shingles)
+"""
+
+
+@query("op6_decontaminate", OP6_SQL)
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import UPPER, LOWER, components, staged
+from tessera.llm.common import UPPER, LOWER, components, staged, without
 
 BITS = 64
 SHINGLE = 4
@@ -172,5 +172,5 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     smallest id.  Rows that share that id are one document and all stay, and
     rows without an id cannot be named as a copy, so they stay too."""
     groups = near_groups(docs, key, text, shingle, distance)
-    lost = staged(groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_lost")).distinct(), "lost")
-    return docs.join(lost, F.col(key) == F.col("_lost"), "left_anti")
+    lost = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
+    return without(docs, key, staged(lost, "lost"))

@@ -191,6 +191,12 @@ def with_scores(docs: DataFrame, model: Model | None, text: str = "text", score:
     return docs.withColumn(score, probability(F.col(text)))
 
 
+def drop_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without the rows that the classifier rejects; see :func:`classify`."""
+    rows = docs.select(F.struct("*").alias("doc"), F.col(text).alias("text"))
+    return with_scores(rows, train(docs, labels)).where(F.col("score") < threshold).select("doc.*")
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
