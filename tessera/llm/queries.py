@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, mixing, secrets, simhash, toxicity, url_filter
+from tessera.llm import decontaminate, exact_dedup, html_extract, mixing, secrets, simhash, toxicity, url_filter, warc
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -53,6 +53,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op3_html_extract")
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 OP4_SQL = """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -130,3 +135,9 @@ FROM docs d JOIN rated r ON {same}""")
 @query("op8_mixing", mixing_sql())
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample_plan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_warc")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "seq")
