@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, html_extract, mixing, secrets, simhash, toxicity, url_filter, warc
+from tessera.llm import decontaminate, exact_dedup, html_extract, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -137,6 +137,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample_plan(table(spark, sf_dir, "documents"))
 
 
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op10_warc")
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = warc.archive_pages(table(spark, sf_dir, "pages"))
