@@ -26,7 +26,7 @@ def text_digest(text: Column) -> Column:
 
 def heavy_digests(digests: DataFrame, winners: int = WINNERS, slots: int = SLOTS) -> list[str]:
     """Candidates of the Misra-Gries summary over ``digests(digest)``, most frequent first."""
-    top = digests.agg(F.expr(f"approx_top_k(digest, {winners}, {slots})").alias("top")).first()["top"]
+    top = digests.agg(F.expr(f"approx_top_k(digest, {min(winners, slots)}, {slots})").alias("top")).first()["top"]
     return [x["item"] for x in top or [] if x["count"] > 1]
 
 

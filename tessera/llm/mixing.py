@@ -67,7 +67,7 @@ def targets(cells: DataFrame, m: Marginal) -> DataFrame:
                 .select("value", (F.coalesce("given", F.col("part") / F.col("p") * rest) / total).alias("share")))
 
 
-def rake(cells: DataFrame, marginals=MARGINALS, tolerance: float = 1e-10, max_sweeps: int = 200) -> DataFrame:
+def rake(cells: DataFrame, marginals=MARGINALS, tolerance: float = 1e-10, max_sweeps: int = 60) -> DataFrame:
     """``cells(<dimensions>, tokens)`` with ``weight``, whose sums over each
     dimension have the target shares (total 1).
 

@@ -41,7 +41,7 @@ LEAST = 16  # characters of a candidate
 LONGEST = 64  # longer tokens count as this length in the histograms
 BINS = 300  # of -log10 p, a tenth each; bin 0 looks most random
 ALPHA = 0.01
-NULL_WORDS = 100  # a length's null takes in shorter words until it has so many
+NULL_WORDS = 1000  # a length's null takes in shorter words until it has so many
 TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 WORD = re.compile(rb"[A-Za-z][a-z]*")
 
