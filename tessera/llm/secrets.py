@@ -9,12 +9,12 @@ the alphabet, and a test of the lag-1 serial correlation.  Fisher's method
 makes one p-value of the three.
 
 Ordinary words of the corpus are the null hypothesis: the share of words of
-about the token's length that look at least as random is the token's p-value
-against ordinary text.  Short words often look random, long ones hardly ever,
-so each length has its own null.  A Benjamini-Hochberg procedure over all
-candidates, weighted by length, holds the share of false discoveries below
-``ALPHA``.  All counts cover the whole corpus and are kept as histograms by
-length and p-value, a table of fixed size.
+about the token's length that look at least as random over the same alphabet is
+the token's p-value against ordinary text.  Short words often look random, long
+ones hardly ever, so each encoding and length has its own null.  A
+Benjamini-Hochberg procedure over all candidates, weighted by length, holds the
+share of false discoveries below ``ALPHA``.  All counts cover the whole corpus
+and are kept as histograms by encoding, length and p-value, a table of fixed size.
 """
 
 from __future__ import annotations
@@ -63,10 +63,20 @@ OF_HEX = bytes(49 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 OF_TOKEN = bytes(49 if chr(c) in ALPHABETS[-1][1] else 32 for c in range(256))
 
 
-def encoding_of(token: bytes) -> str:
-    """The first alphabet that holds all characters; ``=`` may only pad the end."""
+def encoding_of(token: bytes) -> int:
+    """Number of the first alphabet that holds all characters; ``=`` may only pad the end."""
     body = set(token.rstrip(b"=").decode("ascii"))
-    return next(name for name, chars in ALPHABETS if body <= set(chars))
+    return next(i for i, (_, chars) in enumerate(ALPHABETS) if body <= set(chars))
+
+
+def as_written(word: bytes, encoding: int) -> tuple[bytes, str]:
+    """An ordinary word in the case of an encoding, and the alphabet it is tested
+    over: the encoding's, or the letters where it has not all of them."""
+    chars = ALPHABETS[encoding][1]
+    for form in (word, word.lower(), word.upper()):
+        if set(LETTERS) <= set(chars.lower()) and set(form.decode()) <= set(chars):
+            return form, chars
+    return word.lower(), LETTERS
 
 
 def upper_tail(z: np.ndarray) -> np.ndarray:
@@ -130,15 +140,20 @@ def long_tokens(text: bytes, spans: list[tuple[int, int, int]]) -> tuple[list, l
     if b"1" * LEAST in text.translate(OF_TOKEN):
         for m in TOKEN.finditer(text):
             if WORD.fullmatch(m[0]):
-                words.append(m[0].lower())
+                words.append(m[0])
             elif len(m[0].rstrip(b"=")) >= LEAST and not any(s < m.end() and m.start() < e for s, _, e in spans):
                 cands.append((m.start(), m.end(), m[0]))
     return cands, words
 
 
+def class_of(encoding: int, length: int) -> int:
+    return encoding * (LONGEST + 1) + min(length, LONGEST)
+
+
 def scan(texts: list[bytes]) -> list[tuple]:
-    """For each text: base spans, candidates ``(start, end, length, bin)`` (code
-    points), and ``length * BINS + bin`` of its long ordinary words."""
+    """For each text: base spans, candidates ``(start, end, class, bin)`` (code
+    points), and ``class * BINS + bin`` of its long ordinary words in every
+    encoding; a class is an encoding and a length."""
     rows, by_encoding, words = [], {}, []
     for i, text in enumerate(texts):
         spans = base_spans(text)
@@ -152,18 +167,21 @@ def scan(texts: list[bytes]) -> list[tuple]:
             body = token.rstrip(b"=")
             by_encoding.setdefault(encoding_of(token), []).append((i, int(points[s]), int(points[e]), body))
         words += [(i, w) for w in plain]
-    for name, found in by_encoding.items():
-        for (i, s, e, body), b in zip(found, bins_of([f[3] for f in found], dict(ALPHABETS)[name])):
-            rows[i][1].append((s, e, min(len(body), LONGEST), b))
-    for (i, w), b in zip(words, bins_of([w for _, w in words], LETTERS)):
-        rows[i][2].append(min(len(w), LONGEST) * BINS + b)
+    for k, found in by_encoding.items():
+        for (i, s, e, body), b in zip(found, bins_of([f[3] for f in found], ALPHABETS[k][1])):
+            rows[i][1].append((s, e, class_of(k, len(body)), b))
+    for k in range(len(ALPHABETS)):
+        for chars in (ALPHABETS[k][1], LETTERS):
+            forms = [(i, f) for i, (f, over) in ((i, as_written(w, k)) for i, w in words) if over == chars]
+            for (i, f), b in zip(forms, bins_of([f for _, f in forms], chars)):
+                rows[i][2].append(class_of(k, len(f)) * BINS + b)
     return rows
 
 
 SCANNED = ("base array<struct<start:long,kind:int,end:long>>, "
-           "cands array<struct<start:long,end:long,len:int,bin:int>>, words array<int>")
+           "cands array<struct<start:long,end:long,cls:int,bin:int>>, words array<int>")
 SPAN = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
-CAND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("len", pa.int32()), ("bin", pa.int32())]))
+CAND = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("cls", pa.int32()), ("bin", pa.int32())]))
 
 
 def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -173,7 +191,7 @@ def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
         for batch in batches:
             rows = scan([t or b"" for t in batch.column(1).to_pylist()])
             spans = [[dict(zip(("start", "kind", "end"), s)) for s in r[0]] for r in rows]
-            cands = [[dict(zip(("start", "end", "len", "bin"), c)) for c in r[1]] for r in rows]
+            cands = [[dict(zip(("start", "end", "cls", "bin"), c)) for c in r[1]] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(spans, SPAN), pa.array(cands, CAND), pa.array([r[2] for r in rows], pa.list_(pa.int32()))],
                 names=["doc_id", "base", "cands", "words"])
@@ -182,27 +200,28 @@ def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def cuts(cands: dict[tuple[int, int], int], words: dict[tuple[int, int], int], alpha: float = ALPHA) -> dict[int, int]:
-    """For each length the largest bin that is a discovery, from histograms ``(length, bin) -> count``.
+    """For each class the largest bin that is a discovery, from histograms ``(class, bin) -> count``.
 
-    p-value: share of ordinary words of the length (and of shorter ones, until
+    p-value: share of ordinary words of the class (and of shorter ones, until
     there are ``NULL_WORDS``) that look as random or more.  Weighted
     Benjamini-Hochberg: a candidate of length ``n`` has weight ``n`` over the mean.
     """
     if not cands:
         return {}
-    null = np.zeros((LONGEST + 1, BINS))
-    for (n, b), c in words.items():
-        null[n, b] += c
+    null = np.zeros((len(ALPHABETS), LONGEST + 1, BINS))
+    for (cls, b), c in words.items():
+        null[cls // (LONGEST + 1), cls % (LONGEST + 1), b] += c
     total = sum(cands.values())
-    mean = sum(n * c for (n, _), c in cands.items()) / total
+    mean = sum(cls % (LONGEST + 1) * c for (cls, _), c in cands.items()) / total
     tested = []
-    for (n, b), c in cands.items():
+    for (cls, b), c in cands.items():
+        k, n = divmod(cls, LONGEST + 1)
         low = n
-        while low > LEAST and null[low:n + 1].sum() < NULL_WORDS:
+        while low > LEAST and null[k, low:n + 1].sum() < NULL_WORDS:
             low -= 1
-        pool = null[low:n + 1].sum(axis=0)
+        pool = null[k, low:n + 1].sum(axis=0)
         p = (1 + pool[:b + 1].sum()) / (1 + pool.sum())
-        tested.append((p * mean / n, n, b, c))
+        tested.append((p * mean / n, cls, b, c))
     tested.sort()
     rank, limit = 0, -1.0
     for i, (q, _, _, c) in enumerate(tested):
@@ -210,9 +229,9 @@ def cuts(cands: dict[tuple[int, int], int], words: dict[tuple[int, int], int], a
         if (i + 1 == len(tested) or tested[i + 1][0] > q) and q <= alpha * rank / total:
             limit = q
     out: dict[int, int] = {}
-    for q, n, b, _ in tested:
+    for q, cls, b, _ in tested:
         if q <= limit:
-            out[n] = max(out.get(n, -1), b)
+            out[cls] = max(out.get(cls, -1), b)
     return out
 
 
@@ -227,20 +246,20 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", alpha
     gives an empty one; other columns are not read.
     """
     rows = staged(scanned(docs, key, text), "scanned")
-    counted = (rows.select(F.explode("cands").alias("c")).select(F.lit(True).alias("cand"), F.col("c.len").alias("n"), F.col("c.bin").alias("b"))
+    counted = (rows.select(F.explode("cands").alias("c")).select(F.lit(True).alias("cand"), F.col("c.cls").alias("n"), F.col("c.bin").alias("b"))
                    .unionByName(rows.select(F.explode("words").alias("w")).select(
                        F.lit(False).alias("cand"), F.floor(F.col("w") / BINS).cast("int").alias("n"), F.pmod("w", F.lit(BINS)).cast("int").alias("b")))
-                   .groupBy("cand", "n", "b").count().collect())  # at most 2 * LONGEST * BINS rows
+                   .groupBy("cand", "n", "b").count().collect())  # at most 2 * classes * BINS rows
     limits = cuts({(r["n"], r["b"]): r["count"] for r in counted if r["cand"]},
                   {(r["n"], r["b"]): r["count"] for r in counted if not r["cand"]}, alpha)
-    by_length = F.array(*[F.lit(limits.get(n, -1)) for n in range(1, LONGEST + 1)])
+    by_class = F.array(*[F.lit(limits.get(n, -1)) for n in range(class_of(len(ALPHABETS), 0))])
     names = F.array(*[F.lit(k) for k in KINDS])
 
     def listed(spans):
         return F.array_join(F.transform(F.array_sort(spans), lambda s: F.concat_ws(
             ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    found = F.filter("cands", lambda c: c["bin"] <= F.element_at(by_length, c["len"]))
+    found = F.filter("cands", lambda c: c["bin"] <= F.element_at(by_class, c["cls"] + 1))
     random = F.transform(found, lambda c: F.struct(c["start"].alias("start"), F.lit(KINDS.index("random")).alias("kind"), c["end"].alias("end")))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return rows.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
