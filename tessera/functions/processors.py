@@ -83,15 +83,17 @@ def remove_punct(c: Column) -> Column:
     return normalize_punct(remove_punct_tokens(c))
 
 
-def norm_for(language: str | None, **flags) -> ColFn:
-    """language normalisation without the corpus character table
-    (diacritics are handled by ``normalize_corpus``); steps F3, F4, F25."""
-    from tessera.functions.normalize import EXTRAS, NONPRINT_RE
-    def run(c: Column) -> Column:
-        c = F.translate(c, EXTRAS, "")
-        c = F.regexp_replace(c, NONPRINT_RE, "")
-        return T.collapse_ws(c)
-    return run
+#: Languages that the normalisation step knows; all others pass through unchanged.
+NORMALIZED = ("en", "sw", "tl", "so", "lt", "bg", "ps", "kk", "ka")
+
+
+def norm_for(language: str | None, romanized: bool = True, foreign: bool = True) -> ColFn:
+    """the language's normalisation (:func:`normalize_column`); text of a
+    language without rules is left as it is."""
+    from tessera.functions.normalize import normalize_column
+    if language not in NORMALIZED:
+        return _id
+    return lambda c: normalize_column(c, language, romanized, foreign)
 
 
 # --- composite chains (C1-C9) -------------------------------------------------
