@@ -9,10 +9,10 @@ ship.  Here (Sennrich et al. 2016):
   the most frequent pair and rewrites every word's symbol string with a
   native ``regexp_replace``.  The driver loop runs over merges, never over
   data; the table is checkpointed every few merges to cut lineage.
-* ``encode_corpus`` (F34/J13): every distinct word is segmented once
-  (``mapInPandas`` over the word-type table, merges broadcast — their number
-  is the model size, not the data size), then tokens join back to their
-  segmentation by word and lines are reassembled in order.
+* ``encode_corpus`` (F34/J13): lines are segmented where they are
+  (``mapInPandas``, merges broadcast — their number is the model size, not the
+  data size); a task segments a word once as long as it remembers it, so no
+  token is shuffled.
 """
 
 from __future__ import annotations
@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators.prefix import BROADCAST_ROW_LIMIT
 from tessera.session import materialize
 
 # End-of-word marker and subword continuation mark.
 END_OF_WORD = "</w>"
 CONTINUATION = "@@"
 SPM_MARK = "\u2581"
+WORDS_KEPT = 200_000     # words whose segmentation a task remembers
 SEP = "\u0001"           # symbol separator inside the symbol string (never in text)
 
 
@@ -108,7 +108,8 @@ def segment_word(word: str, ranks: dict) -> list[str]:
 
 def encode_corpus(lines: DataFrame, merges: DataFrame, keys=("doc_id", "line_no"), text: str = "text",
                   style: str = "bpe") -> DataFrame:
-    """``keys…, text`` with every token segmented.
+    """``keys…, text`` with every token segmented, line by line and
+    without a shuffle; a task remembers the segmentation of ``WORDS_KEPT`` words.
 
     ``style="bpe"``: ``sub@@ sub@@ sub``; ``style="spm"``: ``▁sub sub sub``
     (word-start marker, SentencePiece's surface form)."""
@@ -119,21 +120,21 @@ def encode_corpus(lines: DataFrame, merges: DataFrame, keys=("doc_id", "line_no"
     table = {(r.left, r.right): r.rank for r in merges.collect()}     # model size, bounded
     bc = spark.sparkContext.broadcast(table)
 
-    def seg(batches):
-        ranks = bc.value
+    def segment(batches):
+        ranks, known = bc.value, {}
         for pdf in batches:
-            if style == "spm":
-                segs = [SPM_MARK + " ".join(segment_word(w, ranks)) for w in pdf["word"]]
-            else:
-                segs = [f"{CONTINUATION} ".join(segment_word(w, ranks)) for w in pdf["word"]]
-            yield pd.DataFrame({"word": pdf["word"], "seg": segs})
-
-    toks = lines.select(*keys, F.posexplode_outer(T.tokens(F.col(text))).alias("pos", "word"))
-    distinct = toks.select("word").where(F.col("word").isNotNull()).distinct()
-    # one segmentation per word type, computed once and kept (it is read twice)
-    segs = materialize(distinct.mapInPandas(seg, "word string, seg string"))
-    n = segs.count()
-    segs = F.broadcast(segs) if n <= BROADCAST_ROW_LIMIT else segs
-    joined = toks.join(segs, "word", "left")
-    per_line = joined.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("pos", "seg"))).alias("_p"))
-    return per_line.select(*keys, F.array_join(F.transform("_p", lambda p: p["seg"]), " ").alias(text))
+            out = []
+            for line in pdf[text]:
+                words = line.split(" ") if line else []
+                for w in words:
+                    if w not in known:
+                        if len(known) >= WORDS_KEPT:
+                            known.clear()
+                        parts = segment_word(w, ranks)
+                        known[w] = SPM_MARK + " ".join(parts) if style == "spm" else f"{CONTINUATION} ".join(parts)
+                out.append(" ".join(known[w] for w in words))
+            pdf[text] = out
+            yield pdf
+
+    rows = lines.select(*keys, F.array_join(T.tokens(F.col(text)), " ").alias(text))
+    return rows.mapInPandas(segment, rows.schema)

@@ -12,43 +12,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Broadcast a helper table only below this many rows (it holds a few longs
-# and one key per row, i.e. well under the default broadcast byte limit).
-BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> tuple[DataFrame, bool]:
-    """Hint ``broadcast`` only when the side is proven small by counting it."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= limit else (df, False)
+LEVELS = 3  # widths of 2 ** 16 at each level leave at most 2 ** 15 buckets of 64-bit orders on top
 
 
 def prefix_sum(df: DataFrame, order: str, value: str, out: str, group: list[str] | tuple = (),
-               width: int = 1 << 16) -> DataFrame:
-    """Exclusive running sum of ``value`` ordered by the numeric ``order``
+               width: int = 1 << 16, levels: int = LEVELS) -> DataFrame:
+    """Exclusive running sum of ``value`` ordered by the integer ``order``
     column, restarting per ``group`` (W1/W4 and every "offset" the reference
     keeps as a counter).
 
-    Rows are bucketed by ``floor(order / width)``.  Bucket totals form a
-    small table (one row per bucket) whose own running sum gives each
-    bucket's start; the row-level window then only spans one bucket.  No
-    window ever holds a whole group, so a single huge document or file is
-    still split over many tasks, and the plan is deterministic (no
-    checkpoint needed).
+    Rows are bucketed by ``order`` in steps of ``width``; the row-level window
+    spans one bucket, and each bucket's start is the prefix sum of the bucket
+    totals, found in the same way ``levels`` times.  However sparse the order
+    (hashed ids leave a bucket to each row), the window on top covers a few
+    thousand buckets, and no window ever holds a whole group.
     """
     group = list(group)
-    b = F.floor(F.col(order) / width).cast("long")
-    df = df.withColumn("_pb", b)
-    totals = df.groupBy(*group, "_pb").agg(F.sum(value).alias("_pt"))
-    wb = Window.partitionBy(*group).orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1) if group else \
-        Window.orderBy("_pb").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*group, "_pb", F.coalesce(F.sum("_pt").over(wb), F.lit(0)).alias("_ps"))
-    within = Window.partitionBy(*group, "_pb").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    # ``merge``: keep the row side's partitioning on (group, _pb) for the window
-    # below; AQE must not broadcast the row side (it would collapse parallelism).
-    return (df.join(starts, [*group, "_pb"])
-              .withColumn(out, (F.col("_ps") + F.coalesce(F.sum(value).over(within), F.lit(0))).cast("long"))
-              .drop("_pb", "_ps"))
+    o = F.col(order).cast("long")
+    bucket, total, start = f"_bucket{levels}", f"_total{levels}", f"_start{levels}"
+    df = df.withColumn(bucket, F.expr(f"(`{order}` - pmod(`{order}`, {width}L)) div {width}L").cast("long"))
+    totals = df.groupBy(*group, bucket).agg(F.sum(value).alias(total))
+    if levels > 1:
+        starts = prefix_sum(totals, bucket, total, start, group, 1 << 16, levels - 1).drop(total)
+    else:
+        top = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select(*group, bucket, F.coalesce(F.sum(total).over(top), F.lit(0)).alias(start))
+    within = Window.partitionBy(*group, bucket).orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+    return (df.join(starts, [*group, bucket])
+              .withColumn(out, (F.col(start) + F.coalesce(F.sum(value).over(within), F.lit(0))).cast("long"))
+              .drop(bucket, start))
 
 
 def dense_offsets(rows: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
@@ -58,14 +50,13 @@ def dense_offsets(rows: DataFrame, group: str, order: list[str], out: str) -> Da
     ``monotonically_increasing_id()`` taken right after the scan: inside one
     split the ids are consecutive, so the position inside the split is
     ``mid - min(mid)``.  Only the per-split table (one row per split) is
-    aggregated and prefix-summed; the data itself is never shuffled unless
-    that table is too large to broadcast.
+    aggregated and prefix-summed; AQE broadcasts it when its measured size
+    allows, so that the data itself is not shuffled.
     """
     block, mid = order
     splits = rows.groupBy(group, block).agg(F.min(mid).alias("_min_mid"), F.count("*").alias("_n"))
     w = Window.partitionBy(group).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    splits, _ = checked_broadcast(splits)
     return (rows.join(splits, [group, block])
             .withColumn(out, (F.col("_start") + F.col(mid) - F.col("_min_mid")).cast("long"))
             .drop("_start", "_min_mid"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators.prefix import BROADCAST_ROW_LIMIT
+from tessera.session import materialize
 
 # Fixed value: a token ending in one of these ends a sentence.
 SENTENCE_END = r"[.!?:]$"
@@ -50,12 +50,14 @@ def case_model(tokens: DataFrame) -> DataFrame:
 def truecase(tokens: DataFrame, model: DataFrame, keys=("doc_id", "line_no")) -> DataFrame:
     """Truecased lines ``keys…, text``.
 
-    The model has one row per word type: it is broadcast when a count proves
-    it small, otherwise the join is a shuffle join (AQE splits a hot word)."""
+    The model has one row per word type and is written first: AQE then knows
+    its size, broadcasts it if that is small and else splits a hot word, which
+    it could not do beside an aggregation.  Blank lines join by a key of their
+    own, so their null tokens don't meet in one task."""
     keys = list(keys)
-    n = model.count()
-    m = F.broadcast(model) if n <= BROADCAST_ROW_LIMIT else model
-    j = tokens.withColumn("lc", F.lower("token")).join(m.select("lc", "best", "forms"), "lc", "left")
+    m = materialize(model.select("lc", "best", "forms"))
+    blank = F.concat(F.lit(" "), F.xxhash64(*keys).cast("string"))
+    j = tokens.withColumn("lc", F.coalesce(F.lower("token"), blank)).join(m, "lc", "left")
     out = (F.when(F.col("token").isNull(), F.lit(None))
            .when(F.col("initial"), F.coalesce("best", "token"))
            .when(F.coalesce(F.array_contains("forms", F.col("token")), F.lit(False)), F.col("token"))

@@ -95,3 +95,32 @@ def test_prefix_sum_partition_invariant(spark):
     for width in (1, 7, 1 << 16):
         got = {(r.g, r.o): r.s for r in prefix.prefix_sum(df.repartition(3), "o", "v", "s", ["g"], width).collect()}
         assert got == expect
+
+
+def test_prefix_sum_of_sparse_and_negative_orders(spark):
+    import random
+    r = random.Random(2)
+    rows = sorted((r.randrange(-2 ** 62, 2 ** 62), r.randrange(5)) for _ in range(500)) + [(2 ** 62 + i, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "o long, v long").repartition(3)
+    got = {x.o: x.s for x in prefix.prefix_sum(df, "o", "v", "s").collect()}
+    want, total = {}, 0
+    for o, v in rows:
+        want[o], total = total, total + v
+    assert got == want
+
+
+def test_checkpoint_folder_must_be_shared(spark, monkeypatch):
+    import pytest
+    from tessera import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(Session())
