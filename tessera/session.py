@@ -8,6 +8,7 @@ a ``SparkSession`` (or a DataFrame).  ``get_spark`` is a convenience for tests,
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -49,9 +50,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage and we only read it.
-    Only when it is unset (local tests) do we point it at a fresh scratch
-    folder, so that ``DataFrame.checkpoint()`` works.
+    On a cluster the launcher sets it to shared storage and we only read it;
+    a machine's own folder would be out of the executors' reach, so an unset
+    one is an error there.  Only with a ``local`` master do we point it at a
+    fresh scratch folder, so that ``DataFrame.checkpoint()`` works.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -60,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # no SparkContext (Spark Connect)
             current = None
     if not current:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[[^\]]*\])?$", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; master is {master!r}")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     try:

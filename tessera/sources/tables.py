@@ -11,22 +11,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of one driver table, spread over the cluster if it is too coarse."""
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+#: Session setting: into how many partitions a table is dealt after its scan.
+#: Unset, a scan keeps its file splits; benches on one small file set it.
+READ_PARTITIONS = "spark.tessera.readPartitions"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition only when the scan has fewer splits than the
-    cluster has cores (e.g. one parquet row group).  On large inputs the
-    file splits already outnumber the cores and the plan is left alone; no
-    key is used, so a hot document cannot skew it."""
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no SparkContext (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(cores) if parts < cores else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan of one driver table, with the file's own splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    wanted = spark.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -47,8 +41,9 @@ def read_folder(spark: SparkSession, path: str, glob: str | None = None) -> Data
 
     ``doc`` is the path relative to ``path``.  Each file is read whole (the
     reference's many-small-files premise) and split into lines inside its
-    task.  Zero-byte files produce no text row, so the file listing is joined
-    back to keep them as documents with no lines (see :func:`folder_listing`).
+    task.  Spark's scans skip zero-byte files; the listing adds each of them as
+    a document of one empty line, which is what an empty text has (see
+    :func:`folder_listing`).
     """
     opts = {"wholetext": True, "recursiveFileLookup": True}
     if glob:
@@ -57,7 +52,9 @@ def read_folder(spark: SparkSession, path: str, glob: str | None = None) -> Data
     base = _base_uri(path)
     docs = raw.select(F.regexp_replace(F.col("_metadata.file_path"), "^" + _quote(base), "").alias("doc"),
                       F.col("value").alias("text"))
-    return document_lines(docs, key="doc")
+    lines = document_lines(docs, key="doc")
+    empty = folder_listing(spark, path, glob).where("length = 0")
+    return lines.unionByName(empty.select("doc", F.lit(0).cast("long").alias("line_no"), F.lit("").alias("text")))
 
 
 def read_big_file_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -76,7 +76,8 @@ def test_read_folder_keeps_layout_and_cr(spark):
         f.write("last line without newline")
     open(f"{d}/empty.txt", "w").close()
     lines = {(r.doc, r.line_no): r.text for r in read_folder(spark, d).collect()}
-    assert lines == {("a.txt", 0): "one two", ("a.txt", 1): "three", ("sub/b.txt", 0): "last line without newline"}
+    assert lines == {("a.txt", 0): "one two", ("a.txt", 1): "three", ("sub/b.txt", 0): "last line without newline",
+                     ("empty.txt", 0): ""}
     docs = {r.doc: r.length for r in folder_listing(spark, d).collect()}
     assert docs["empty.txt"] == 0 and len(docs) == 3
 
