@@ -8,12 +8,11 @@ DataFrame.  The batch oracle computes the same rows from the table.
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
 from tessera.functions import text as T
+from tessera.operators.prefix import prefix_sum
 from tessera.plans.corpus import lines_of
 from tessera.plans.parallel import messages
 from tessera.plans.registry import register
@@ -96,28 +95,25 @@ def stream_join(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-DOCS_PER_FILE = 250
-
-
 @register("stream_sentence_ids", with_(LINES) + """
 SELECT d.source, l.doc_id, l.line_no,
        CAST(row_number() OVER (PARTITION BY d.source ORDER BY l.doc_id, l.line_no) - 1 AS BIGINT) AS sent_id
 FROM lines l JOIN documents d USING (doc_id)""")
 def stream_sentence_ids(spark, sf_dir):
     """Dense running sentence ids per source stream, carried across
-    micro-batches in state.  Input files arrive in document order, 250
-    documents per file, one file per micro-batch."""
+    micro-batches.  The lines arrive in two deliveries, split at the middle of
+    the id range; rows without an id come first, like everywhere in Spark."""
     base = jobs.scratch(spark, "ids")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    lines = lines_of(spark, sf_dir).join(docs.select("doc_id", "source"), "doc_id")
-    hi = docs.agg(F.max("doc_id")).first()[0] or 0
-    for k in range(hi // DOCS_PER_FILE + 1):        # files arrive one after another, in document order
-        part = lines.filter((F.col("doc_id") >= k * DOCS_PER_FILE) & (F.col("doc_id") < (k + 1) * DOCS_PER_FILE))
-        part.coalesce(1).write.parquet(f"{base}/in/{k:06d}")
-        time.sleep(0.01)
-    stream = (spark.readStream.schema("doc_id long, line_no long, text string, source string")
-              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{base}/in"))
-    ids = jobs.running_ids(stream.select("source", "doc_id", "line_no"), "source", ["doc_id", "line_no"],
-                           "source string, doc_id long, line_no long, sent_id long")
-    jobs.run_available_now(ids, f"{base}/out", f"{base}/ckpt", state_partitions=0)
-    return spark.read.parquet(f"{base}/out")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    lines = lines_of(spark, sf_dir).select("doc_id", "line_no").join(docs, "doc_id")
+    per_doc = lines.groupBy("doc_id").agg(F.max("line_no").alias("_last"))
+    # one order over documents and lines: first line of the document, then the line in it
+    offsets = prefix_sum(per_doc.withColumn("_n", F.col("_last") + 1), "doc_id", "_n", "_first").select("doc_id", "_first")
+    placed = lines.join(offsets, "doc_id").withColumn("place", F.col("_first") + F.col("line_no")).drop("_first")
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    late = F.col("doc_id") > ((low or 0) + (high or 0)) // 2
+    for part in (placed.where(~late), placed.where(late)):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema("doc_id long, line_no long, source string, place long").parquet(f"{base}/in")
+        jobs.number_lines(stream, "source", "place", f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").select("source", "doc_id", "line_no", "sent_id")

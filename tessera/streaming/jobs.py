@@ -38,8 +38,9 @@ def _cores(spark: SparkSession) -> int:
 
 
 def run_available_now(stream: DataFrame, sink: str, checkpoint: str, partition_by: list[str] | None = None,
-                      fmt: str = "parquet", timeout_s: int = 600, state_partitions: int | None = None) -> None:
-    """Drain everything available into ``sink`` and stop (T4).
+                      fmt: str = "parquet", timeout_s: int | None = None, state_partitions: int | None = None) -> None:
+    """Drain everything available into ``sink`` and stop (T4), however long it
+    takes; only a caller's own ``timeout_s`` ends it earlier, with an error.
 
     A stateful query fixes its number of state-store partitions at its first
     run (then it is kept in the checkpoint); ``state_partitions`` sizes it to
@@ -59,10 +60,11 @@ def _start_and_wait(stream, sink, checkpoint, partition_by, fmt, timeout_s):
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.trigger(availableNow=True).start(sink)
-    q.awaitTermination(timeout_s)
-    if q.isActive:
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
-        raise TimeoutError(f"stream to {sink} did not finish")
+        raise TimeoutError(f"stream to {sink} did not finish in {timeout_s} s")
     if q.exception() is not None:
         raise q.exception()
 
@@ -70,14 +72,23 @@ def _start_and_wait(stream, sink, checkpoint, partition_by, fmt, timeout_s):
 def mux_demux(spark: SparkSession, source: str, schema: TT.StructType,
               transform: Callable[[Column], Column], sink: str, checkpoint: str) -> DataFrame:
     """Stream every line of every document through a line-for-line
-    transform and write the same layout (one folder per document).  Returns
-    the per-document line-count check (input lines == output lines)."""
+    transform and write the same layout (one folder per document).
+
+    Returns the sink; see :func:`line_counts` for the check of its lines."""
     lines = spark.readStream.schema(schema).json(source)
     out = lines.select("doc_id", "line_no", transform(F.col("text")).alias("text"))
     run_available_now(out, sink, checkpoint, partition_by=["doc_id"])
     return spark.read.parquet(sink)
 
 
+def line_counts(source: DataFrame, sink: DataFrame, key: str = "doc_id") -> DataFrame:
+    """T1's check: ``key, lines_in, lines_out, same`` of every document."""
+    counts = (source.select(F.col(key).cast("string").alias(key), F.lit(1).alias("i"), F.lit(0).alias("o"))
+              .unionByName(sink.select(F.col(key).cast("string").alias(key), F.lit(0).alias("i"), F.lit(1).alias("o")))
+              .groupBy(key).agg(F.sum("i").alias("lines_in"), F.sum("o").alias("lines_out")))
+    return counts.withColumn("same", F.col("lines_in") == F.col("lines_out"))
+
+
 def translate_requests(stream: DataFrame, max_length: int = 200,
                        decode: Callable[[Column], Column] | None = None) -> DataFrame:
     """Request rows → one response row per line, or one error row.
@@ -129,22 +140,35 @@ def correlate(requests: DataFrame, results: DataFrame, key: str = "request_id",
     return req.join(res, cond, "inner")
 
 
-def running_ids(stream: DataFrame, key: str, order: list[str], out_schema: str) -> DataFrame:
-    """Dense running sentence id per stream ``key`` across micro-batches.
-
-    State is one BIGINT per key (``applyInPandasWithState``); inside a batch
-    rows are numbered in ``order``.  A group holds one key's rows of ONE
-    micro-batch, bounded by the trigger size (``maxFilesPerTrigger``)."""
-    import pandas as pd
-    from pyspark.sql.streaming.state import GroupStateTimeout
+def number_lines(stream: DataFrame, key: str, order: str, sink: str, checkpoint: str) -> None:
+    """Drain ``stream`` into ``sink`` with ``sent_id``, a dense running
+    number per ``key`` that goes on from micro-batch to micro-batch.
 
-    def assign(k, pdfs, state):
-        start = state.get[0] if state.exists else 0
-        pdf = pd.concat(list(pdfs), ignore_index=True).sort_values(order, kind="mergesort")
-        pdf["sent_id"] = range(start, start + len(pdf))
-        state.update((start + len(pdf),))
-        yield pdf
-
-    return stream.groupBy(key).applyInPandasWithState(
-        assign, outputStructType=out_schema, stateStructType="next_id long",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    Within a batch rows are numbered by ``order`` with the bucketed prefix sum,
+    so a key that holds most rows is still many tasks; between batches only
+    one count per key is carried, as a table of the batch before.  Each batch
+    writes folders of its own number, so a batch that is run again after a
+    failure replaces what it wrote.
+    """
+    from tessera.operators.prefix import prefix_sum
+    counts = f"{checkpoint}-counts"
+    columns = [c for c in stream.columns if c != key]
+
+    def batch(rows: DataFrame, number: int) -> None:
+        spark = rows.sparkSession
+        first = spark.createDataFrame([], f"{key} {rows.schema[key].dataType.simpleString()}, next_id long")
+        if number:
+            first = spark.read.schema(first.schema).parquet(f"{counts}/batch={number - 1}")
+        rows = rows.withColumn("_one", F.lit(1).cast("long"))
+        placed = prefix_sum(rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), F.lit("\0"))), order, "_one", "_at", ["_key"])
+        before = first.select(F.coalesce(F.col(key).cast("string"), F.lit("\0")).alias("_key"), F.col("next_id").alias("_first"))
+        out = placed.join(before, "_key", "left").select(
+            key, *columns, (F.coalesce("_first", F.lit(0)) + F.col("_at")).cast("long").alias("sent_id"))
+        out.write.mode("overwrite").parquet(f"{sink}/batch={number}")
+        (first.unionByName(spark.read.parquet(f"{sink}/batch={number}").groupBy(key).agg((F.max("sent_id") + 1).alias("next_id")))
+              .groupBy(key).agg(F.max("next_id").alias("next_id")).write.mode("overwrite").parquet(f"{counts}/batch={number}"))
+
+    q = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
