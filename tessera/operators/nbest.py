@@ -31,25 +31,26 @@ def parse_nbest(raw: DataFrame, n_best: int = 1, file: str = "src_file", seq: st
                 line: str = "line", n_items: int | None = None) -> DataFrame:
     """``id ||| text ||| F0 ||| score`` lines → ``file, item, rank, translation, features, score``.
 
-    Every line is one hypothesis; ``n_best`` consecutive lines form an item.
-    A trailing incomplete group is dropped (as the reference does).  Lines
-    without the separator are plain 1-best output: the whole line is the text.
+    ``n_best`` consecutive lines form an item; a trailing incomplete group is
+    dropped (as the reference does).  The id is the first field, features and
+    score are the last two, and the text is all between, separators included.
+    Lines with fewer fields are plain 1-best output: the line is the text and
+    an item of its own, whatever ``n_best`` is (a file has lines of one kind).
     """
     parts = F.split(F.col(line), r" \|\|\| ", -1)
-    has = F.size(parts) >= 4
+    n, has = F.size(parts), F.size(parts) >= 4
     hyps = raw.select(
-        file, (F.floor(F.col(seq) / n_best)).cast("long").alias("item"),
-        (F.col(seq) % n_best).cast("int").alias("rank"),
-        F.when(has, F.get(parts, 1)).otherwise(F.col(line)).alias("translation"),
-        F.when(has, F.get(parts, 2)).alias("features"),
-        F.when(has, F.get(parts, 3)).alias("score"))
-    per_file = raw.groupBy(file).agg(F.count("*").alias("_n_lines"))
-    out = (hyps.hint("merge").join(per_file, file)
-           .filter(F.col("item") < F.floor(F.col("_n_lines") / n_best))
-           .drop("_n_lines"))
+        file, F.when(has, F.floor(F.col(seq) / n_best)).otherwise(F.col(seq)).cast("long").alias("item"),
+        F.when(has, F.col(seq) % n_best).otherwise(0).cast("int").alias("rank"),
+        F.when(has, F.array_join(F.slice(parts, F.lit(2), F.greatest(n - 3, F.lit(0))), FIELD_SEP)).otherwise(F.col(line)).alias("translation"),
+        F.when(has, F.get(parts, n - 2)).alias("features"),
+        F.when(has, F.get(parts, n - 1)).alias("score"))
     if n_items is not None:                       # L1: first n items of each file
-        out = out.filter(F.col("item") < n_items)
-    return out
+        hyps = hyps.filter(F.col("item") < n_items)
+    if n_best == 1:
+        return hyps
+    whole = F.count("score").over(Window.partitionBy(file, "item"))  # of one item: no file meets in one task
+    return (hyps.withColumn("_n", whole).filter((F.col("_n") == n_best) | F.col("score").isNull()).drop("_n"))
 
 
 def top_k(hyps: DataFrame, k: int, keys=("src_file", "item"), score: str = "score") -> DataFrame:
