@@ -10,6 +10,7 @@ post-processing and re-insertion (F31) → blank empties (P6) → expand (P8).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,20 +61,28 @@ def stage_done(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(jsc.hadoopConfiguration()).exists(p)
 
 
+def _name_of(factory: Callable | None) -> str:
+    """What a decoder is known by in a stage's name."""
+    return "echo" if factory is None else f"{factory.__module__}.{factory.__qualname__}"
+
+
 def translate_folder(spark: SparkSession, input_dir: str, output_dir: str, processor: TextProcessor | None = None,
                      decoder_factory: Callable | None = None, n_best: int = 1, fmt: str = "json",
                      extract_tags: bool = False, glob: str | None = None) -> str:
     """Translate every file under ``input_dir`` into the same layout.
 
     Output rows are written partitioned by document (``doc=<relative path>``)
-    and sorted by (line_no, rank) inside each file.  The parsed stage
-    (``_stages/hyps``) is reused when it already exists (resume)."""
-    stage = f"{output_dir.rstrip('/')}/_stages/hyps"
+    and sorted by (line_no, rank) inside each file.  The parsed stage is named
+    after what made it (input, processor, decoder, n-best, tags, glob): a run
+    with the same arguments reuses a finished one, other arguments get their
+    own, and one without its success marker is written again (resume)."""
+    made = "|".join(str(x) for x in (input_dir, (processor or TextProcessor()).name, _name_of(decoder_factory), n_best, extract_tags, glob))
+    stage = f"{output_dir.rstrip('/')}/_stages/hyps-{hashlib.sha256(made.encode()).hexdigest()[:16]}"
     if not stage_done(spark, stage):
         lines = read_folder(spark, input_dir, glob)
         out = translate_lines(lines, processor=processor, decoder_factory=decoder_factory, n_best=n_best,
                               extract_tags=extract_tags)
-        out.write.mode("errorifexists").parquet(stage)                        # K5
+        out.write.mode("overwrite").parquet(stage)                            # K5
     hyps = spark.read.parquet(stage)
     rows = format_rows(hyps, fmt)
     # Range partitioning keeps each document's rows contiguous and ordered

@@ -77,19 +77,22 @@ def global_items(pieces: DataFrame) -> DataFrame:
 def range_join_items(items: DataFrame, docs: DataFrame, block: int = 1 << 16) -> DataFrame:
     """Which document owns global item k (``first <= k < first + n``).
 
-    Bucketised range join: each document is exploded to the item blocks it
-    spans (≤ n/block + 2 rows), the items join on the block id (an equi
-    join Catalyst can shuffle-hash or sort-merge), then the exact range
-    filter.  Nothing is broadcast, so the document table may grow freely.
+    The ranges are ordered and disjoint, so the owner is the last document that
+    starts at or before the item.  Starts and items meet in one stream per
+    block of ``block`` positions (a document has a start in each block it
+    spans), and a window carries the last start forward: every item meets one
+    candidate, a block is a bounded number of rows, and nothing is broadcast.
     """
     spans = docs.select("doc_id", "first_piece", "n_pieces", F.explode(F.sequence(
-        F.floor(F.col("first_piece") / block).cast("long"),
-        F.floor((F.col("first_piece") + F.col("n_pieces") - 1) / block).cast("long"))).alias("_blk"))
-    keyed = items.withColumn("_blk", F.floor(F.col("item") / block).cast("long"))
-    return (keyed.join(spans, "_blk")
-            .filter((F.col("item") >= F.col("first_piece"))
-                    & (F.col("item") < F.col("first_piece") + F.col("n_pieces")))
-            .drop("_blk"))
+        F.expr(f"first_piece div {block}L"), F.expr(f"(first_piece + n_pieces - 1) div {block}L"))).alias("_blk"))
+    starts = spans.select("_blk", F.greatest("first_piece", F.col("_blk") * block).alias("item"), F.lit(0).alias("_kind"),
+                          F.struct("doc_id", "first_piece", "n_pieces").alias("_doc"))
+    rows = items.select(F.expr(f"item div {block}L").alias("_blk"), "item", F.lit(1).alias("_kind"),
+                        F.lit(None).cast(starts.schema["_doc"].dataType).alias("_doc"))
+    ahead = Window.partitionBy("_blk").orderBy("item", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    owned = starts.unionByName(rows).withColumn("_doc", F.last("_doc", ignorenulls=True).over(ahead))
+    return (owned.filter((F.col("_kind") == 1) & (F.col("item") < F.col("_doc.first_piece") + F.col("_doc.n_pieces")))
+                 .select("item", "_doc.*"))
 
 
 @register("doc_offsets_range_join", with_(LINES, PIECES) + r"""

@@ -36,10 +36,20 @@ def test_translate_folder_layout_and_resume(spark):
     assert a[1]["translation"].startswith("HELLO") and a[1]["translation"].endswith("x.y@z.org")
     assert a[2]["translation"] == "" and a[4]["translation"] == words
     assert len(rows) == 2
-    # resume: the stage table exists, a second run does not recompute it
-    again = translate_folder(spark, "/nonexistent", out_dir, fmt="marian")
+    # resume: with the same arguments the finished stage is read, not made again
+    stages = f"{out_dir}/_stages"
+    made = os.listdir(stages)
+    again = translate_folder(spark, d, out_dir, decoder_factory=factory, n_best=2, fmt="marian", extract_tags=True)
+    assert os.listdir(stages) == made
     first = open(sorted(glob.glob(f"{again}/doc=a.txt/part-*"))[0]).readline().strip()
     assert first.startswith("0 ||| hello")
+    # a stage without its marker is written again; other arguments get a stage of their own
+    os.remove(f"{stages}/{made[0]}/_SUCCESS")
+    translate_folder(spark, d, out_dir, decoder_factory=factory, n_best=2, extract_tags=True)
+    assert os.path.exists(f"{stages}/{made[0]}/_SUCCESS")
+    one = translate_folder(spark, d, out_dir, decoder_factory=factory, n_best=1, extract_tags=True)
+    assert len(os.listdir(stages)) == 2
+    assert sum(1 for f in glob.glob(f"{one}/doc=a.txt/part-*") for _ in open(f)) == 3
 
 
 def test_processor_chains(spark):
