@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -23,15 +23,28 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting: shuffle files go as soon as the statement that wrote them ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
     Cuts the lineage: what follows is computed from files that outlive any
-    executor, and a table that several branches read is computed once.
+    executor, and a table that several branches read is computed once.  Nothing
+    reads the shuffle files of the write again, so they are deleted with it.
     """
-    path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = shared_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(*frames: DataFrame) -> None:
@@ -63,37 +76,29 @@ def fingerprint(edges: DataFrame) -> tuple:
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges(a, b)`` (longs): ``node, root`` with the
-    smallest reachable node as root, one row per node that has an edge.
+    smallest reachable node as root, one row per node that is not a root itself.
 
-    Alternating large-star / small-star rounds: each round is two aggregations
-    over the edges, the result is written to the shared folder, and the number
-    of rounds grows with the logarithm of a component's size.  No component is
-    gathered in one task: a node's neighbours are only reduced to a minimum, and
-    the minima are written before the joins, so that AQE can split a hot node.
+    Alternating large-star / small-star rounds; their number grows with the
+    logarithm of a component's size.  A node's neighbours are only reduced to a
+    minimum, never listed.  The minima of the large star are written before the
+    join, so that AQE can split a node with very many neighbours; below a node
+    the large star leaves few, so the small star is a window.
     """
-    both = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    current = staged(both, "edges")
-    nodes = staged(current.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
+    current = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     mark = fingerprint(current)
     for _ in range(max_rounds):
         # large star: every neighbour above the node links to the node's smallest neighbour
-        sym = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = staged(sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
-        large = (sym.join(low, "u").where(F.col("v") > F.col("u"))
-                    .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
+        both = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small star: every neighbour below the node, and the node, link to the smallest of them
-        large = staged(large, "large")
-        down = staged(large.groupBy("u").agg(F.min("v").alias("m")), "down")
-        small = (large.join(down, "u")
-                      .select(F.explode(F.array(F.struct(F.col("v").alias("x"), F.col("m").alias("y")),
-                                                F.struct(F.col("u").alias("x"), F.col("m").alias("y")))).alias("e"))
-                      .select(F.col("e.x").alias("u"), F.col("e.y").alias("v")).where("u <> v").distinct())
+        down = large.select("u", "v", F.min("v").over(Window.partitionBy("u")).alias("m"))
+        links = F.array(F.struct(F.col("v").alias("x"), F.col("m").alias("y")), F.struct(F.col("u").alias("x"), F.col("m").alias("y")))
+        small = (down.select(F.explode(links).alias("e")).select(F.col("e.x").alias("u"), F.col("e.y").alias("v"))
+                     .where("u <> v").distinct())
         after = staged(small, "edges")
-        drop_staged(current, low, large, down)
+        drop_staged(current, low)
         current, before, mark = after, mark, fingerprint(after)
         if mark == before:
-            break
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
+            return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -10,11 +10,10 @@ that the budget leaves untouched (with at most ``k`` differing bits in the
 first ``k`` following segments, at least ``k`` of their ``2 k`` halves agree).
 Fingerprints that share a key are compared chain by chain, then in full.
 
-Equal fingerprints are one class before the search.  Dense groups are linked
-without their pairs: fingerprints that agree outside a slice of at most four
-bits lie within four bits of each other, so each is linked to the smallest one
-of its slice (an aggregation); pairs that are already linked that way are not
-searched.
+Equal fingerprints are one class before the search.  Dense groups need fewer
+pairs: fingerprints that agree outside a slice of four bits lie within four
+bits of each other, so each is linked to the smallest one of its slices, its
+root, and pairs that have one root are not searched.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import UPPER, LOWER, components, staged, without
@@ -112,15 +111,18 @@ def chain_condition(start: int, x: str, segments: int = SEGMENTS, distance: int
     return "(" + " and ".join(out) + ")"
 
 
-def slice_links(classes: DataFrame, width: int = DISTANCE) -> DataFrame:
-    """Links ``a, b`` of each fingerprint to the smallest one that agrees with it
-    outside one slice of ``width`` bits: no pair is enumerated, hot groups are
-    combined on the map side."""
+def slice_roots(fps: DataFrame, width: int = DISTANCE) -> DataFrame:
+    """``fp, root``: each fingerprint with the smallest one that agrees with it
+    outside one slice of ``width`` bits (itself, if there is none).
+
+    Both are within ``width`` bits of each other, so each is linked to its
+    root, and no pair is enumerated; a group that agrees outside a slice has at
+    most ``2 ** width`` fingerprints.
+    """
     slices = [((1 << min(i + width, BITS)) - 1) ^ ((1 << i) - 1) for i in range(0, BITS, width)]
-    keyed = classes.select("fp", F.posexplode(F.array(*[F.expr(f"fp & {signed(~s & (1 << 64) - 1)}L") for s in slices]))
-                           .alias("slice", "rest"))
-    least = keyed.groupBy("slice", "rest").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-    return keyed.join(least, ["slice", "rest"]).select(F.col("fp").alias("a"), "b").where("a <> b")
+    keyed = fps.select("fp", F.posexplode(F.array(*[F.expr(f"fp & {signed(~s & (1 << 64) - 1)}L") for s in slices])).alias("slice", "rest"))
+    return (keyed.select("fp", F.min("fp").over(Window.partitionBy("slice", "rest")).alias("root"))
+                 .groupBy("fp").agg(F.min("root").alias("root")))
 
 
 def search_links(classes: DataFrame, segments: int = SEGMENTS, distance: int = DISTANCE, chain: int = CHAIN) -> DataFrame:
@@ -151,17 +153,14 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     if distance >= SEGMENTS:
         raise ValueError(f"distance must be below the number of segments, {SEGMENTS}")
     fps = staged(with_fingerprints(docs, key, text, shingle), "fingerprints")
-    classes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    dense = components(slice_links(classes, distance))
-    rooted = staged(classes.join(dense.select(F.col("node").alias("fp"), "root"), "fp", "left")
-                           .select("fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
-    found = search_links(rooted, distance=distance)
-    links = found.unionByName(rooted.where("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b")))
-    groups = components(links)
-    named = rooted.join(groups.select(F.col("node").alias("fp"), F.col("root").alias("top")), "fp", "left").select(
-        "fp", "least", F.coalesce("top", "fp").alias("top"))
-    least = named.groupBy("top").agg(F.min("least").alias("component_id"))
-    members = staged(named.join(least, "top").select("fp", "component_id"), "members")
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    rooted = staged(slice_roots(classes, distance), "rooted")
+    links = search_links(rooted, distance=distance).unionByName(rooted.select(F.col("fp").alias("a"), F.col("root").alias("b")))
+    roots = components(links)
+    named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = staged(named, "named")
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = staged(named.join(least, "root").select("fp", "component_id"), "members")
     return (fps.join(members, "fp")
                .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
