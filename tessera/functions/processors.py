@@ -1,15 +1,15 @@
 """Text processors: the pre/post hooks of a translation job.
 
-A processor is three Column → Column functions: ``pre`` (whole line, before
+A processor is three Column → Column functions, ``pre`` (whole line, before
 wrapping), ``pre_piece`` (each piece, after wrapping) and ``post`` (the
-re-joined translation).  Chains are compositions of native expressions, so a
-whole job stays in whole-stage code generation.
+re-joined translation), and the corpus steps between ``pre`` and wrapping that
+need a model: ``truecases`` (a case model, ``operators.truecase``) and
+``subwords`` (merges, ``operators.bpe``; "bpe" or "spm" spelling).  The models
+come as ``Models``; ``encode_lines`` runs the encode side of a chain.
 
 The tokeniser, detokeniser and punctuation normaliser (F36, F37, F40) are
 documented rule subsets, not byte-compatible re-implementations of the
-external scripts the reference calls; subword encoding and truecasing need a
-model learned over the corpus and run as corpus jobs (``operators.bpe``,
-``operators.truecase``), so the column chains here carry their decode side.
+external scripts the reference calls.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -44,6 +44,34 @@ class TextProcessor:
     pre: ColFn = _id
     pre_piece: ColFn = _id
     post: ColFn = _id
+    truecases: bool = False
+    subwords: str | None = None
+
+
+@dataclass(frozen=True)
+class Models:
+    """What the corpus steps of a chain need: ``cases`` as made by
+    ``truecase.case_model``, ``merges`` as made by ``bpe.learn_merges``."""
+    cases: DataFrame | None = None
+    merges: DataFrame | None = None
+
+
+def encode_lines(lines: DataFrame, proc: TextProcessor, models: Models | None = None, keys=("doc_id", "line_no"),
+                 text: str = "text", keep=()) -> DataFrame:
+    """The encode side of a chain up to wrapping: ``keys…, keep…, text``."""
+    from tessera.operators import bpe, truecase
+    ids = [*keys, *keep]
+    models = models or Models()
+    out = lines.select(*ids, T.strip(proc.pre(T.strip(F.col(text)))).alias(text))
+    if proc.truecases:
+        if models.cases is None:
+            raise ValueError(f"{proc.name} needs a case model")
+        out = truecase.truecase(truecase.token_table(out, ids, text), models.cases, ids).withColumnRenamed("text", text)
+    if proc.subwords:
+        if models.merges is None:
+            raise ValueError(f"{proc.name} needs merges")
+        out = bpe.encode_corpus(out, models.merges, ids, text, style=proc.subwords)
+    return out
 
 
 # --- documented rule subsets of the external tools ---------------------------
@@ -98,50 +126,50 @@ def norm_for(language: str | None, romanized: bool = True, foreign: bool = True)
 
 # --- composite chains (C1-C9) -------------------------------------------------
 def multilingual_spm(src: str, tgt: str) -> TextProcessor:            # C1
-    return TextProcessor("MultilingualSpmTextProcessor", pre=_id,
+    return TextProcessor("MultilingualSpmTextProcessor", subwords="spm",
                          pre_piece=lambda p: F.concat(F.lit(f"▁ <2{tgt}> "), p), post=T.spm_decode)
 
 
 def spm_multilingual(src: str, tgt: str) -> TextProcessor:            # C2
-    return TextProcessor("SpmMultilingualTextProcessor", pre=_id,
+    return TextProcessor("SpmMultilingualTextProcessor", subwords="spm",
                          pre_piece=lambda p: T.language_tag(p, F.lit(tgt)), post=T.spm_decode)
 
 
 def moses(src: str, tgt: str) -> TextProcessor:                       # C3
-    return TextProcessor("MosesTextProcessor", pre=tokenize, post=chain(T.detruecase, detokenize))
+    return TextProcessor("MosesTextProcessor", pre=tokenize, truecases=True, post=chain(T.detruecase, detokenize))
 
 
 def moses_subword(src: str, tgt: str) -> TextProcessor:               # C4 (default)
-    return TextProcessor("MosesSubwordNmtTextProcessor", pre=tokenize,
+    return TextProcessor("MosesSubwordNmtTextProcessor", pre=tokenize, truecases=True, subwords="bpe",
                          post=chain(T.bpe_decode, T.detruecase, detokenize))
 
 
 def norm_subword(src: str, tgt: str) -> TextProcessor:                # C5
-    return TextProcessor("NormSubwordNmtTextProcessor", pre=norm_for(src),
+    return TextProcessor("NormSubwordNmtTextProcessor", pre=norm_for(src), subwords="bpe",
                          post=chain(T.bpe_decode, norm_for(tgt)))
 
 
 def query_moses_subword(src: str, tgt: str) -> TextProcessor:         # C6
-    return TextProcessor("QueryMosesSubwordNmtTextProcessor", pre=chain(T.append_query, tokenize),
+    return TextProcessor("QueryMosesSubwordNmtTextProcessor", pre=chain(T.append_query, tokenize), truecases=True, subwords="bpe",
                          post=chain(T.bpe_decode, T.detruecase, detokenize))
 
 
 def remove_punct_moses_subword(src: str, tgt: str) -> TextProcessor:  # C7
-    return TextProcessor("RemovePunctMosesSubwordNmtTextProcessor", pre=chain(remove_punct, tokenize),
+    return TextProcessor("RemovePunctMosesSubwordNmtTextProcessor", pre=chain(remove_punct, tokenize), truecases=True, subwords="bpe",
                          post=chain(T.bpe_decode, T.detruecase, detokenize))
 
 
 def normpunct_moses_subword(src: str, tgt: str) -> TextProcessor:     # C8
-    return TextProcessor("MosesNormPunctMosesSubwordNmtTextProcessor", pre=chain(normalize_punct, tokenize),
+    return TextProcessor("MosesNormPunctMosesSubwordNmtTextProcessor", pre=chain(normalize_punct, tokenize), truecases=True, subwords="bpe",
                          post=chain(T.bpe_decode, T.detruecase, detokenize))
 
 
 def query_spm(src: str, tgt: str) -> TextProcessor:                   # C9
-    return TextProcessor("QuerySpmTextProcessor", pre=T.append_query, post=T.spm_decode)
+    return TextProcessor("QuerySpmTextProcessor", pre=T.append_query, subwords="spm", post=T.spm_decode)
 
 
 def spm(src: str, tgt: str) -> TextProcessor:
-    return TextProcessor("SpmTextProcessor", post=T.spm_decode)
+    return TextProcessor("SpmTextProcessor", subwords="spm", post=T.spm_decode)
 
 
 def base(src: str, tgt: str) -> TextProcessor:

@@ -16,15 +16,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.processors import TextProcessor
+from tessera.functions.processors import Models, TextProcessor, encode_lines
 from tessera.operators import decode, placeholders, wrap
 from tessera.sources.tables import read_folder
 
 
 def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextProcessor | None = None,
                     decoder_factory: Callable | None = None, n_best: int = 1, extract_tags: bool = False,
-                    max_length: int = wrap.MAX_SENTENCE_LENGTH) -> DataFrame:
-    """``keys…, rank, translation`` for every line (empty lines give '')."""
+                    max_length: int = wrap.MAX_SENTENCE_LENGTH, models: Models | None = None) -> DataFrame:
+    """``keys…, rank, translation`` for every line (empty lines give '').
+
+    A processor with corpus steps (truecasing, subwords) needs its ``models``."""
     keys = list(keys)
     proc = processor or TextProcessor()
     df = lines
@@ -32,7 +34,11 @@ def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextPr
     if extract_tags:
         df = placeholders.extract_placeholders(df, "text", "text", "tags")
         tags = "tags"
-    pieces = wrap.wrap_lines(df, keys=keys, before_wrap=proc.pre, after_wrap=proc.pre_piece,
+    if proc.truecases or proc.subwords:
+        df, before = encode_lines(df, proc, models, keys, keep=[tags] if tags else []), None
+    else:
+        before = proc.pre
+    pieces = wrap.wrap_lines(df, keys=keys, before_wrap=before, after_wrap=proc.pre_piece,
                              keep=[tags] if tags else [])
     if decoder_factory is None:
         hyps = decode.echo_decode(pieces, n_best)
@@ -68,7 +74,7 @@ def _name_of(factory: Callable | None) -> str:
 
 def translate_folder(spark: SparkSession, input_dir: str, output_dir: str, processor: TextProcessor | None = None,
                      decoder_factory: Callable | None = None, n_best: int = 1, fmt: str = "json",
-                     extract_tags: bool = False, glob: str | None = None) -> str:
+                     extract_tags: bool = False, glob: str | None = None, models: Models | None = None) -> str:
     """Translate every file under ``input_dir`` into the same layout.
 
     Output rows are written partitioned by document (``doc=<relative path>``)
@@ -81,7 +87,7 @@ def translate_folder(spark: SparkSession, input_dir: str, output_dir: str, proce
     if not stage_done(spark, stage):
         lines = read_folder(spark, input_dir, glob)
         out = translate_lines(lines, processor=processor, decoder_factory=decoder_factory, n_best=n_best,
-                              extract_tags=extract_tags)
+                              extract_tags=extract_tags, models=models)
         out.write.mode("overwrite").parquet(stage)                            # K5
     hyps = spark.read.parquet(stage)
     rows = format_rows(hyps, fmt)

@@ -61,3 +61,43 @@ def test_processor_chains(spark):
     proc = P.get_processor("MultilingualSpmTextProcessor", "kk", "en")
     assert df.select(proc.pre_piece(F.lit("x")).alias("p")).first().p == "▁ <2en> x"
     assert set(P.PROCESSORS) >= {"MosesSubwordNmtTextProcessor", "QuerySpmTextProcessor"}
+
+
+def test_chains_truecase_and_segment(spark):
+    """Every chain's encoded text against the steps in plain Python; the default chain comes back whole."""
+    from tessera.operators import bpe, truecase
+    from tessera.operators.translate import translate_lines
+    raw = [(0, 0, "The dog runs, the Dog sleeps."), (0, 1, ""), (0, 2, "Lower lowest low the dog ||| low"), (1, 0, "the cat saw Ann; Ann ran")]
+    lines = spark.createDataFrame(raw, "doc_id long, line_no long, text string")
+    tokenized = lines.withColumn("text", P.tokenize(F.col("text")))
+    cases = truecase.case_model(truecase.token_table(tokenized)).cache()
+    merges = bpe.learn_merges(tokenized, 12).cache()
+    models = P.Models(cases, merges)
+    ranks = {(m.left, m.right): m.rank for m in merges.collect()}
+    best = {c.lc: (c.best, set(c.forms)) for c in cases.collect()}
+
+    def cased(text):
+        out, first = [], True
+        for t in text.split():
+            known = best.get(t.lower())
+            out.append(t if known is None or (not first and t in known[1]) else known[0])
+            first = t[-1] in ".!?:"
+        return " ".join(out)
+
+    def spelled(text, style):
+        words = [bpe.segment_word(w, ranks) for w in text.split()]
+        return " ".join("\u2581" + " ".join(w) for w in words) if style == "spm" else " ".join("@@ ".join(w) for w in words)
+
+    for name in P.PROCESSORS:
+        proc = P.get_processor(name, "en", "en")
+        got = {(r.doc_id, r.line_no): r.text for r in P.encode_lines(lines, proc, models).collect()}
+        pre = {(r.doc_id, r.line_no): r.t for r in lines.select("doc_id", "line_no", proc.pre(F.trim("text")).alias("t")).collect()}
+        for key, text in pre.items():
+            text = cased(text.strip()) if proc.truecases else text.strip()
+            assert got[key] == (spelled(text, proc.subwords) if proc.subwords else text), (name, key)
+    default = P.get_processor("MosesSubwordNmtTextProcessor", "en", "en")
+    back = translate_lines(lines, ("doc_id", "line_no"), default, models=models).orderBy("doc_id", "line_no").collect()
+    assert [r.translation for r in back][:2] == ["The dog runs, the Dog sleeps.", ""]
+    import pytest
+    with pytest.raises(ValueError):
+        translate_lines(lines, ("doc_id", "line_no"), default)
