@@ -3,17 +3,20 @@
 Corpus BLEU follows Papineni et al. (2002) with the conventions of Post
 (2018): 13a tokenisation, clipped n-gram precision up to 4-grams, brevity
 penalty against the closest reference length, exponential smoothing for
-zero matches.  Everything is an aggregation: n-grams are exploded, counted
-per (set, segment, n, gram) with hypothesis and reference counts in ONE
-grouping (no join), clipped, and summed per (set, n).
+zero matches.  Clipping is per segment, so each segment's n-grams are counted
+in its own row (an Arrow function over its tokens) and ten numbers a segment
+are summed per set: no n-gram is shuffled.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from tessera.functions import text as T
 
@@ -42,52 +45,37 @@ def tokenize_13a(c: Column) -> Column:
     return T.tokens(s)
 
 
-def _ngrams(tok_col: str, n: int) -> Column:
-    tok = F.col(tok_col)
-    return F.transform(F.sequence(F.lit(1), F.size(tok) - n + 1),
-                       lambda i: F.array_join(F.slice(tok, i, n), " "))
-
-
-def _tag_gram(n: int, side: str):
-    return lambda g: F.struct(F.lit(n).alias("n"), F.lit(side).alias("side"), g.alias("gram"))
-
-
 def _tokens_once(segments: DataFrame, keys: list[str], cols: dict[str, str]) -> DataFrame:
     """13a tokens of every side, projected once (lambdas below only see columns)."""
     return segments.select(*keys, *[tokenize_13a(F.col(c)).alias(f"_t_{k}") for k, c in cols.items()])
 
 
-def ngram_stats(tok: DataFrame, keys: Sequence[str], sides: Sequence[str]) -> DataFrame:
-    """Per (keys…, n): clipped matches ``_clip`` and hypothesis n-grams ``_ch``.
+def segment_counts(hyp: list[str], refs: list[list[str]]) -> list[int]:
+    """Clipped matches of the orders 1-4, n-grams of the hypothesis of the
+    orders 1-4, its length, and the closest reference length (ties: shorter)."""
+    clipped, totals = [], []
+    for n in range(1, MAX_ORDER + 1):
+        def counts(tokens, n=n):
+            return Counter(zip(*[tokens[i:] for i in range(n)]))
+        mine = counts(hyp)
+        bound = Counter()
+        for ref in refs:
+            bound |= counts(ref)
+        clipped.append((mine & bound).total())
+        totals.append(max(0, len(hyp) - n + 1))
+    closest = min((abs(len(r) - len(hyp)), len(r)) for r in refs)[1]
+    return [*clipped, *totals, len(hyp), closest]
 
-    All n-grams of all sides are exploded once (one array of structs per
-    segment) and grouped once by (keys, n, gram): a count for the
-    hypothesis ``h`` and one per reference ``r<i>`` (their max is the clip
-    bound).  Partial aggregation runs before the shuffle.
-    """
-    keys = list(keys)
-    parts = []
-    for side in sides:
-        for n in range(1, MAX_ORDER + 1):
-            parts.append(F.transform(
-                F.when(F.size(f"_t_{side}") >= n, _ngrams(f"_t_{side}", n)).otherwise(F.array().cast("array<string>")),
-                _tag_gram(n, side)))
-    grams = tok.select(*keys, F.explode(F.concat(*parts)).alias("_g")).select(*keys, "_g.*")
-    refs = [s for s in sides if s != "h"]
-    per_gram = grams.groupBy(*keys, "n", "gram").agg(
-        F.count_if(F.col("side") == "h").alias("_ch"),
-        *[F.count_if(F.col("side") == r).alias(f"_c{r}") for r in refs])
-    ref_max = F.greatest(*[F.col(f"_c{r}") for r in refs]) if len(refs) > 1 else F.col(f"_c{refs[0]}")
-    return per_gram.select(*keys, "n", F.least(F.col("_ch"), ref_max).alias("_clip"), "_ch")
-
-
-def lengths(tok: DataFrame, keys: Sequence[str], sides: Sequence[str]) -> DataFrame:
-    """Hypothesis length and closest reference length (ties → shorter) per segment."""
-    refs = [s for s in sides if s != "h"]
-    base = tok.select(*keys, F.size("_t_h").alias("sys_len"), F.array(*[F.size(f"_t_{r}") for r in refs]).alias("_rl"))
-    closest = F.array_min(F.transform("_rl", lambda r: F.struct(F.abs(r - F.col("sys_len")).alias("d"),
-                                                                   r.alias("r"))))["r"]
-    return base.select(*keys, "sys_len", closest.alias("ref_len"))
+
+@F.arrow_udf(ArrayType(LongType()))
+def _segment_counts(hyps: pa.Array, refs: pa.Array) -> pa.Array:
+    return pa.array([segment_counts(h or [], [r or [] for r in rs]) for h, rs in zip(hyps.to_pylist(), refs.to_pylist())],
+                    pa.list_(pa.int64()))
+
+
+def first_rank(hyps: DataFrame, rank: str = "rank") -> DataFrame:
+    """Of n-best output only the best hypothesis of each line is scored."""
+    return hyps.filter(F.col(rank) == 0).drop(rank)
 
 
 def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str], hyp: str = "hyp",
@@ -97,20 +85,10 @@ def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str
     keys = group + seg_key
     cols = {"h": hyp, **{f"r{i}": r for i, r in enumerate(refs)}}
     tok = _tokens_once(segments, keys, cols)
-    stats = ngram_stats(tok, keys, list(cols))
-    per_n = stats.groupBy(*group, "n").agg(F.sum("_clip").alias("correct"), F.sum("_ch").alias("total"))
-    lens = lengths(tok, keys, list(cols)).select(*group, "sys_len", "ref_len")
-    # n-gram totals and lengths meet in ONE aggregation (a union), not a join
-    null = F.lit(None).cast("long")
-    both = (per_n.select(*group, F.col("n").cast("long").alias("n"), F.col("correct").cast("long").alias("correct"),
-                         F.col("total").cast("long").alias("total"), null.alias("sys_len"), null.alias("ref_len"))
-            .unionByName(lens.select(*group, null.alias("n"), null.alias("correct"), null.alias("total"),
-                                     F.col("sys_len").cast("long").alias("sys_len"),
-                                     F.col("ref_len").cast("long").alias("ref_len"))))
-    out = both.groupBy(*group).agg(
-        *[F.sum(F.when(F.col("n") == n, F.col("correct"))).alias(f"{n}_c") for n in range(1, MAX_ORDER + 1)],
-        *[F.sum(F.when(F.col("n") == n, F.col("total"))).alias(f"{n}_t") for n in range(1, MAX_ORDER + 1)],
-        F.sum("sys_len").alias("sys_len"), F.sum("ref_len").alias("ref_len"))
+    refs_ = F.array(*[F.col(f"_t_r{i}") for i in range(len(refs))])
+    counts = tok.select(*group, _segment_counts(F.col("_t_h"), refs_).alias("_c"))
+    names = [*(f"{n}_c" for n in range(1, MAX_ORDER + 1)), *(f"{n}_t" for n in range(1, MAX_ORDER + 1)), "sys_len", "ref_len"]
+    out = counts.groupBy(*group).agg(*[F.sum(F.get("_c", i)).alias(name) for i, name in enumerate(names)])
     cols_n = {n: (F.coalesce(F.col(f"{n}_c"), F.lit(0)), F.coalesce(F.col(f"{n}_t"), F.lit(0)))
               for n in range(1, MAX_ORDER + 1)}
     # exponential smoothing: the k-th order with zero matches gets 100 / (2^k * total)

@@ -98,7 +98,7 @@ def query_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     characters of the preceding user turn, written ``t1 ||| t2 …``."""
     pairs = turn_pairs(spark, sf_dir)
     long_words = F.filter(T.tokens(F.col("ref")), lambda w: F.length(w) >= 12)
-    return pairs.select("conv_id", "turn", "hyp", F.array_join(long_words, " ||| ").alias("query"))
+    return pairs.select("conv_id", "turn", "hyp", "ref", F.array_join(long_words, " ||| ").alias("query"))
 
 
 QUERY_SQL = """WITH {pairs},
@@ -133,14 +133,10 @@ UNION ALL SELECT g, 'QueryScorer', 'score', score FROM qs""".format(
                            groupby="GROUP BY g")))
 def score_test_sets(spark, sf_dir):
     """Every test set × every configured scorer → long ``scores`` table."""
-    pairs = query_pairs(spark, sf_dir).join(turn_pairs(spark, sf_dir).select("conv_id", "turn", "ref"),
-                                            ["conv_id", "turn"])
-    pairs = pairs.withColumn("test_set", F.concat(F.lit("t"), F.col("turn").cast("string")))
+    pairs = query_pairs(spark, sf_dir).withColumn("test_set", F.concat(F.lit("t"), F.col("turn").cast("string")))
     bleu = scoring.corpus_bleu(pairs, ["test_set"], ["conv_id", "turn"])
     q = scoring.query_term_scores(pairs, ["test_set"])
-    out = bleu.select("test_set", F.lit("SacrebleuScorer").alias("scorer"), F.lit("bleu").alias("metric"),
-                      F.col("bleu").alias("value"))
-    for m in ("inserted", "expected", "score"):
-        out = out.unionByName(q.select("test_set", F.lit("QueryScorer").alias("scorer"), F.lit(m).alias("metric"),
-                                       F.col(m).cast("double").alias("value")))
-    return out
+    metrics = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in ("inserted", "expected", "score")])
+    return (bleu.select("test_set", F.lit("SacrebleuScorer").alias("scorer"), F.lit("bleu").alias("metric"), F.col("bleu").alias("value"))
+                .unionByName(q.select("test_set", F.lit("QueryScorer").alias("scorer"), F.explode(metrics).alias("m"))
+                              .select("test_set", "scorer", "m.metric", "m.value")))

@@ -130,3 +130,13 @@ def test_big_file_line_numbers_across_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert {k: v for k, v in got.items() if k[0] == "big.txt"} == {("big.txt", i): t for i, t in enumerate(lines)}
     assert got[("small.txt", 0)] == "a" and got[("small.txt", 1)] == "b"
+
+
+def test_bleu_clips_by_the_best_reference_and_scores_one_best(spark):
+    hyps = spark.createDataFrame([(0, 0, "a a b"), (0, 1, "x y z"), (1, 0, None), (1, 1, "a")], "k int, rank int, hyp string")
+    best = scoring.first_rank(hyps)
+    assert sorted((r.k, r.hyp) for r in best.collect()) == [(0, "a a b"), (1, None)]
+    refs = spark.createDataFrame([(0, "a c", "a a d e"), (1, "b", "")], "k int, r1 string, r2 string")
+    got = scoring.corpus_bleu(best.join(refs, "k"), [], ["k"], refs=("r1", "r2")).first()
+    assert (got.sys_len, got.ref_len) == (3, 2)      # lengths 2 and 4 are equally close: the shorter; then 0
+    assert got.p1 == round(100 * 2 / 3, 6) and got.p2 == 50.0
