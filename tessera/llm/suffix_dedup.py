@@ -29,7 +29,8 @@ On the reduced string the suffix array method runs as Spark jobs:
 
 What is left are windows across the edges of repeated passages.  They, and one
 member of each group of equal suffixes that has such a window as neighbour, are
-compared by 128-bit hashes of their bytes.
+compared by 128-bit hashes of their bytes, first runs of windows as a whole,
+then window by window.
 """
 
 from __future__ import annotations
@@ -167,6 +168,31 @@ def batch_of(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def packed(parts, kinds: dict, rows: int = 1 << 16, data: int = 1 << 24):
+    """Record batches of about ``rows`` rows or ``data`` bytes from many small
+    parts, each a dict of equally long columns (arrays or lists)."""
+    held, n, size = [], 0, 0
+
+    def batch():
+        columns = {}
+        for name, kind in kinds.items():
+            values = [p[name] for p in held]
+            flat = np.concatenate(values) if isinstance(values[0], np.ndarray) else [x for v in values for x in v]
+            columns[name] = pa.array(flat, kind)
+        return batch_of(columns)
+
+    for part in parts:
+        first = part[next(iter(kinds))]
+        held.append(part)
+        n += len(first)
+        size += sum(len(x) for x in part.get("body", ()))
+        if n >= rows or size >= data:
+            yield batch()
+            held, n, size = [], 0, 0
+    if n:
+        yield batch()
+
+
 LISTS = {"long": pa.list_(pa.int64()), "int": pa.list_(pa.int32())}
 
 
@@ -199,15 +225,19 @@ def candidate_windows(texts: DataFrame) -> DataFrame:
 
 def regions_of(texts: DataFrame, length: int) -> DataFrame:
     """``rid, doc, start, body, symbols, steps`` from ``doc, t, first, last``."""
-    def run(batches):
+    kinds = {"doc": pa.int64(), "start": pa.int64(), "body": pa.binary(), "symbols": LISTS["long"], "steps": LISTS["int"]}
+
+    def regions(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                doc, text, first, last = (c[0].as_py() for c in batch.slice(at, 1).columns)
+                doc, text, first, last = (c[at].as_py() for c in batch.columns)
                 for s, e in joined_windows(first, last):
                     body = text[s:e + length]
                     r = Region(body, length)
-                    yield batch_of({"doc": pa.array([doc]), "start": pa.array([s], pa.int64()), "body": pa.array([body], pa.binary()),
-                                    "symbols": pa.array([r.symbols], LISTS["long"]), "steps": pa.array([r.steps], LISTS["int"])})
+                    yield {"doc": [doc], "start": [s], "body": [body], "symbols": [r.symbols], "steps": [r.steps]}
+
+    def run(batches):
+        yield from packed(regions(batches), kinds, 4096)
 
     out = texts.select("doc", "t", "first", "last").mapInArrow(run, "doc long, start long, body binary, symbols array<long>, steps array<int>")
     return staged(out.withColumn("rid", F.monotonically_increasing_id()), "regions")
@@ -311,7 +341,9 @@ def equal_suffixes(regions: DataFrame, names: DataFrame) -> DataFrame:
     table = names.select("rid", F.filter("places", lambda x: x["done"]).alias("places"))
     joined = table.join(regions.select("rid", "symbols"), "rid")
 
-    def run(batches):
+    kinds = {"o": pa.int32(), "k0": pa.int64(), "k1": pa.int64(), "k2": pa.int64(), "rid": pa.int64(), "i": pa.int32()}
+
+    def keys(batches):
         for batch in batches:
             for rid, places, symbols in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 x, c = places.values, symbols.values.to_numpy()
@@ -322,10 +354,12 @@ def equal_suffixes(regions: DataFrame, names: DataFrame) -> DataFrame:
                 a = i[(i % 3 != 2) & (name[1:-1] != 0)]
                 b = i[:-1][(i[:-1] % 3 != 1) & (name[2:-1] != 0)]
                 n, m = len(a), len(b)
-                yield batch_of({"o": pa.array(np.repeat([1, 2], [n, m]), pa.int32()),
-                                "k0": pa.array(np.concatenate((c[a], c[b]))), "k1": pa.array(np.concatenate((np.zeros(n, np.int64), c[b + 1]))),
-                                "k2": pa.array(np.concatenate((name[a + 1], name[b + 2]))), "rid": pa.array(np.full(n + m, rid), pa.int64()),
-                                "i": pa.array(np.concatenate((a, b)), pa.int32())})
+                yield {"o": np.repeat([1, 2], [n, m]), "k0": np.concatenate((c[a], c[b])),
+                       "k1": np.concatenate((np.zeros(n, np.int64), c[b + 1])), "k2": np.concatenate((name[a + 1], name[b + 2])),
+                       "rid": np.full(n + m, rid), "i": np.concatenate((a, b))}
+
+    def run(batches):
+        yield from packed(keys(batches), kinds)
 
     keyed = joined.select("rid", "places", "symbols").mapInArrow(run, "o int, k0 long, k1 long, k2 long, rid long, i int")
     order = Window.partitionBy("o", "k0", "k1", "k2").orderBy("rid", "i")
@@ -337,11 +371,14 @@ def equal_suffixes(regions: DataFrame, names: DataFrame) -> DataFrame:
 
 
 #: kind 0: open window runs, 1: settled ones of a leading suffix, 2: all settled ones, joined
-RUN = "kind int, core long, rid long, s int, e int"
+RUN = "kind int, core long, f0 long, f1 long, rid long, s int, e int"
+RUN_KINDS = {"kind": pa.int32(), "core": pa.int64(), "f0": pa.int64(), "f1": pa.int64(), "rid": pa.int64(), "s": pa.int32(), "e": pa.int32()}
 
 
 def window_runs(regions: DataFrame, equal: DataFrame, length: int) -> DataFrame:
-    def run(batches):
+    """Runs of windows with one first anchor: what equal suffixes settle, and the
+    open rest with a hash of the anchored core and one of all bytes."""
+    def found(batches):
         for batch in batches:
             for rid, body, equal_at in zip(*(c.to_pylist() for c in batch.columns)):
                 r = Region(body, length)
@@ -349,46 +386,69 @@ def window_runs(regions: DataFrame, equal: DataFrame, length: int) -> DataFrame:
                 for x in equal_at or []:
                     full[x["i"]], leads[x["i"]] = True, x["leads"]
                 settled = full[r.before]  # the last entry, of no anchor, is false
-                core = r.cores()
-                one = settled & leads[r.before]
-                spans = joined_windows(r.first[settled].tolist(), r.last[settled].tolist())
-                kind = np.concatenate((np.zeros((~settled).sum()), np.ones(one.sum()), np.full(len(spans), 2)))
-                yield batch_of({"kind": pa.array(kind.astype(np.int32)),
-                                "core": pa.array(np.concatenate((core[~settled], core[one], np.zeros(len(spans), np.int64)))),
-                                "rid": pa.array(np.full(len(kind), rid), pa.int64()),
-                                "s": pa.array(np.concatenate((r.first[~settled], r.first[one], [s for s, _ in spans])).astype(np.int32)),
-                                "e": pa.array(np.concatenate((r.last[~settled], r.last[one], [e for _, e in spans])).astype(np.int32))})
+                core, second = r.cores(), Hashes(body, 1)
+                both = [h.of(r.first, r.last + length).view(np.int64) for h in (r.hashes, second)]
+                pick = np.concatenate((np.flatnonzero(~settled), np.flatnonzero(settled & leads[r.before])))
+                spans = np.array(joined_windows(r.first[settled].tolist(), r.last[settled].tolist()), np.int64).reshape(-1, 2)
+                none = np.zeros(len(spans), np.int64)
+                kind = np.concatenate((settled[pick].astype(np.int64), none + 2))
+                yield {"kind": kind, "core": np.concatenate((core[pick], none)), "f0": np.concatenate((both[0][pick], none)),
+                       "f1": np.concatenate((both[1][pick], none)), "rid": np.full(len(kind), rid),
+                       "s": np.concatenate((r.first[pick], spans[:, 0])), "e": np.concatenate((r.last[pick], spans[:, 1]))}
+
+    def run(batches):
+        yield from packed(found(batches), RUN_KINDS)
+
     joined = regions.select("rid", "body").join(equal, "rid", "left")
     return joined.select("rid", "body", "equal").mapInArrow(run, RUN)
 
 
+def settle_equal_runs(found: DataFrame) -> DataFrame:
+    """Open runs whose bytes are those of another run are settled as a whole."""
+    runs_ = found.where("kind < 2")
+    equal = runs_.groupBy("f0", "f1").agg(F.count("*").alias("n"), F.min("kind").alias("k"), F.min(F.struct("rid", "s")).alias("leader"))
+    equal = staged(equal.where("n > 1 and k = 0").select("f0", "f1", "leader"), "equal-runs")
+    joined = runs_.join(equal, ["f0", "f1"], "left")
+    leads = F.col("leader").isNull() | (F.struct("rid", "s") == F.col("leader"))
+    same = F.col("leader").isNotNull() & (F.col("kind") == 0)
+    rows = F.array(F.when(leads, F.struct(F.when(same, 1).otherwise(F.col("kind")).alias("kind"), "core", "rid", "s", "e")),
+                   F.when(same, F.struct(F.lit(2).alias("kind"), "core", "rid", "s", "e")))
+    out = joined.select(F.explode(F.array_compact(rows)).alias("x")).select("x.*")
+    return out.unionByName(found.where("kind = 2").select("kind", "core", "rid", "s", "e"))
+
+
 def open_windows(regions: DataFrame, found: DataFrame, length: int) -> DataFrame:
     """``rid, p``: windows of open runs that are repeated.  Only runs whose core
     occurs again, beside an open one, are compared."""
     cores = (found.where("kind < 2").groupBy("core").agg(F.count("*").alias("n"), F.min("kind").alias("k")).where("n > 1 and k = 0").select("core"))
     wanted = found.where("kind < 2").join(staged(cores, "cores"), "core").groupBy("rid").agg(F.collect_list(F.struct("kind", "s", "e")).alias("x"))
+    kinds = {"w0": pa.int64(), "w1": pa.int64(), "rid": pa.int64(), "p": pa.int32(), "open": pa.bool_()}
 
-    def run(batches):
+    def hashed(batches):
         for batch in batches:
             for rid, body, x in zip(*(c.to_pylist() for c in batch.columns)):
-                p = np.concatenate([np.arange(r["s"], r["e"] + 1) for r in x])
-                kind = np.repeat([r["kind"] for r in x], [r["e"] - r["s"] + 1 for r in x])
+                s, e, kind = (np.array([r[f] for r in x]) for f in ("s", "e", "kind"))
+                n = e - s + 1
+                p = np.repeat(s - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
                 w = [Hashes(body, k).of(p, p + length).view(np.int64) for k in (0, 1)]
-                yield batch_of({"w0": pa.array(w[0]), "w1": pa.array(w[1]), "rid": pa.array(np.full(len(p), rid), pa.int64()),
-                                "p": pa.array(p, pa.int32()), "open": pa.array(kind == 0)})
+                yield {"w0": w[0], "w1": w[1], "rid": np.full(len(p), rid), "p": p, "open": np.repeat(kind == 0, n)}
+
+    def run(batches):
+        yield from packed(hashed(batches), kinds)
 
     windows = regions.select("rid", "body").join(wanted, "rid").select("rid", "body", "x").mapInArrow(
         run, "w0 long, w1 long, rid long, p int, open boolean")
+    windows = staged(windows, "windows")
     again = windows.groupBy("w0", "w1").agg(F.count("*").alias("n"), F.max("open").alias("o")).where("n > 1 and o").select("w0", "w1")
-    return windows.where("open").join(staged(again, "windows"), ["w0", "w1"]).select("rid", "p")
+    return windows.where("open").join(staged(again, "repeated"), ["w0", "w1"]).select("rid", "p")
 
 
 def removed_spans(length: int):
     """Task: ``digest, n_removed, n_spans, kept_sha256, spans`` of texts with their removed windows."""
-    def run(batches):
+    def cut(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                digest, text, x = (c[0].as_py() for c in batch.slice(at, 1).columns)
+                digest, text, x = (c[at].as_py() for c in batch.columns)
                 spans: list[list[int]] = []
                 for s, e in sorted((r["s"], r["e"] + length) for r in x):
                     if spans and s <= spans[-1][1]:
@@ -399,9 +459,12 @@ def removed_spans(length: int):
                 for s, e in [*spans, [len(text), len(text)]]:
                     kept.update(text[done:s])
                     done = e
-                yield batch_of({"digest": pa.array([digest]), "n_removed": pa.array([sum(e - s for s, e in spans)], pa.int64()),
-                                "n_spans": pa.array([len(spans)], pa.int64()), "kept_sha256": pa.array([kept.hexdigest()]),
-                                "spans": pa.array([[f"{s}:{e}" for s, e in spans]])})
+                yield {"digest": [digest], "n_removed": [sum(e - s for s, e in spans)], "n_spans": [len(spans)],
+                       "kept_sha256": [kept.hexdigest()], "spans": [[f"{s}:{e}" for s, e in spans]]}
+
+    def run(batches):
+        yield from packed(cut(batches), {"digest": pa.string(), "n_removed": pa.int64(), "n_spans": pa.int64(),
+                                         "kept_sha256": pa.string(), "spans": pa.list_(pa.string())}, 4096)
     return run
 
 
@@ -434,7 +497,7 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     regions = regions_of(work, length)
 
     equal = staged(equal_suffixes(regions, named_suffixes(regions, length)), "equal")
-    found = staged(window_runs(regions, equal, length), "window-runs")
+    found = staged(settle_equal_runs(staged(window_runs(regions, equal, length), "window-runs")), "settled-runs")
     opened = open_windows(regions, found, length)
     gone = (found.where("kind = 2").select("rid", "s", "e").unionByName(opened.select("rid", F.col("p").alias("s"), F.col("p").alias("e")))
                  .join(regions.select("rid", "doc", "start"), "rid")
