@@ -39,7 +39,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import drop_staged, staged
@@ -362,9 +362,13 @@ def equal_suffixes(regions: DataFrame, names: DataFrame) -> DataFrame:
         yield from packed(keys(batches), kinds)
 
     keyed = joined.select("rid", "places", "symbols").mapInArrow(run, "o int, k0 long, k1 long, k2 long, rid long, i int")
-    order = Window.partitionBy("o", "k0", "k1", "k2").orderBy("rid", "i")
-    beside = keyed.select("rid", "i", F.lag("i").over(order).isNull().alias("leads"), F.lead("i").over(order).isNull().alias("ends"))
-    merged = beside.where("not (leads and ends)").select("rid", "i", "leads")
+    keyed = staged(keyed, "keys")
+    # in sorted order equal keys are neighbours; they are counted before the sort and joined
+    # back, so a key of very many suffixes is one row on the sorted side and AQE splits the other
+    beside = (keyed.groupBy("o", "k0", "k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "i")).alias("least"))
+                   .where("n > 1").drop("n").orderBy("o", "k0", "k1", "k2"))
+    merged = keyed.join(staged(beside, "beside"), ["o", "k0", "k1", "k2"]).select(
+        "rid", "i", (F.struct("rid", "i") == F.col("least")).alias("leads"))
     sampled = table.select("rid", F.explode("places").alias("x")).select("rid", "x.i", "x.leads")
     return (merged.unionByName(sampled).groupBy("rid", "i").agg(F.max("leads").alias("leads"))
                   .groupBy("rid").agg(F.collect_list(F.struct("i", "leads")).alias("equal")))  # of one region
