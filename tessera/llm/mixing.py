@@ -4,7 +4,9 @@ Token counts are summed per cell (source, language, topic).  Raking scales the
 cell weights to each target marginal in turn until all of them hold.  A cell's
 rate (raked weight over its tokens), divided by the largest rate, is the
 probability with which each of its documents is sampled: the expected tokens
-of the sample then have the target marginals.
+of the sample then have the target marginals.  So the cell with the largest
+rate sets how much of all others is kept: the rarer its values, the less.
+:func:`repeated` samples to a token total instead and repeats small cells.
 """
 
 from __future__ import annotations
@@ -102,6 +104,14 @@ def hash_unit(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
+def celled(docs: DataFrame, names: list[str], text: str, topic) -> tuple[DataFrame, DataFrame]:
+    """``doc, tokens`` and the dimensions of every row, and the tokens of each cell."""
+    rows = docs.select(F.struct("*").alias("doc"), tokens_of(F.col(text)).alias("tokens"))
+    whole = F.col("doc").getField(text)
+    rows = rows.select("*", *[(topic(whole, F.col("tokens")) if n == "topic" else F.col("doc").getField(n)).alias(n) for n in names])
+    return rows, staged(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
+
+
 def mix(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", text: str = "text", topic=topic_of,
         seed: int = 7) -> DataFrame:
     """One row per row of ``docs``: ``doc`` (all its columns), the dimensions,
@@ -114,10 +124,7 @@ def mix(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", text: str = "
     An empty table gives an empty result.
     """
     names = [m.name for m in marginals]
-    rows = docs.select(F.struct("*").alias("doc"), tokens_of(F.col(text)).alias("tokens"))
-    whole = F.col("doc").getField(text)
-    rows = rows.select("*", *[(topic(whole, F.col("tokens")) if n == "topic" else F.col("doc").getField(n)).alias(n) for n in names])
-    cells = staged(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
+    rows, cells = celled(docs, names, text, topic)
     rated = rake(cells, marginals).withColumn("rate", F.col("weight") / F.col("tokens"))
     top = rated.agg(F.max("rate").alias("r")).first()["r"]
     rated = rated.select(*[F.col(n).alias(f"_{n}") for n in names], F.round(F.col("rate") / F.lit(top), DIGITS).alias("probability"))
@@ -134,3 +141,31 @@ def sample_plan(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed:
 def sample(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
     """The sampled rows of ``docs``, all their columns; see :func:`mix`."""
     return mix(docs, marginals, key, seed=seed).where("kept").select("doc.*")
+
+
+def with_copies(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", text: str = "text",
+                topic=topic_of, seed: int = 7) -> DataFrame:
+    """One row per row of ``docs``: ``doc`` (all its columns), the dimensions,
+    ``tokens, rate, copies``.
+
+    A cell's rate is its raked weight times ``budget`` over its tokens, so the
+    expected tokens of all copies are ``budget`` (None: those of ``docs``) and
+    have the target marginals.  A document gets ``floor(rate)`` copies and one
+    more with the probability that is left; a small cell is repeated and takes
+    nothing from the others.
+    """
+    names = [m.name for m in marginals]
+    rows, cells = celled(docs, names, text, topic)
+    total = budget if budget is not None else cells.agg(F.sum("tokens")).first()[0] or 0
+    rated = rake(cells, marginals).select(*[F.col(n).alias(f"_{n}") for n in names],
+                                          (F.col("weight") * F.lit(float(total)) / F.col("tokens")).alias("rate"))
+    joined = rows.join(rated, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]).drop(*[f"_{n}" for n in names])
+    whole = F.floor("rate")
+    more = hash_unit(F.col("doc").getField(key), seed) < F.col("rate") - whole
+    return joined.withColumn("copies", whole + more.cast("long"))
+
+
+def repeated(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
+    """The rows of ``docs``, each as often as :func:`with_copies` says, all their columns."""
+    copies = with_copies(docs, budget, marginals, key, seed=seed).where("copies > 0")
+    return copies.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

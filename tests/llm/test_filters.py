@@ -143,3 +143,17 @@ def test_sample_follows_the_probabilities(spark):
         p = cell.probability.iloc[0]
         assert abs(cell.kept.mean() - p) < 5 * np.sqrt(p * (1 - p) / len(cell)) + 1e-9
     assert mixing.sample(docs).count() == plan.kept.sum()
+
+
+def test_a_tiny_cell_is_repeated_and_shrinks_no_other(spark):
+    docs = spark.range(2000).selectExpr("id as doc_id", "concat('w', repeat(' x', 9)) as text", "concat('s', id % 4) as source", "'en' as lang")
+    docs = docs.unionByName(spark.createDataFrame([(9999, "one two three", "rare", "en")], docs.schema))
+    plan = mixing.with_copies(docs).toPandas()
+    plan["doc_id"] = [d["doc_id"] for d in plan.doc]
+    total, goal = plan.tokens.sum(), plan.groupby("source").tokens.sum() ** 0.7
+    assert (plan.rate * plan.tokens).groupby(plan.source).sum().to_numpy() == pytest.approx((goal / goal.sum() * total).to_numpy(), rel=1e-6)
+    assert ((plan.copies == np.floor(plan.rate)) | (plan.copies == np.floor(plan.rate) + 1)).all()
+    assert (plan.copies > 0)[plan.source != "rare"].mean() > 0.95 and plan.copies[plan.source == "rare"].min() > 1
+    assert sorted(x["doc_id"] for x in mixing.repeated(docs).select("doc_id").collect()) == sorted(np.repeat(plan.doc_id, plan.copies))
+    half = mixing.with_copies(docs, budget=int(total) // 2).toPandas()
+    assert (half.rate * half.tokens).sum() == pytest.approx(int(total) // 2, rel=1e-6)
