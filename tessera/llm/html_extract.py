@@ -6,16 +6,21 @@ headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
 comments are left out by tag, role or class name.  Containers are scored by the
 text outside links that they hold; from the body, the page descends while one
 child container holds most of the score and no heading is lost, and never below
-an ``article``.  That is the page's vote.  Spark sums the votes of each host;
-all pages of the host are then re-extracted with the winning path, which mends
-pages whose own vote was misled.  A page that has nothing under the winning
-path keeps its own.
+an ``article``.  That is the page's vote.  Spark sums the votes of each host
+and of each template of a host (its pages with the same set of container
+paths).  A page is re-extracted with the host's winning path if that holds
+``SHARE`` of what the page's own vote holds and all its headings; if not, with
+its template's winning path, which mends pages whose own vote was misled; and
+where no two pages of the template agree, with its own vote.  Pages without a
+host have nobody to agree with and keep their own vote.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -213,36 +218,60 @@ def runs_of(blocks: list[tuple[str, str, int, bool]]) -> list[tuple[str, str]]:
     return [(p, "\n".join(t)) for p, t in runs]
 
 
-RUN = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
+def weights_of(blocks: list[tuple[str, str, int, bool]]) -> list[tuple[int, bool]]:
+    """For each run the characters outside links and whether a heading is in it."""
+    runs = [list(found) for _, found in groupby(blocks, key=lambda b: b[0])]
+    return [(sum(b[2] for b in found), any(b[3] for b in found)) for found in runs]
+
+
+def template_of(blocks: list[tuple[str, str, int, bool]]) -> str:
+    """Digest of the set of container paths that hold text."""
+    return hashlib.md5("\n".join(sorted({b[0] for b in blocks})).encode("utf-8", "surrogatepass")).hexdigest()
+
+
+RUN = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("plain", pa.int64()), ("heading", pa.bool_())]))
 
 
 def parsed(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
-    """``page_id, url, host, runs, vote`` of every page."""
+    """``page_id, url, host, runs, vote, template`` of every page."""
     id_type = pages.schema[key].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            runs, votes = [], []
+            runs, votes, templates = [], [], []
             for text in batch.column(3).to_pylist():
                 blocks = parse(text or "")
-                runs.append([{"path": p, "text": t} for p, t in runs_of(blocks)])
+                runs.append([{"path": p, "text": t, "plain": n, "heading": h} for (p, t), (n, h) in zip(runs_of(blocks), weights_of(blocks))])
                 votes.append(vote(blocks))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(runs, RUN), pa.array(votes, pa.string())],
-                                             names=["page_id", "url", "host", "runs", "vote"])
+                templates.append(template_of(blocks))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(runs, RUN), pa.array(votes, pa.string()), pa.array(templates, pa.string())],
+                names=["page_id", "url", "host", "runs", "vote", "template"])
 
     source = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host_and_path(F.col(url))[0].alias("host"), page)
-    return source.mapInArrow(run, f"page_id {id_type}, url string, host string, runs array<struct<path:string,text:string>>, vote string")
+    return source.mapInArrow(run, f"page_id {id_type}, url string, host string, "
+                                  "runs array<struct<path:string,text:string,plain:long,heading:boolean>>, vote string, template string")
 
 
 def winning_paths(votes: DataFrame) -> DataFrame:
-    """``host, top``: the path with most votes; of equal ones the longer, then the smaller."""
-    counted = votes.where("vote is not null").groupBy("host", "vote").agg(F.count("*").alias("n"))
-    best = counted.groupBy("host").agg(F.max_by("vote", F.struct("n", F.length("vote"), "vote")).alias("top"))
-    return best.select("host", "top")
+    """``host, template, top, near`` for the templates of each host: the path with
+    most votes of the host, and that of the template if it has two votes; of
+    equal ones the longer, then the smaller."""
+    counted = votes.where("vote is not null and host <> ''").groupBy("host", "template", "vote").agg(F.count("*").alias("n"))
+    counted = staged(counted, "votes")
+    most = F.max_by("vote", F.struct("n", F.length("vote"), "vote"))
+    hosts = counted.groupBy("host", "vote").agg(F.sum("n").alias("n")).groupBy("host").agg(most.alias("top"))
+    near = counted.groupBy("host", "template").agg(most.alias("near"), F.max("n").alias("n"))
+    return (near.join(hosts.withColumnRenamed("host", "_host"), F.col("host") == F.col("_host"))
+                .select("host", "template", "top", F.when(F.col("n") > 1, F.col("near")).alias("near")))
+
+
+def is_under(path: Column, top: Column) -> Column:
+    return (path == top) | F.startswith(path, F.concat(top, F.lit("/")))
 
 
 def text_under(runs: str, top: Column) -> Column:
-    inside = F.filter(runs, lambda r: (r["path"] == top) | F.startswith(r["path"], F.concat(top, F.lit("/"))))
+    inside = F.filter(runs, lambda r: is_under(r["path"], top))
     return F.array_join(F.transform(inside, lambda r: r["text"]), "\n")
 
 
@@ -252,18 +281,21 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str
     ``text`` is the article: character references decoded, white space inside a
     block as one space, blocks in page order joined by a newline; empty if the
     page has none (null and empty pages included).  A null url has an empty
-    host.  Repeated rows vote once each.  An empty table gives an empty result;
-    other columns are not read.
+    host, whose pages don't vote together.  Repeated rows vote once each.  An
+    empty table gives an empty result; other columns are not read.
 
     Pages are parsed once; votes are partial counts before the shuffle, and a
     host with a third of all pages is a hot join key that AQE splits.
     """
     table = staged(parsed(pages, key, url, page), "parsed")
-    winners = staged(winning_paths(table), "winners").withColumnRenamed("host", "_host")
-    joined = table.join(winners, F.col("host") == F.col("_host"), "left")
-    agreed = text_under("runs", F.col("top"))
-    found = joined.select("page_id", "url", "host", "runs", "vote", "top", F.coalesce(agreed, F.lit("")).alias("text"))
-    own = F.coalesce(text_under("runs", F.col("vote")), F.lit(""))
-    found = found.select("page_id", "url", "host", F.when(F.col("text") == "", own).otherwise(F.col("text")).alias("text"),
-                         F.when(F.col("text") == "", F.col("vote")).otherwise(F.col("top")).alias("path"))
+    winners = staged(winning_paths(table), "winners").withColumnRenamed("host", "_host").withColumnRenamed("template", "_template")
+    joined = table.join(winners, (F.col("host") == F.col("_host")) & (F.col("template") == F.col("_template")), "left")
+    own = joined.withColumn("own", F.filter("runs", lambda r: is_under(r["path"], F.col("vote"))))
+    held = F.aggregate("own", F.lit(0).cast("long"), lambda n, r: n + r["plain"])
+    shared = F.aggregate("own", F.lit(0).cast("long"), lambda n, r: n + F.when(is_under(r["path"], F.col("top")), r["plain"]).otherwise(0))
+    beheaded = F.exists("own", lambda r: r["heading"] & ~is_under(r["path"], F.col("top")))
+    fits = (shared >= SHARE * held) & ~beheaded & F.exists("runs", lambda r: is_under(r["path"], F.col("top")))
+    path = F.when(fits, F.col("top")).otherwise(F.coalesce("near", "vote"))
+    found = own.select("page_id", "url", "host", "runs", path.alias("path"))
+    found = found.select("page_id", "url", "host", "path", F.coalesce(text_under("runs", F.col("path")), F.lit("")).alias("text"))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "host", "path")

@@ -49,6 +49,19 @@ def test_host_consensus_mends_a_misled_page(spark):
     assert all(x["n_chars"] == len(x["text"]) for x in got.values())
 
 
+def test_host_consensus_leaves_other_templates_whole(spark):
+    major = "<body><div class=main><h1>T{0}</h1><p>" + "long text " * 40 + "</p></div><div class=foot-note><p>{0} more words</p></div></body>"
+    minor = "<body><div class=main><h1>U{0}</h1><p>one line</p></div><div class=story>" + "the article " * 60 + "</div></body>"
+    lone = "<body><div class=main><h2>V</h2></div><div class=text><h1>W</h1>" + "alone " * 60 + "</div></body>"
+    pages = [(i, f"http://a.com/{i}", major.format(i)) for i in range(6)] + [(i, f"http://a.com/{i}", minor.format(i)) for i in (10, 11)]
+    pages += [(20, "http://a.com/20", lone)] + [(30 + i, None, major.format(i)) for i in range(3)] + [(40, "no scheme", minor.format(4))]
+    got = {x["page_id"]: x for x in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[i]["path"] == "/body/div.main" and got[i]["text"].endswith("long text") for i in range(6))
+    assert all("one line" in got[i]["text"] and got[i]["text"].endswith("the article") for i in (10, 11, 40))
+    assert got[20]["text"] == "V\nW\n" + " ".join(["alone"] * 60)
+    assert got[30]["path"] == "/body/div.main" and got[40]["path"] == "/body"
+
+
 def base_of(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A) if len(m[2]) >= 12]
