@@ -32,7 +32,8 @@ from tessera.llm.url_filter import host_and_path
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|title|textarea|noscript|template|iframe|svg|math|select|object|canvas|audio|video|xmp)"
-    r"(?=[\s/>])(?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
+    r"(?=[\s/>])(?:(?:(?<=<svg)|(?<=<math))(?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+(?<=/)>"  # closed by its start tag
+    r"|(?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?>[^>=]++|=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|=)*+)(?:>|\Z)"
     r"|<[!?/][^>]*+(?:>|\Z)", re.I | re.S)
 ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)

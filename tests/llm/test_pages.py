@@ -33,6 +33,8 @@ def own_text(page):
     ("<body class='has-sidebar'><div id='page-with-sidebar'><p>Kept</p></div></body>", "Kept"),
     ("<article><p>a&nbsp;&nbsp;b\n\tc</p><textarea>no</textarea><style>p{}</style>d</article>", "a b c\nd"),
     ("<article><p>unclosed <i>text</article><p>after", "unclosed text"),
+    ("<article><svg class='a>b' /><p>one</p><SVG/><math/>two<svg><path d='x'/>no</svg><p>three <math><mi/>x</math>four<script src=x/>no</script></article>",
+     "one\ntwo\nthree four"),
 ])
 def test_article_text(page, text):
     assert own_text(page) == text
