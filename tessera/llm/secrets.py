@@ -8,13 +8,16 @@ chi-squared test of symbol counts, a runs test above and below the middle of
 the alphabet, and a test of the lag-1 serial correlation.  Fisher's method
 makes one p-value of the three.
 
-Ordinary words of the corpus are the null hypothesis: the share of words of
-about the token's length that look at least as random over the same alphabet is
-the token's p-value against ordinary text.  Short words often look random, long
-ones hardly ever, so each encoding and length has its own null.  A
-Benjamini-Hochberg procedure over all candidates, weighted by length, holds the
-share of false discoveries below ``ALPHA``.  All counts cover the whole corpus
-and are kept as histograms by encoding, length and p-value, a table of fixed size.
+Ordinary words of the corpus are the null hypothesis: the share of words of the
+token's length that look at least as random over the same alphabet is the
+token's p-value against ordinary text.  Short words often look random, long
+ones hardly ever, and with every character the share falls by about the same
+factor; so for each encoding the share is fitted to the words of all lengths
+(:func:`null_shares`) and falls with the evidence of the whole corpus.  A
+Benjamini-Hochberg procedure over the candidates of each encoding, weighted by
+length, holds the share of false discoveries below ``ALPHA``.  All counts cover
+the whole corpus and are kept as histograms by encoding, length and p-value, a
+table of fixed size.
 """
 
 from __future__ import annotations
@@ -41,7 +44,8 @@ LEAST = 16  # characters of a candidate
 LONGEST = 64  # longer tokens count as this length in the histograms
 BINS = 300  # of -log10 p, a tenth each; bin 0 looks most random
 ALPHA = 0.01
-NULL_WORDS = 1000  # a length's null takes in shorter words until it has so many
+NULL_WORDS = 1000  # words of one length whose own share holds against the fitted one
+STEEPEST = 5.0  # bound of the fitted fall of the log share per character
 TOKEN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
 WORD = re.compile(rb"[A-Za-z][a-z]*")
 
@@ -70,13 +74,23 @@ def encoding_of(token: bytes) -> int:
 
 
 def as_written(word: bytes, encoding: int) -> tuple[bytes, str]:
-    """An ordinary word in the case of an encoding, and the alphabet it is tested
-    over: the encoding's, or the letters where it has not all of them."""
+    """An ordinary word as names in an encoding are written, and the alphabet it
+    is tested over: the encoding's, or the letters where it has not all of them.
+
+    Candidates are no plain words: they are of an encoding for their capitals,
+    digits and signs.  So the word gets a capital at every fifth place where
+    both cases occur, a sign at every tenth and a digit at its end."""
     chars = ALPHABETS[encoding][1]
-    for form in (word, word.lower(), word.upper()):
-        if set(LETTERS) <= set(chars.lower()) and set(form.decode()) <= set(chars):
-            return form, chars
-    return word.lower(), LETTERS
+    if not set(LETTERS) <= set(chars.lower()):
+        return word.lower(), LETTERS
+    form = bytearray(word.lower() if "a" in chars else word.upper())
+    if "a" in chars and "A" in chars:
+        form[::5] = bytes(form[::5]).upper()
+    sign = next((c for c in "_/" if c in chars), "")
+    if sign:
+        form[9::10] = sign.encode() * len(form[9::10])
+    form[-1:] = b"2"
+    return bytes(form), chars
 
 
 def upper_tail(z: np.ndarray) -> np.ndarray:
@@ -199,39 +213,56 @@ def scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("t")).mapInArrow(run, f"doc_id {id_type}, {SCANNED}")
 
 
+def null_shares(words: np.ndarray, n: int) -> np.ndarray:
+    """For each bin the share of ordinary words of ``n`` characters that look as
+    random or more, from ``words[length, bin]`` of one encoding.
+
+    A Poisson regression of those words on all words of their length, whose log
+    share is linear in the length and does not rise with it.  The candidate
+    counts as one more word of its length that looks as random: with no other,
+    the share is one over all words.  Never below the share among the words of
+    the length itself, where fewer than ``NULL_WORDS`` count as so many.
+    """
+    x = (np.arange(len(words)) - n)[:, None]
+    size, hits = words.sum(axis=1)[:, None].astype(float), words.cumsum(axis=1).astype(float)
+    own = hits[n] / max(size[n, 0], NULL_WORDS)
+    size[n] += 1
+    hits[n] += 1
+    mean = (x * hits).sum(axis=0) / hits.sum(axis=0)
+    low, high = np.full(words.shape[1], -STEEPEST), np.zeros(words.shape[1])
+    for _ in range(50):  # the mean length of the fitted hits rises with the slope
+        slope = (low + high) / 2
+        fitted = size * np.exp(x * slope)
+        over = (x * fitted).sum(axis=0) / fitted.sum(axis=0) > mean
+        low, high = np.where(over, low, slope), np.where(over, slope, high)
+    share = hits.sum(axis=0) / (size * np.exp(x * (low + high) / 2)).sum(axis=0)
+    return np.maximum.accumulate(np.minimum(1.0, np.maximum(share, own)))
+
+
 def cuts(cands: dict[tuple[int, int], int], words: dict[tuple[int, int], int], alpha: float = ALPHA) -> dict[int, int]:
     """For each class the largest bin that is a discovery, from histograms ``(class, bin) -> count``.
 
-    p-value: share of ordinary words of the class (and of shorter ones, until
-    there are ``NULL_WORDS``) that look as random or more.  Weighted
-    Benjamini-Hochberg: a candidate of length ``n`` has weight ``n`` over the mean.
+    p-value: see :func:`null_shares`.  Weighted Benjamini-Hochberg in each
+    encoding: a candidate of length ``n`` has weight ``n`` over their mean.
     """
-    if not cands:
-        return {}
     null = np.zeros((len(ALPHABETS), LONGEST + 1, BINS))
     for (cls, b), c in words.items():
         null[cls // (LONGEST + 1), cls % (LONGEST + 1), b] += c
-    total = sum(cands.values())
-    mean = sum(cls % (LONGEST + 1) * c for (cls, _), c in cands.items()) / total
-    tested = []
-    for (cls, b), c in cands.items():
-        k, n = divmod(cls, LONGEST + 1)
-        low = n
-        while low > LEAST and null[k, low:n + 1].sum() < NULL_WORDS:
-            low -= 1
-        pool = null[k, low:n + 1].sum(axis=0)
-        p = (1 + pool[:b + 1].sum()) / (1 + pool.sum())
-        tested.append((p * mean / n, cls, b, c))
-    tested.sort()
-    rank, limit = 0, -1.0
-    for i, (q, _, _, c) in enumerate(tested):
-        rank += c
-        if (i + 1 == len(tested) or tested[i + 1][0] > q) and q <= alpha * rank / total:
-            limit = q
     out: dict[int, int] = {}
-    for q, cls, b, _ in tested:
-        if q <= limit:
-            out[cls] = max(out.get(cls, -1), b)
+    for k in range(len(ALPHABETS)):
+        found = [(cls % (LONGEST + 1), b, c) for (cls, b), c in cands.items() if cls // (LONGEST + 1) == k]
+        total = sum(c for _, _, c in found)
+        mean = sum(n * c for n, _, c in found) / max(total, 1)
+        shares = {n: null_shares(null[k], n) for n in {n for n, _, _ in found}}
+        tested = sorted((shares[n][b] * mean / n, n, b, c) for n, b, c in found)
+        rank, limit = 0, -1.0
+        for i, (q, _, _, c) in enumerate(tested):
+            rank += c
+            if (i + 1 == len(tested) or tested[i + 1][0] > q) and q <= alpha * rank / total:
+                limit = q
+        for q, n, b, _ in tested:
+            if q <= limit:
+                out[class_of(k, n)] = max(out.get(class_of(k, n), -1), b)
     return out
 
 

@@ -6,6 +6,7 @@ import io
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -102,6 +103,45 @@ def test_random_tokens_stand_out_from_words(spark):
     assert sum(got[i] for i in got if i % 4) <= 3
 
 
+def test_rare_secrets_stand_out_from_many_candidates():
+    r = random.Random(11)
+    syllables = ["inter", "natio", "nali", "sation", "mente", "heit", "lich", "ung", "ver", "ab", "gra", "pho", "tekt", "o", "s"]
+    word = lambda a, b: "".join(r.choice(syllables) for _ in range(r.randint(a, b)))
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts, planted = [], set()
+    for i in range(5000):
+        parts = [word(5, 12) for _ in range(6)]
+        parts.append(r.choice(["-", "_", "/"]).join(word(2, 4) for _ in range(4)))
+        parts.append("".join(word(1, 3).capitalize() for _ in range(4)) + "2")
+        if i % 100 == 0:
+            parts.append("".join(r.choice(chars) for _ in range(40 if i % 200 else 60)))
+            planted.add(i)
+        texts.append(" ".join(parts).encode())
+    cands, words, rows = {}, {}, secrets.scan(texts)
+    for _, found, plain in rows:
+        for _, _, cls, b in found:
+            cands[cls, b] = cands.get((cls, b), 0) + 1
+        for w in plain:
+            words[divmod(w, secrets.BINS)] = words.get(divmod(w, secrets.BINS), 0) + 1
+    assert sum(cands.values()) > 150 * len(planted) and sum(words.values()) > 20_000
+    limits = secrets.cuts(cands, words)
+    hits = [(i, e - s) for i, (_, found, _) in enumerate(rows) for s, e, cls, b in found if b <= limits.get(cls, -1)]
+    right = [n for i, n in hits if i in planted and n == (40 if i % 200 else 60)]
+    assert right.count(60) >= 20 and right.count(40) >= 5 and len(hits) - len(right) <= 2, (right, len(hits))
+
+
+def test_null_share_falls_with_the_corpus():
+    words = np.zeros((secrets.LONGEST + 1, secrets.BINS))
+    for n in range(16, 41):
+        words[n, 0] = np.round(1e6 * np.exp(-0.5 * (n - 16)))
+        words[n, 250] = 1e7 - words[n, 0]
+    shares = [secrets.null_shares(words, n)[0] for n in (16, 30, 40, 50)]
+    assert shares == pytest.approx([0.1 * np.exp(-0.5 * (n - 16)) for n in (16, 30, 40, 50)], rel=0.1)
+    none = np.zeros_like(words)
+    none[20, 250] = 9999
+    assert secrets.null_shares(none, 40)[0] == pytest.approx(1e-4) and secrets.null_shares(np.zeros_like(words), 40).min() == 1
+
+
 def test_battery_is_calibrated():
     r = random.Random(5)
     tokens = ["".join(r.choice("0123456789abcdef") for _ in range(40)).encode() for _ in range(4000)]
