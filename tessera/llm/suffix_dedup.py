@@ -22,10 +22,15 @@ On the reduced string the suffix array method runs as Spark jobs:
    name that several suffixes share covers ``COVER`` bytes; a triple that occurs
    once needs no further name.
 5. *Merge remaining suffixes.*  For any two suffixes a shift of at most two
-   symbols makes both sampled, so two sorted orders, by (symbol, name) and by
-   (symbol, symbol, name), put suffixes at 0 mod 3 next to all their equals.
-6. *Compare adjacent prefixes.*  Neighbours with equal keys share ``COVER``
-   bytes, which settles every window that starts at or just after their anchors.
+   symbols makes both sampled, so two sets of keys, (symbol, name) and
+   (symbol, symbol, name), give suffixes at 0 mod 3 the same key as all their equals.
+6. *Find equal prefixes.*  Suffixes with equal keys share ``COVER`` bytes, which
+   settles every window that starts at or just after their anchors.
+
+No suffix order is built and no neighbours are compared: in steps 5 and 6 equal
+keys are grouped, counted and joined back, because a key of very many suffixes
+(one very common passage) would be one range of a sorted order, in one task.
+Only equality counts; the sorts of the distinct keys and names change no row.
 
 What is left are windows across the edges of repeated passages.  They, and one
 member of each group of equal suffixes that has such a window as neighbour, are
@@ -363,8 +368,8 @@ def equal_suffixes(regions: DataFrame, names: DataFrame) -> DataFrame:
 
     keyed = joined.select("rid", "places", "symbols").mapInArrow(run, "o int, k0 long, k1 long, k2 long, rid long, i int")
     keyed = staged(keyed, "keys")
-    # in sorted order equal keys are neighbours; they are counted before the sort and joined
-    # back, so a key of very many suffixes is one row on the sorted side and AQE splits the other
+    # equal keys are counted and joined back, not compared as neighbours of a sorted order: so a
+    # key of very many suffixes is one row here and AQE splits the other side (the sort changes no row)
     beside = (keyed.groupBy("o", "k0", "k1", "k2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "i")).alias("least"))
                    .where("n > 1").drop("n").orderBy("o", "k0", "k1", "k2"))
     merged = keyed.join(staged(beside, "beside"), ["o", "k0", "k1", "k2"]).select(
