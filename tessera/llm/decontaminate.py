@@ -10,8 +10,15 @@ it shares at least ``k - miss`` of the sketch.  Items are partitioned by ``n``
 only looked up in partitions whose smallest item it could contain
 (``ceil(threshold * smallest)`` shingles).  The bound holds for documents of
 any size, so unlike MinHash banding, whose Jaccard threshold vanishes when one
-set is thousands of times larger than the other, the search loses nothing.
-Every candidate is verified by exact containment of the shingles themselves.
+set is thousands of times larger than the other, the search loses nothing of
+what the shingles define.  Every candidate is verified by exact containment of
+the shingles themselves.
+
+Items of fewer than ``SHINGLE`` words are not searched for inside longer
+documents: such an item is one short shingle, a longer document has only
+shingles of ``SHINGLE`` words, and so only a document of just these words holds
+it.  One to four words occur in many clean documents, and the SQL of the query
+defines shingles this way.
 
 Documents are never shuffled: the items go out in blocks of at most ``BLOCK``
 shingle hashes (a fixed bound), one pass over the documents for each block.
