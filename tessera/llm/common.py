@@ -58,10 +58,16 @@ def drop_staged(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def without(docs: DataFrame, key: str, lost: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose key is in ``lost(key)``; rows without a key stay."""
-    rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"))
-    return rows.join(lost.select(F.col("key").alias("gone")), F.col("key") == F.col("gone"), "left_anti").select("doc.*")
+def numbered(docs: DataFrame) -> DataFrame:
+    """``doc`` (all columns of ``docs``) and ``row``, a number of its own for every
+    row; written, so that every branch reads the same numbers."""
+    return staged(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "rows")
+
+
+def without(rows: DataFrame, lost: DataFrame) -> DataFrame:
+    """The documents of ``rows(doc, row)`` whose row is not in ``lost(row)``."""
+    gone = lost.select(F.col("row").alias("gone"))
+    return rows.join(gone, F.col("row") == F.col("gone"), "left_anti").select("doc.*")
 
 
 def ascii_lower(col):

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import staged, without
+from tessera.llm.common import numbered, staged, without
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -194,7 +194,9 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that contain a test item; rows without an
-    id cannot be named as leaked and stay."""
-    found = leaks(docs, items, key, text, **options).select(F.col("doc_id").alias("key")).distinct()
-    return without(docs, key, staged(found, "leaks"))
+    """``docs`` without the rows that contain a test item, told apart by a number
+    of their own: other rows of a leaked row's id stay, leaked
+    ones without an id go.  ``key`` is not read."""
+    rows = numbered(docs)
+    found = leaks(rows.select("row", F.col("doc").getField(text).alias("text")), items, "row", "text", **options)
+    return without(rows, staged(found.select(F.col("doc_id").alias("row")).distinct(), "leaks"))

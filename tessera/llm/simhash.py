@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import UPPER, LOWER, components, staged, without
+from tessera.llm.common import UPPER, LOWER, components, numbered, staged, without
 
 BITS = 64
 SHINGLE = 4
@@ -167,9 +167,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
 
 def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                      distance: int = DISTANCE) -> DataFrame:
-    """``docs`` with one document left per group of linked ones, the one with the
-    smallest id.  Rows that share that id are one document and all stay, and
-    rows without an id cannot be named as a copy, so they stay too."""
-    groups = near_groups(docs, key, text, shingle, distance)
-    lost = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
-    return without(docs, key, staged(lost, "lost"))
+    """``docs`` with one row left per group of linked ones, the one with the
+    smallest id; of rows that share it, or have none, exactly one.  Rows are
+    told apart by a number of their own, so an id that is repeated with other
+    texts takes nothing along, and rows without an id can be copies too."""
+    rows = numbered(docs)
+    known = F.col("doc").getField(key)
+    named = F.struct(known.isNull().alias("no_id"), known.alias("id"), "row")  # the smallest names the group
+    groups = near_groups(rows.select(named.alias("name"), F.col("doc").getField(text).alias("text")), "name", "text", shingle, distance)
+    lost = groups.where(F.col("doc_id.row") != F.col("component_id.row")).select(F.col("doc_id.row").alias("row"))
+    return without(rows, staged(lost, "lost"))

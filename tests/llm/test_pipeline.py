@@ -3,8 +3,9 @@
 import os
 
 import corpus_pipeline
-from tessera.llm import decontaminate, mixing, toxicity
+from tessera.llm import decontaminate, mixing, simhash, toxicity
 from tessera.llm.common import staged, table
+from tests.llm.helpers import prose
 from tests.llm.test_dedup import brute_fingerprint, smallest_reachable
 from tests.llm.test_filters import contained
 
@@ -45,3 +46,16 @@ def test_stages(spark):
 def test_run_returns_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SF).columns == table(spark, SF, "documents").columns
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "mixing"]
+
+
+def test_rows_leave_by_row_and_not_by_id(spark):
+    near, clean, bench = prose(1, 200), prose(2, 200), prose(3, 40)
+    docs = [(1, near), (5, near + "!"), (5, clean), (None, near.upper()), (None, prose(4, 200)), (7, prose(5, 200)), (7, prose(5, 200) + ".")]
+    left = simhash.drop_near_copies(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((x["doc_id"], x["text"][:20]) for x in left if x["doc_id"]) == sorted([(1, near[:20]), (5, clean[:20]), (7, docs[5][1][:20])])
+    assert [x["text"] for x in left if x["doc_id"] is None] == [docs[4][1]]
+
+    items = spark.createDataFrame([(1, bench)], "item_id long, text string")
+    docs = [(1, near + " " + bench), (1, clean), (None, bench + " " + clean), (None, near), (2, clean)]
+    left = decontaminate.drop_leaked(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert sorted(map(tuple, left), key=repr) == sorted([docs[1], docs[3], docs[4]], key=repr)
