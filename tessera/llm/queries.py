@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, exact_dedup, html_extract, mixing, secrets, simhash, suffix_dedup, toxicity, url_filter, warc
+from tessera.llm import (centroids, decontaminate, exact_dedup, html_extract, mixing, packing, secrets, simhash, suffix_dedup, token_align,
+                         toxicity, url_filter, warc)
 from tessera.llm.common import table
 
 QUERIES = {}
@@ -146,3 +148,20 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = warc.archive_pages(table(spark, sf_dir, "pages"))
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "range", "seq")
+
+
+@query("op11_packing")
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
+
+
+@query("op12_centroids")
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", centroids.digest(F.col("centroid"))).drop("centroid")
+
+
+@query("op13_token_align")
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False)
