@@ -134,7 +134,7 @@ def test_groups_meet_again_in_later_rounds(spark):
             assert offset == at
             at += x
         assert at <= 100
-    assert len(by_seq) <= packing.lower_bound(lengths, 100) + 1  # 20 groups of their own would waste one each
+    assert len(by_seq) <= 1.03 * packing.lower_bound(lengths, 100)  # in groups of 100 pieces, of 1 to 99 tokens
 
 
 def test_edge_documents(spark):
