@@ -27,6 +27,7 @@ from __future__ import annotations
 import functools
 import math
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -42,17 +43,23 @@ END_ID = 1
 GROUP = 8192  # pieces of a group, on average
 NODES = 4000  # fillings that a group's search may try beyond one for each sequence
 LEAVES = 64  # fillings enumerated around one piece; None: all of them
-WORDS_KEPT = 200_000
+WORDS_KEPT = 400_000  # of each of two generations, a few hundred bytes each
 JOINED = 2000  # words encoded in one call
 
 
+#: a word of Latin letters, each of one character in either case, and the punctuation after it
+LATIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
 class WordIds:
     """Ids of texts by a tokenizer that drops white space.
 
     Such a tokenizer looks at no character beyond a space, so the ids of a text
     are those of its words (here: cut at spaces and line feeds) one after the
     other, and a word met again needs no second encoding.  New words are encoded
-    many at a time with one special token between them.
+    many at a time: Latin ones apart from the punctuation behind them, told apart
+    by the mark of a word's end that the vocabulary has, others with one special
+    token between them.
     """
 
     def __init__(self, path: str, kept: int = WORDS_KEPT):
@@ -60,29 +67,62 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer, self.kept = Tokenizer.from_file(path), kept
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
-        if self.ids("a, b\nc") != [*self.ids("a,"), *self.ids("b"), *self.ids("c")] or not self.special:
+        if self.ids("a, b\nc") != [*self.ids("a"), *self.ids(","), *self.ids("b"), *self.ids("c")] or not self.special:
             raise ValueError(f"{path}: a tokenizer that drops white space, with a special token, is needed")
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(1 + max(vocabulary.values()), bool)
+        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.folds = all(self.ids(c) == self.ids(c.lower()) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÉÖØÞ")
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words that are not known yet."""
+    def marked(self, words: list[str]) -> None:
+        """Encode words with a special token behind each."""
         mark, stop = next(iter(self.special.items()))
         plain = [w for w in words if not any(s in w for s in self.special)]
         for w in set(words).difference(plain):
             self.young[w] = np.array(self.ids(w), "<u4").tobytes()
-        parts = [plain[i:i + JOINED] for i in range(0, len(plain), JOINED)]
-        for part, got in zip(parts, self.tokenizer.encode_batch([f" {mark} ".join(p) + f" {mark}" for p in parts], add_special_tokens=False)):
+        self.joined(plain, f" {mark} ", lambda ids: ids == stop, 0)
+
+    def joined(self, words: list[str], between: str, is_end, own: int) -> list[str]:
+        """Encode words with ``between`` behind each; ``is_end`` tells where one ends, ``own``
+        is 1 if that id is its own.  Returns the words of calls with another number of ends."""
+        parts, failed = [words[i:i + JOINED] for i in range(0, len(words), JOINED)], []
+        for part, got in zip(parts, self.tokenizer.encode_batch([between.join(p) + between for p in parts], add_special_tokens=False)):
             ids = np.array(got.ids, "<u4")
-            ends = np.flatnonzero(ids == stop)
+            ends = np.flatnonzero(is_end(ids))
             if len(ends) != len(part):
-                raise ValueError("a word held the special token")
+                failed += part
+                continue
             data, at = ids.tobytes(), 0
             for w, end in zip(part, ends.tolist()):
-                self.young[w], at = data[4 * at:4 * end], end + 1
+                self.young[w], at = data[4 * at:4 * (end + own)], end + 1
+        return failed
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words that are not known yet."""
+        cut, other = [], []
+        for w in words:
+            m = LATIN.fullmatch(w)
+            if m:
+                core, tail = m.groups()
+                cut.append((w, core.lower() if self.folds else core, tail))
+            else:
+                other.append(w)
+        other += {t for _, _, t in cut}.difference(self.young).difference(self.old)
+        latin = list({c for _, c, _ in cut}.difference(self.young).difference(self.old))
+        other += self.joined(latin, " ", lambda ids: self.ends[ids], 1) if self.ends.any() else latin
+        self.marked([w for w in set(other) if w not in self.young])
+        for w, core, tail in cut:
+            if w != core:
+                self.young[w] = self.known(core) + self.known(tail)
+
+    def known(self, word: str) -> bytes:
+        return self.young[word] if word in self.young else self.old[word]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
@@ -90,15 +130,13 @@ class WordIds:
         if len(self.young) >= self.kept:  # words not met in a while are forgotten
             self.old, self.young = self.young, {"": b""}
         young, old = self.young, self.old
-        new = []
-        for w in set().union(*cut):
-            if w not in young:
-                if w in old:
-                    young[w] = old[w]
-                else:
-                    new.append(w)
+        new = set().union(*cut).difference(young)
+        if old:
+            again = [w for w in new if w in old]
+            young.update({w: old[w] for w in again})
+            new.difference_update(again)
         if new:
-            self.learn(new)
+            self.learn(list(new))
         return [b"".join([young[w] for w in words]) for words in cut]
 
 
@@ -107,7 +145,7 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def batches_of(texts: list, size: int = 1 << 20):
+def batches_of(texts: list, size: int = 1 << 21):
     """Slices of ``texts`` of about ``size`` characters, one text at least."""
     at, n = 0, 0
     for i, t in enumerate(texts):

@@ -179,14 +179,12 @@ class Aligner:
         cut = [self.parts(t) if t else [] for t in texts]
         if len(self.young) >= PARTS_KEPT:  # parts not met in a while are forgotten
             self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for p in set().union(*cut):
-            if p not in young:
-                if p in old:
-                    young[p] = old[p]
-                else:
-                    new.append(p)
-        fresh = self.learn(new)
+        young, old = self.young, self.old
+        new = set().union(*cut).difference(young)
+        again = [p for p in new if p in old]
+        young.update({p: old[p] for p in again})
+        new.difference_update(again)
+        fresh = self.learn(list(new))
         young.update(fresh)
         out = []
         for text, parts in zip(texts, cut):
