@@ -4,7 +4,8 @@ A processor is three Column → Column functions, ``pre`` (whole line, before
 wrapping), ``pre_piece`` (each piece, after wrapping) and ``post`` (the
 re-joined translation), and the corpus steps between ``pre`` and wrapping that
 need a model: ``truecases`` (a case model, ``operators.truecase``) and
-``subwords`` (merges, ``operators.bpe``; "bpe" or "spm" spelling).  The models
+``subwords``: "bpe" (merges, ``operators.bpe``) or "spm" (pieces with word-start
+marks, ``operators.unigram``; without pieces, merges in that spelling).  The models
 come as ``Models``; ``encode_lines`` runs the encode side of a chain.
 
 The tokeniser, detokeniser and punctuation normaliser (F36, F37, F40) are
@@ -51,15 +52,20 @@ class TextProcessor:
 @dataclass(frozen=True)
 class Models:
     """What the corpus steps of a chain need: ``cases`` as made by
-    ``truecase.case_model``, ``merges`` as made by ``bpe.learn_merges``."""
+    ``truecase.case_model``, ``merges`` as made by ``bpe.learn_merges`` with an
+    optional vocabulary (S12) whose units must occur ``threshold`` times, and
+    ``pieces`` as made by ``unigram.learn``."""
     cases: DataFrame | None = None
     merges: DataFrame | None = None
+    vocab: DataFrame | None = None
+    threshold: int = 1
+    pieces: DataFrame | None = None
 
 
 def encode_lines(lines: DataFrame, proc: TextProcessor, models: Models | None = None, keys=("doc_id", "line_no"),
                  text: str = "text", keep=()) -> DataFrame:
     """The encode side of a chain up to wrapping: ``keys…, keep…, text``."""
-    from tessera.operators import bpe, truecase
+    from tessera.operators import bpe, truecase, unigram
     ids = [*keys, *keep]
     models = models or Models()
     out = lines.select(*ids, T.strip(proc.pre(T.strip(F.col(text)))).alias(text))
@@ -67,10 +73,12 @@ def encode_lines(lines: DataFrame, proc: TextProcessor, models: Models | None =
         if models.cases is None:
             raise ValueError(f"{proc.name} needs a case model")
         out = truecase.truecase(truecase.token_table(out, ids, text), models.cases, ids).withColumnRenamed("text", text)
-    if proc.subwords:
+    if proc.subwords == "spm" and models.pieces is not None:
+        out = unigram.encode(out, models.pieces, ids, text)
+    elif proc.subwords:
         if models.merges is None:
             raise ValueError(f"{proc.name} needs merges")
-        out = bpe.encode_corpus(out, models.merges, ids, text, style=proc.subwords)
+        out = bpe.encode_corpus(out, models.merges, ids, text, proc.subwords, models.vocab, models.threshold)
     return out
 
 

@@ -237,44 +237,11 @@ def truecase_lines(spark, sf_dir):
     return out.select("doc_id", "line_no", "text", T.detruecase(F.col("text")).alias("detruecased"))
 
 
-# --- BPE: learn merges on the corpus, encode every line (N2, F34, J13, F33) ---
 from tessera.operators import bpe as BPE  # noqa: E402
 
 BPE_MERGES = 20
 
 
-@register("bpe_merges")
-def bpe_merges(spark, sf_dir):
-    """The first 20 BPE merges of the documents vocabulary (iterative: rows-only check)."""
-    return BPE.learn_merges(lines_of(spark, sf_dir), BPE_MERGES)
-
-
-@register("bpe_segment_join")
-def bpe_segment_join(spark, sf_dir):
-    """Every line subword-encoded with the learned merges (rows-only;
-    the round trip below has an oracle, a brute-force test covers the segmentation)."""
-    lines = lines_of(spark, sf_dir)
-    return BPE.encode_corpus(lines, BPE.learn_merges(lines, BPE_MERGES))
-
-
-@register("bpe_learned_roundtrip", with_(LINES) + r"""
-SELECT doc_id, line_no, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM lines""")
-def bpe_learned_roundtrip(spark, sf_dir):
-    """F34 then F33: encode with the learned merges, decode, get the line back."""
-    lines = lines_of(spark, sf_dir)
-    enc = BPE.encode_corpus(lines, BPE.learn_merges(lines, BPE_MERGES))
-    return enc.select("doc_id", "line_no", T.strip(T.bpe_decode(F.col("text"))).alias("text"))
-
-
-@register("spm_learned_roundtrip", with_(LINES) + r"""
-SELECT doc_id, line_no, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM lines""")
-def spm_learned_roundtrip(spark, sf_dir):
-    """F35 then F32: SentencePiece-style encoding with the learned merges, decoded back."""
-    lines = lines_of(spark, sf_dir)
-    enc = BPE.encode_corpus(lines, BPE.learn_merges(lines, BPE_MERGES), style="spm")
-    return enc.select("doc_id", "line_no", T.spm_decode(F.col("text")).alias("text"))
-
-
 @register("validate_dev_set")
 def validate_dev_set(spark, sf_dir):
     """Decoder output in training form (tokenised, lower-cased,

@@ -32,7 +32,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every plan module so that its queries register themselves."""
     import importlib
-    for mod in ("corpus", "hyps", "text_jobs", "scoring", "parallel", "routing", "streams"):
+    for mod in ("corpus", "hyps", "text_jobs", "scoring", "parallel", "subwords", "routing", "streams"):
         try:
             importlib.import_module(f"tessera.plans.{mod}")
         except ModuleNotFoundError as e:
