@@ -2,11 +2,11 @@
 
 Token counts are summed per cell (source, language, topic).  Raking scales the
 cell weights to each target marginal in turn until all of them hold.  A cell's
-rate (raked weight over its tokens), divided by the largest rate, is the
-probability with which each of its documents is sampled: the expected tokens
-of the sample then have the target marginals.  So the cell with the largest
-rate sets how much of all others is kept: the rarer its values, the less.
-:func:`repeated` samples to a token total instead and repeats small cells.
+rate is its raked weight times a token budget over its tokens: each document of
+the cell is taken ``floor(rate)`` times and once more with the probability that
+is left.  So the expected tokens of all copies are the budget (by default the
+input's tokens) and have the target marginals, and a small cell is repeated
+instead of shrinking every other one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import drop_staged, staged
 
 
 @dataclass(frozen=True)
@@ -75,7 +75,9 @@ def rake(cells: DataFrame, marginals=MARGINALS, tolerance: float = 1e-10, max_sw
 
     Stops when no weight moves by more than ``tolerance`` of itself in a sweep,
     or after ``max_sweeps`` where the targets contradict each other (then the
-    last marginal holds).  A job makes several sweeps; its result is written.
+    last marginal holds).  A job makes several sweeps; its result is
+    written.  A window holds the cells of one value, which are few next to the
+    documents: a row for each combination of values that occurs.
     """
     names = [m.name for m in marginals]
     fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -84,6 +86,7 @@ def rake(cells: DataFrame, marginals=MARGINALS, tolerance: float = 1e-10, max_sw
         fitted = fitted.join(share, F.col(m.name).eqNullSafe(F.col("_v"))).drop("_v")
     fitted = staged(fitted, "cells")
     for _ in range(0, max_sweeps, SWEEPS_A_JOB):
+        before = fitted
         for step in range(SWEEPS_A_JOB):
             if step == SWEEPS_A_JOB - 1:
                 fitted = fitted.withColumn("_before", F.col("weight"))
@@ -91,6 +94,7 @@ def rake(cells: DataFrame, marginals=MARGINALS, tolerance: float = 1e-10, max_sw
                 within = F.sum("weight").over(Window.partitionBy(name))
                 fitted = fitted.withColumn("weight", F.col("weight") * F.col(f"_{name}") / within)
         fitted = staged(fitted, "cells")
+        drop_staged(before)
         moved = fitted.agg(F.max(F.abs(F.col("weight") - F.col("_before")) / F.col("weight"))).first()[0]
         fitted = fitted.drop("_before")
         if moved is None or moved <= tolerance:
@@ -104,68 +108,51 @@ def hash_unit(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def celled(docs: DataFrame, names: list[str], text: str, topic) -> tuple[DataFrame, DataFrame]:
-    """``doc, tokens`` and the dimensions of every row, and the tokens of each cell."""
-    rows = docs.select(F.struct("*").alias("doc"), tokens_of(F.col(text)).alias("tokens"))
-    whole = F.col("doc").getField(text)
-    rows = rows.select("*", *[(topic(whole, F.col("tokens")) if n == "topic" else F.col("doc").getField(n)).alias(n) for n in names])
-    return rows, staged(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
-
-
-def mix(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", text: str = "text", topic=topic_of,
-        seed: int = 7) -> DataFrame:
-    """One row per row of ``docs``: ``doc`` (all its columns), the dimensions,
-    ``tokens, probability, kept``.
+def mixed(docs: DataFrame, columns: list[str], budget: int | None = None, marginals=MARGINALS, key: str = "doc_id",
+          text: str = "text", topic=topic_of, seed: int = 7) -> DataFrame:
+    """One row per row of ``docs``: ``doc`` (a struct of ``columns``), the dimensions,
+    ``tokens, rate, copies``.
 
-    The cells are aggregated before any shuffle of rows, and each document
-    gets its probability by a join with the cell table, on the cell; that
-    table has a row for each combination that occurs.  Null sources and
-    languages are values of their own.  Repeated ids share one random number.
-    An empty table gives an empty result.
+    ``topic`` is the name of a column that holds it, or a function of the text and
+    its tokens (the default tells forms of text apart).  A row is read and its
+    tokens are counted once; the rows are written, the cells aggregated from them
+    before any shuffle, and each row gets its rate by a join on the cell.  Null
+    sources, languages and topics are values of their own; a null or empty text
+    weighs one token.  Repeated ids share one random number.  An empty table
+    gives an empty result.
     """
     names = [m.name for m in marginals]
-    rows, cells = celled(docs, names, text, topic)
-    rated = rake(cells, marginals).withColumn("rate", F.col("weight") / F.col("tokens"))
-    top = rated.agg(F.max("rate").alias("r")).first()["r"]
-    rated = rated.select(*[F.col(n).alias(f"_{n}") for n in names], F.round(F.col("rate") / F.lit(top), DIGITS).alias("probability"))
+    value = {n: F.col(topic) if n == "topic" and isinstance(topic, str) else F.col(n) for n in names}
+    rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("doc"), F.col(key).alias("_key"), tokens_of(F.col(text)).alias("_tokens"),
+                       *[(F.col(text) if n == "topic" and callable(topic) else v).alias(f"_in{i}") for i, (n, v) in enumerate(value.items())])
+    dims = [(topic(F.col(f"_in{i}"), F.col("_tokens")) if n == "topic" and callable(topic) else F.col(f"_in{i}")).alias(n) for i, n in enumerate(names)]
+    rows = staged(rows.select("doc", F.col("_key").alias("_id"), *dims, F.col("_tokens").alias("tokens")), "celled")
+    cells = staged(rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")), "cells")
+    total = budget if budget is not None else cells.agg(F.sum("tokens")).first()[0] or 0
+    rated = rake(cells, marginals).select(
+        *[F.col(n).alias(f"_{n}") for n in names],
+        F.round(F.col("weight") * F.lit(float(total)) / F.col("tokens"), DIGITS).alias("rate"))
     joined = rows.join(rated, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]).drop(*[f"_{n}" for n in names])
-    return joined.withColumn("kept", hash_unit(F.col("doc").getField(key), seed) < F.col("probability"))
-
-
-def sample_plan(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """One row per document: id, cell, tokens, probability and whether it is sampled; see :func:`mix`."""
-    return mix(docs, marginals, key, seed=seed).select(
-        F.col("doc").getField(key).alias(key), *[m.name for m in marginals], "tokens", "probability", "kept")
-
+    whole = F.floor("rate")
+    more = hash_unit(F.col("_id"), seed) < F.col("rate") - whole
+    return joined.withColumn("copies", whole + more.cast("long")).drop("_id")
 
-def sample(docs: DataFrame, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """The sampled rows of ``docs``, all their columns; see :func:`mix`."""
-    return mix(docs, marginals, key, seed=seed).where("kept").select("doc.*")
 
+def sample_plan(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", **options) -> DataFrame:
+    """One row per document: id, cell, tokens, rate, copies and whether it is in the sample; see :func:`mixed`."""
+    plan = mixed(docs, [key], budget, marginals, key, **options)
+    return plan.select(F.col("doc").getField(key).alias(key), *[m.name for m in marginals], "tokens", "rate", "copies",
+                       (F.col("copies") > 0).alias("kept"))
 
-def with_copies(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", text: str = "text",
-                topic=topic_of, seed: int = 7) -> DataFrame:
-    """One row per row of ``docs``: ``doc`` (all its columns), the dimensions,
-    ``tokens, rate, copies``.
 
-    A cell's rate is its raked weight times ``budget`` over its tokens, so the
-    expected tokens of all copies are ``budget`` (None: those of ``docs``) and
-    have the target marginals.  A document gets ``floor(rate)`` copies and one
-    more with the probability that is left; a small cell is repeated and takes
-    nothing from the others.
-    """
-    names = [m.name for m in marginals]
-    rows, cells = celled(docs, names, text, topic)
-    total = budget if budget is not None else cells.agg(F.sum("tokens")).first()[0] or 0
-    rated = rake(cells, marginals).select(*[F.col(n).alias(f"_{n}") for n in names],
-                                          (F.col("weight") * F.lit(float(total)) / F.col("tokens")).alias("rate"))
-    joined = rows.join(rated, [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in names]).drop(*[f"_{n}" for n in names])
-    whole = F.floor("rate")
-    more = hash_unit(F.col("doc").getField(key), seed) < F.col("rate") - whole
-    return joined.withColumn("copies", whole + more.cast("long"))
+def sample(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", **options) -> DataFrame:
+    """The sampled rows of ``docs``, each once, with all their columns and ``copies``, how
+    often the sample holds it (a column of that name is replaced); see :func:`mixed`."""
+    plan = mixed(docs, docs.columns, budget, marginals, key, **options).where("copies > 0")
+    return plan.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() != "copies"], "copies")
 
 
-def repeated(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", seed: int = 7) -> DataFrame:
-    """The rows of ``docs``, each as often as :func:`with_copies` says, all their columns."""
-    copies = with_copies(docs, budget, marginals, key, seed=seed).where("copies > 0")
-    return copies.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")
+def repeated(docs: DataFrame, budget: int | None = None, marginals=MARGINALS, key: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs``, each as often as the sample holds it, all their columns; see :func:`mixed`."""
+    plan = mixed(docs, docs.columns, budget, marginals, key, **options).where("copies > 0")
+    return plan.select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("doc.*")

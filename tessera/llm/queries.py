@@ -124,14 +124,15 @@ def mixing_sql(marginals=mixing.MARGINALS, sweeps: int = 40, seed: int = 7) -> s
     for i in range(sweeps * len(names)):
         n = names[i % len(names)]
         ctes.append(f"w{i + 1} AS (SELECT * REPLACE (weight * _{n} / sum(weight) OVER (PARTITION BY {n}) AS weight) FROM w{i})")
-    ctes.append(f"rated AS (SELECT *, round((weight / tokens) / max(weight / tokens) OVER (), {mixing.DIGITS}) AS probability "
-                f"FROM w{sweeps * len(names)})")
+    ctes.append(f"""rated AS (SELECT *, round(weight * (SELECT sum(tokens) FROM cells)::DOUBLE / tokens, {mixing.DIGITS}) AS rate
+  FROM w{sweeps * len(names)})""")
     same = " AND ".join(f"r.{n} IS NOT DISTINCT FROM d.{n}" for n in names)
-    return ("WITH " + ",\n".join(ctes) + f"""
-SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, r.probability,
-       ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || ':{seed}'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0
-         < r.probability AS kept
-FROM docs d JOIN rated r ON {same}""")
+    return "WITH " + ",\n".join(ctes) + f""",
+taken AS (SELECT d.*, r.rate, floor(r.rate)::BIGINT + CASE WHEN
+    ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null') || ':{seed}'), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0
+    < r.rate - floor(r.rate) THEN 1 ELSE 0 END AS copies
+  FROM docs d JOIN rated r ON {same})
+SELECT doc_id, source, lang, topic, tokens, rate, copies::BIGINT AS copies, copies > 0 AS kept FROM taken"""
 
 
 @query("op8_mixing", mixing_sql())

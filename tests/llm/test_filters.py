@@ -134,26 +134,39 @@ def test_raking_meets_the_targets(spark):
         assert x.weight == pytest.approx(w[int(x.source[1]), int(x.lang[1]), int(x.topic[1])], rel=1e-6)
 
 
-def test_sample_follows_the_probabilities(spark):
+def test_sample_follows_the_rates(spark):
     docs = spark.range(4000).selectExpr("id as doc_id", "concat('w ', repeat('x ', int(id % 7))) as text",
                                         "concat('s', id % 3) as source", "if(id % 5 = 0, 'fr', 'en') as lang")
     plan = mixing.sample_plan(docs).toPandas()
-    assert plan.probability.max() == 1 and plan.probability.min() > 0
     for _, cell in plan.groupby(["source", "lang", "topic"]):
-        p = cell.probability.iloc[0]
-        assert abs(cell.kept.mean() - p) < 5 * np.sqrt(p * (1 - p) / len(cell)) + 1e-9
-    assert mixing.sample(docs).count() == plan.kept.sum()
+        rate = cell.rate.iloc[0]
+        p = rate - np.floor(rate)
+        assert set(cell.copies) <= {np.floor(rate), np.floor(rate) + 1}
+        assert abs((cell.copies - np.floor(rate)).mean() - p) < 5 * np.sqrt(p * (1 - p) / len(cell)) + 1e-9
+    assert plan.kept.mean() > 0.8 and (plan.kept == (plan.copies > 0)).all()
+    taken = mixing.sample(docs).toPandas()
+    assert list(taken.columns) == [*docs.columns, "copies"]
+    assert dict(zip(taken.doc_id, taken.copies)) == dict(zip(plan.doc_id[plan.kept], plan.copies[plan.kept]))
 
 
 def test_a_tiny_cell_is_repeated_and_shrinks_no_other(spark):
     docs = spark.range(2000).selectExpr("id as doc_id", "concat('w', repeat(' x', 9)) as text", "concat('s', id % 4) as source", "'en' as lang")
+    before = mixing.sample_plan(docs).toPandas()
     docs = docs.unionByName(spark.createDataFrame([(9999, "one two three", "rare", "en")], docs.schema))
-    plan = mixing.with_copies(docs).toPandas()
-    plan["doc_id"] = [d["doc_id"] for d in plan.doc]
+    plan = mixing.sample_plan(docs).toPandas()
     total, goal = plan.tokens.sum(), plan.groupby("source").tokens.sum() ** 0.7
     assert (plan.rate * plan.tokens).groupby(plan.source).sum().to_numpy() == pytest.approx((goal / goal.sum() * total).to_numpy(), rel=1e-6)
-    assert ((plan.copies == np.floor(plan.rate)) | (plan.copies == np.floor(plan.rate) + 1)).all()
-    assert (plan.copies > 0)[plan.source != "rare"].mean() > 0.95 and plan.copies[plan.source == "rare"].min() > 1
+    assert plan.kept[plan.source != "rare"].mean() > 0.95 * before.kept.mean() and before.kept.mean() > 0.95
+    assert plan.copies[plan.source == "rare"].min() > 1
     assert sorted(x["doc_id"] for x in mixing.repeated(docs).select("doc_id").collect()) == sorted(np.repeat(plan.doc_id, plan.copies))
-    half = mixing.with_copies(docs, budget=int(total) // 2).toPandas()
+    half = mixing.sample_plan(docs, budget=int(total) // 2).toPandas()
     assert (half.rate * half.tokens).sum() == pytest.approx(int(total) // 2, rel=1e-6)
+
+
+def test_the_topic_may_be_a_column(spark):
+    docs = spark.createDataFrame([(i, "a b c", "s", "en", ["x", "y", None][i % 3], 5) for i in range(90)],
+                                 "doc_id long, text string, source string, lang string, subject string, copies int")
+    plan = mixing.sample_plan(docs, topic="subject").toPandas()
+    assert dict(plan.topic.value_counts(dropna=False)) == {"x": 30, "y": 30, None: 30}
+    taken = mixing.sample(docs, topic="subject")
+    assert taken.columns == docs.columns and {r["copies"] for r in taken.collect()} <= {1, 2}

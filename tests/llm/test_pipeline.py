@@ -18,7 +18,7 @@ def test_stages(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = staged(stage(spark, docs, SF), f"test-{name}")
         seen[name] = docs.toPandas()
-        assert list(seen[name].columns) == list(seen["documents"].columns)
+        assert list(seen[name].columns) == [*seen["documents"].columns, *(["copies"] if name == "mixing" else [])]
     before = dict(zip([*seen][1:], [*seen.values()]))
 
     scores = {x["doc_id"]: x["predicted"] for x in toxicity.classify(table(spark, SF, "documents"), table(spark, SF, "labels")).collect()}
@@ -39,12 +39,13 @@ def test_stages(spark):
     assert len(clean) < len(before["decontamination"])
 
     plan = mixing.sample_plan(spark.createDataFrame(before["mixing"])).toPandas()
-    assert sorted(seen["mixing"].doc_id) == sorted(plan[plan.kept].doc_id)
+    assert sorted(zip(seen["mixing"].doc_id, seen["mixing"].copies)) == sorted(zip(plan[plan.kept].doc_id, plan[plan.kept].copies))
+    assert plan.kept.mean() > 0.85
     assert decontaminate.SHINGLE == 5 and decontaminate.THRESHOLD == 0.8
 
 
 def test_run_returns_the_last_stage(spark):
-    assert corpus_pipeline.run(spark, SF).columns == table(spark, SF, "documents").columns
+    assert corpus_pipeline.run(spark, SF).columns == [*table(spark, SF, "documents").columns, "copies"]
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontamination", "mixing"]
 
 
