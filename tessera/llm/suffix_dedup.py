@@ -140,28 +140,26 @@ def joined_windows(first: list[int], last: list[int]) -> list[tuple[int, int]]:
 
 
 class Region:
-    """Anchors, symbols and windows of one region."""
+    """Anchors and symbols of one region, and the first window of each anchor's run."""
 
     def __init__(self, body: bytes, length: int):
-        self.length = length
-        self.gram, self.span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
-        self.hashes = Hashes(body)
+        self.gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
+        hashes = Hashes(body)
         starts = np.arange(len(body) - self.gram + 1)
-        where = minima(self.hashes.of(starts, starts + self.gram), self.span)
-        self.anchors = where[runs(where)[0]]
-        self.symbols = self.hashes.of(self.anchors[:-1], self.anchors[1:] + self.gram).view(np.int64)
-        self.steps = np.diff(self.anchors)
-        own = where[:len(body) - length + 1]  # by window: its first anchor
-        self.first, self.last = runs(own)
-        self.anchor = np.searchsorted(self.anchors, own[self.first])
-        self.before = np.searchsorted(self.anchors, self.first, side="right") - 1
-
-    def cores(self) -> np.ndarray:
-        """By run of windows, a hash of the anchored bytes that all of them hold and
-        whose choice depends on nothing outside them."""
-        at = self.anchors[self.anchor]
-        end = np.searchsorted(self.anchors, at + self.length - 2 * self.span - self.gram, side="right") - 1
-        return self.hashes.of(at, self.anchors[end] + self.gram).view(np.int64)
+        where = minima(hashes.of(starts, starts + self.gram), span)
+        first = runs(where)[0]
+        self.anchors = where[first]
+        self.symbols = hashes.of(self.anchors[:-1], self.anchors[1:] + self.gram).view(np.int64)
+        self.first = first[first <= len(body) - length]  # run k of windows has anchor k
+
+
+def cores(hashes: Hashes, anchors: np.ndarray, pick: np.ndarray, length: int) -> np.ndarray:
+    """By run of windows, a hash of the anchored bytes that all of them hold and
+    whose choice depends on nothing outside them."""
+    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
+    at = anchors[pick]
+    end = np.searchsorted(anchors, at + length - 2 * span - gram, side="right") - 1
+    return hashes.of(at, anchors[end] + gram).view(np.int64)
 
 
 def cover(length: int) -> int:
@@ -229,8 +227,9 @@ def candidate_windows(texts: DataFrame) -> DataFrame:
 
 
 def regions_of(texts: DataFrame, length: int) -> DataFrame:
-    """``rid, doc, start, body, symbols, steps`` from ``doc, t, first, last``."""
-    kinds = {"doc": pa.int64(), "start": pa.int64(), "body": pa.binary(), "symbols": LISTS["long"], "steps": LISTS["int"]}
+    """``rid, doc, start, body, symbols, anchors, first`` from ``doc, t, first, last``."""
+    kinds = {"doc": pa.int64(), "start": pa.int64(), "body": pa.binary(), "symbols": LISTS["long"], "anchors": LISTS["int"],
+             "first": LISTS["int"]}
 
     def regions(batches):
         for batch in batches:
@@ -239,12 +238,13 @@ def regions_of(texts: DataFrame, length: int) -> DataFrame:
                 for s, e in joined_windows(first, last):
                     body = text[s:e + length]
                     r = Region(body, length)
-                    yield {"doc": [doc], "start": [s], "body": [body], "symbols": [r.symbols], "steps": [r.steps]}
+                    yield {"doc": [doc], "start": [s], "body": [body], "symbols": [r.symbols], "anchors": [r.anchors.astype(np.int32)],
+                           "first": [r.first.astype(np.int32)]}
 
     def run(batches):
         yield from packed(regions(batches), kinds, 4096)
 
-    out = texts.select("doc", "t", "first", "last").mapInArrow(run, "doc long, start long, body binary, symbols array<long>, steps array<int>")
+    out = texts.select("doc", "t", "first", "last").mapInArrow(run, "doc long, start long, body binary, symbols array<long>, anchors array<int>, first array<int>")
     return staged(out.withColumn("rid", F.monotonically_increasing_id()), "regions")
 
 
@@ -279,13 +279,13 @@ def sampled_triples(regions: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             found = []
-            for rid, symbols, steps in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+            for rid, symbols, anchors in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 c, n = symbols.values.to_numpy(), len(symbols)
                 if n > 1:
                     at = np.arange(n)
-                    found.append(triples(rid, at, c, steps.values.to_numpy().astype(np.int64), n, 1, at % 3 != 0))
+                    found.append(triples(rid, at, c, np.diff(anchors.values.to_numpy()).astype(np.int64), n, 1, at % 3 != 0))
             yield triple_batch(found)
-    return regions.select("rid", "symbols", "steps").mapInArrow(run, TRIPLE)
+    return regions.select("rid", "symbols", "anchors").mapInArrow(run, TRIPLE)
 
 
 def name_triples(found: DataFrame, level: int, need: int) -> DataFrame:
@@ -389,27 +389,35 @@ def window_runs(regions: DataFrame, equal: DataFrame, length: int) -> DataFrame:
     open rest with a hash of the anchored core and one of all bytes."""
     def found(batches):
         for batch in batches:
-            for rid, body, equal_at in zip(*(c.to_pylist() for c in batch.columns)):
-                r = Region(body, length)
-                full, leads = np.zeros(len(r.anchors) + 1, bool), np.zeros(len(r.anchors) + 1, bool)
-                for x in equal_at or []:
-                    full[x["i"]], leads[x["i"]] = True, x["leads"]
-                settled = full[r.before]  # the last entry, of no anchor, is false
-                core, second = r.cores(), Hashes(body, 1)
-                both = [h.of(r.first, r.last + length).view(np.int64) for h in (r.hashes, second)]
-                pick = np.concatenate((np.flatnonzero(~settled), np.flatnonzero(settled & leads[r.before])))
-                spans = np.array(joined_windows(r.first[settled].tolist(), r.last[settled].tolist()), np.int64).reshape(-1, 2)
+            for row, rid in enumerate(batch.column(0).to_pylist()):
+                anchors, first = (batch.column(c)[row].values.to_numpy().astype(np.int64) for c in (2, 3))
+                windows = len(batch.column(1)[row].as_buffer()) - length + 1
+                last = np.append(first[1:], windows) - 1
+                full, leads = np.zeros(len(anchors) + 1, bool), np.zeros(len(anchors) + 1, bool)
+                if batch.column(4)[row].is_valid:
+                    x = batch.column(4)[row].values
+                    full[x.field("i").to_numpy()], leads[x.field("i").to_numpy()] = True, x.field("leads").to_numpy(zero_copy_only=False)
+                before = np.searchsorted(anchors, first, side="right") - 1
+                settled = full[before]  # the last entry, of no anchor, is false
+                spans = np.array(joined_windows(first[settled].tolist(), last[settled].tolist()), np.int64).reshape(-1, 2)
+                pick = np.concatenate((np.flatnonzero(~settled), np.flatnonzero(settled & leads[before])))
+                core = both = np.empty(0, np.int64), np.empty(0, np.int64)
+                if len(pick):
+                    body = batch.column(1)[row].as_py()
+                    hashes = Hashes(body), Hashes(body, 1)
+                    both = [h.of(first[pick], last[pick] + length).view(np.int64) for h in hashes]
+                    core = [cores(hashes[0], anchors, pick, length)]
                 none = np.zeros(len(spans), np.int64)
                 kind = np.concatenate((settled[pick].astype(np.int64), none + 2))
-                yield {"kind": kind, "core": np.concatenate((core[pick], none)), "f0": np.concatenate((both[0][pick], none)),
-                       "f1": np.concatenate((both[1][pick], none)), "rid": np.full(len(kind), rid),
-                       "s": np.concatenate((r.first[pick], spans[:, 0])), "e": np.concatenate((r.last[pick], spans[:, 1]))}
+                yield {"kind": kind, "core": np.concatenate((core[0], none)), "f0": np.concatenate((both[0], none)),
+                       "f1": np.concatenate((both[1], none)), "rid": np.full(len(kind), rid),
+                       "s": np.concatenate((first[pick], spans[:, 0])), "e": np.concatenate((last[pick], spans[:, 1]))}
 
     def run(batches):
         yield from packed(found(batches), RUN_KINDS)
 
-    joined = regions.select("rid", "body").join(equal, "rid", "left")
-    return joined.select("rid", "body", "equal").mapInArrow(run, RUN)
+    joined = regions.select("rid", "body", "anchors", "first").join(equal, "rid", "left")
+    return joined.select("rid", "body", "anchors", "first", "equal").mapInArrow(run, RUN)
 
 
 def settle_equal_runs(found: DataFrame) -> DataFrame:
