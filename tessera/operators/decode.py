@@ -27,9 +27,12 @@ def echo_decode(pieces: DataFrame, n_best: int = 1, text: str = "text") -> DataF
 
 
 def batch_decode(pieces: DataFrame, decoder_factory: Callable[[], Decoder], n_best: int = 1,
-                 text: str = "text", keys: Sequence[str] | None = None) -> DataFrame:
+                 text: str = "text", keys: Sequence[str] | None = None, extras: Sequence[str] = ()) -> DataFrame:
     """Run ``decoder_factory()`` once per task over Arrow batches of pieces.
 
+    ``extras`` names columns of further sources; the decoder then gets a list of
+    each after the list of texts.
+
     Output: the input columns minus ``text`` plus ``rank INT, translation``.
     Only ``keys`` and ``text`` cross into Python; the rest is joined back by
     key, so wide rows are not serialised to the Python worker.
@@ -37,25 +40,26 @@ def batch_decode(pieces: DataFrame, decoder_factory: Callable[[], Decoder], n_be
     import pandas as pd
 
     keys = list(keys or [c for c in pieces.columns if c != text])
-    slim = pieces.select(*keys, text)
+    extras = list(extras)
+    slim = pieces.select(*keys, text, *extras)
     from pyspark.sql.types import IntegerType, StringType
-    out_schema = slim.drop(text).schema.add("rank", IntegerType()).add("translation", StringType())
+    out_schema = slim.drop(text, *extras).schema.add("rank", IntegerType()).add("translation", StringType())
 
     def run(batches):
         decode = decoder_factory()
         for pdf in batches:
-            hyps = decode(pdf[text].tolist())
+            hyps = decode(pdf[text].tolist(), *[pdf[c].tolist() for c in extras])
             rows = []
             for i, cand in enumerate(hyps):
                 for r, h in enumerate(list(cand)[:n_best] if n_best else cand):
                     rows.append((i, r, h))
             idx = pd.DataFrame(rows, columns=["_i", "rank", "translation"])
-            base = pdf.drop(columns=[text]).reset_index(drop=True)
+            base = pdf.drop(columns=[text, *extras]).reset_index(drop=True)
             res = base.iloc[idx["_i"].to_numpy()].reset_index(drop=True)
             res["rank"] = idx["rank"].astype("int32").to_numpy()
             res["translation"] = idx["translation"].to_numpy()
             yield res
 
     decoded = slim.mapInPandas(run, out_schema)
-    rest = [c for c in pieces.columns if c not in keys and c != text]
+    rest = [c for c in pieces.columns if c not in keys and c != text and c not in extras]
     return decoded.join(pieces.select(*keys, *rest), keys) if rest else decoded

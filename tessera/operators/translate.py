@@ -11,23 +11,30 @@ post-processing and re-insertion (F31) → blank empties (P6) → expand (P8).
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions import text as T
 from tessera.functions.processors import Models, TextProcessor, encode_lines
 from tessera.operators import decode, placeholders, wrap
-from tessera.sources.tables import read_folder
+from tessera.sources.tables import BIG_FILE, read_folder
 
 
 def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextProcessor | None = None,
                     decoder_factory: Callable | None = None, n_best: int = 1, extract_tags: bool = False,
-                    max_length: int = wrap.MAX_SENTENCE_LENGTH, models: Models | None = None) -> DataFrame:
+                    max_length: int = wrap.MAX_SENTENCE_LENGTH, models: Models | None = None,
+                    extras: Sequence[DataFrame] = ()) -> DataFrame:
     """``keys…, rank, translation`` for every line (empty lines give '').
 
-    A processor with corpus steps (truecasing, subwords) needs its ``models``."""
+    A processor with corpus steps (truecasing, subwords) needs its ``models``.
+    ``extras`` (S5/P3) are further sources, ``keys…, text`` each: the line with the
+    same keys goes, pre-processed, to the decoder with every piece of the main
+    line; a missing line is an empty text.  The decoder must be given then."""
     keys = list(keys)
+    if extras and decoder_factory is None:
+        raise ValueError("extra sources need a decoder that takes them")
     proc = processor or TextProcessor()
     df = lines
     tags = None
@@ -40,10 +47,14 @@ def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextPr
         before = proc.pre
     pieces = wrap.wrap_lines(df, keys=keys, before_wrap=before, after_wrap=proc.pre_piece,
                              keep=[tags] if tags else [])
+    names = [f"_extra{i}" for i in range(len(extras))]
+    for name, other in zip(names, extras):
+        line = T.strip(proc.pre_piece(T.strip(proc.pre(T.strip(F.col("text"))))))
+        pieces = pieces.join(other.select(*keys, line.alias(name)), keys, "left").withColumn(name, F.coalesce(name, F.lit("")))
     if decoder_factory is None:
         hyps = decode.echo_decode(pieces, n_best)
     else:
-        hyps = decode.batch_decode(pieces, decoder_factory, n_best, keys=[*keys, "piece_no"])
+        hyps = decode.batch_decode(pieces, decoder_factory, n_best, keys=[*keys, "piece_no"], extras=names)
     return wrap.unwrap_pieces(hyps, keys=keys, postprocess=proc.post, tags=tags)
 
 
@@ -74,20 +85,27 @@ def _name_of(factory: Callable | None) -> str:
 
 def translate_folder(spark: SparkSession, input_dir: str, output_dir: str, processor: TextProcessor | None = None,
                      decoder_factory: Callable | None = None, n_best: int = 1, fmt: str = "json",
-                     extract_tags: bool = False, glob: str | None = None, models: Models | None = None) -> str:
+                     extract_tags: bool = False, glob: str | None = None, models: Models | None = None,
+                     big: int = BIG_FILE, extra_dirs: Sequence[str] = ()) -> str:
     """Translate every file under ``input_dir`` into the same layout.
 
+    Files of ``big`` bytes or more are read, translated and put together again by
+    many tasks; no step holds more than a line of a document.  ``extra_dirs`` are
+    folders of the same layout that hold further sources, line by line.
+
     Output rows are written partitioned by document (``doc=<relative path>``)
     and sorted by (line_no, rank) inside each file.  The parsed stage is named
     after what made it (input, processor, decoder, n-best, tags, glob): a run
     with the same arguments reuses a finished one, other arguments get their
     own, and one without its success marker is written again (resume)."""
-    made = "|".join(str(x) for x in (input_dir, (processor or TextProcessor()).name, _name_of(decoder_factory), n_best, extract_tags, glob))
+    made = "|".join(str(x) for x in (input_dir, (processor or TextProcessor()).name, _name_of(decoder_factory), n_best, extract_tags, glob,
+                                  *extra_dirs))
     stage = f"{output_dir.rstrip('/')}/_stages/hyps-{hashlib.sha256(made.encode()).hexdigest()[:16]}"
     if not stage_done(spark, stage):
-        lines = read_folder(spark, input_dir, glob)
+        lines = read_folder(spark, input_dir, glob, big)
+        extras = [read_folder(spark, d, glob, big) for d in extra_dirs]
         out = translate_lines(lines, processor=processor, decoder_factory=decoder_factory, n_best=n_best,
-                              extract_tags=extract_tags, models=models)
+                              extract_tags=extract_tags, models=models, extras=extras)
         out.write.mode("overwrite").parquet(stage)                            # K5
     hyps = spark.read.parquet(stage)
     rows = format_rows(hyps, fmt)

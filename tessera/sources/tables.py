@@ -36,36 +36,47 @@ def document_lines(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 .withColumn("line_no", F.col("line_no").cast("long")))
 
 
-def read_folder(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """A recursive folder of small UTF-8 files → ``doc, line_no, text``.
-
-    ``doc`` is the path relative to ``path``.  Each file is read whole (the
-    reference's many-small-files premise) and split into lines inside its
-    task.  Spark's scans skip zero-byte files; the listing adds each of them as
-    a document of one empty line, which is what an empty text has (see
-    :func:`folder_listing`).
+#: Files of this many bytes or more are read line by line, by as many tasks as they have splits.
+BIG_FILE = 64 << 20
+
+
+def read_folder(spark: SparkSession, path: str, glob: str | None = None, big: int = BIG_FILE) -> DataFrame:
+    """A recursive folder of UTF-8 files → ``doc, line_no, text``.
+
+    ``doc`` is the path relative to ``path``.  A file below ``big`` bytes is read
+    whole (the reference's many-small-files premise) and split into lines inside
+    its task; a larger one is cut into splits and its lines are numbered across
+    them (:func:`numbered_lines`).  Both scans choose their files by the size in
+    the scan's own listing.  Files whose name begins with ``_`` or ``.`` are not
+    documents, as for every Spark reader.  Spark's scans skip zero-byte files; the
+    listing adds each of them as a document of one empty line, which is what an
+    empty text has (see :func:`folder_listing`).
     """
-    opts = {"wholetext": True, "recursiveFileLookup": True}
-    if glob:
-        opts["pathGlobFilter"] = glob
-    raw = spark.read.text(path, **opts)
-    base = _base_uri(path)
-    docs = raw.select(F.regexp_replace(F.col("_metadata.file_path"), "^" + _quote(base), "").alias("doc"),
-                      F.col("value").alias("text"))
+    opts = {"recursiveFileLookup": True, **({"pathGlobFilter": glob} if glob else {})}
+    size = F.col("_metadata.file_size")
+    raw = spark.read.text(path, wholetext=True, **opts).where(size < big)
+    docs = raw.select(relative_name(spark, path, F.col("_metadata.file_path")).alias("doc"), F.col("value").alias("text"))
     lines = document_lines(docs, key="doc")
+    if not spark.read.format("binaryFile").options(**_options(opts)).load(path).where(F.col("length") >= big).select("length").isEmpty():
+        large = numbered_lines(spark.read.text(path, lineSep="\n", **opts).where(size >= big))
+        lines = lines.unionByName(large.select(relative_name(spark, path, F.col("doc")).alias("doc"), "line_no", "text"))
     empty = folder_listing(spark, path, glob).where("length = 0")
     return lines.unionByName(empty.select("doc", F.lit(0).cast("long").alias("line_no"), F.lit("").alias("text")))
 
 
 def read_big_file_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1 for few large files: ``\\n``-separated scan with stable line numbers.
+    """S1 for few large files: ``\\n``-separated scan with stable line numbers; see :func:`numbered_lines`."""
+    return numbered_lines(spark.read.text(path, lineSep="\n"))
+
+
+def numbered_lines(raw: DataFrame) -> DataFrame:
+    """``doc, line_no, text`` of a scan by lines, ``doc`` being the file's full path.
 
     Line numbers come from the distributed prefix-sum pattern: the scan keeps
     (file, split start, position in split); per-split counts are summed in a
     small table (one row per split) and added back as offsets.  No window
     spans a whole file, so one huge file is still read by many tasks.
     """
-    raw = spark.read.text(path, lineSep="\n")
     rows = raw.select(F.col("_metadata.file_path").alias("doc"),
                       F.col("_metadata.file_block_start").alias("block"),
                       F.monotonically_increasing_id().alias("mid"),
@@ -75,40 +86,36 @@ def read_big_file_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def folder_listing(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Every file under ``path`` with its length, including empty ones.
+    """``doc, length`` of every file that Spark's readers see under ``path``, empty ones included.
 
-    Spark's file scans (text, binaryFile) skip zero-byte files, so the
-    listing comes from the Hadoop FileSystem API, the same metadata listing
-    Spark's file index performs on the driver; no file content is read.
+    The names are those of the scan's own file index (listed by Spark, in
+    parallel when there are many folders), one call; lengths come from a scan of
+    the files' metadata, which reads no content and skips empty files.
     """
-    import fnmatch
-    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(jsc.hadoopConfiguration())
-    base = fs.makeQualified(root).toString().rstrip("/") + "/"
-    it = fs.listFiles(root, True)
-    rows = []
-    while it.hasNext():
-        st = it.next()
-        name = st.getPath().toString()
-        rel = name[len(base):] if name.startswith(base) else name
-        if glob and not fnmatch.fnmatch(rel.rsplit("/", 1)[-1], glob):
-            continue
-        rows.append((rel, int(st.getLen())))
-    return spark.createDataFrame(rows, "doc string, length long")
-
-
-def _base_uri(path: str) -> str:
-    import os
-    p = os.path.abspath(path) if "://" not in path else path
-    if "://" not in p:
-        p = "file:" + p
-    return p.rstrip("/") + "/"
-
-
-def _quote(s: str) -> str:
-    import re
-    return re.escape(s)
+    opts = {"recursiveFileLookup": True, **({"pathGlobFilter": glob} if glob else {})}
+    names = spark.createDataFrame([(n,) for n in spark.read.text(path, **opts).inputFiles()], "file string")
+    scan = spark.read.format("binaryFile").options(**_options(opts)).load(path)
+    full = scan.select(relative_name(spark, path, F.col("_metadata.file_path")).alias("_doc"), "length")
+    listed = names.select(relative_name(spark, path, F.col("file")).alias("doc"))
+    return listed.join(full, F.col("doc") == F.col("_doc"), "left").select("doc", F.coalesce("length", F.lit(0)).alias("length"))
+
+
+def _options(opts: dict) -> dict:
+    return {k: str(v).lower() if isinstance(v, bool) else v for k, v in opts.items()}
+
+
+def relative_name(spark: SparkSession, path: str, uri) -> F.Column:
+    """A file's URI (percent-encoded, as Spark gives it) as its plain path below the folder ``path``."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = _one_slash(F.lit(fs.makeQualified(root).toString().rstrip("/") + "/"))
+    plain = _one_slash(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))  # url_decode takes a plus for a blank
+    return F.when(F.startswith(plain, base), F.substring(plain, F.length(base) + 1, F.length(plain))).otherwise(plain)
+
+
+def _one_slash(uri) -> F.Column:
+    """``file:///a`` and ``file:/a`` alike."""
+    return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
 def read_vocab(spark: SparkSession, path: str, threshold: int = 0) -> DataFrame:
