@@ -14,14 +14,16 @@ set is thousands of times larger than the other, the search loses nothing of
 what the shingles define.  Every candidate is verified by exact containment of
 the shingles themselves.
 
-Items of fewer than ``SHINGLE`` words are not searched for inside longer
-documents: such an item is one short shingle, a longer document has only
-shingles of ``SHINGLE`` words, and so only a document of just these words holds
-it.  One to four words occur in many clean documents, and the SQL of the query
-defines shingles this way.
-
-Documents are never shuffled: the items go out in blocks of at most ``BLOCK``
-shingle hashes (a fixed bound), one pass over the documents for each block.
+An item of fewer than ``SHINGLE`` words is one shingle of all its words, and is
+looked for among the document's runs of as many words; such runs are hashed only
+where an item of that length is given.
+
+A document's hashes are looked up in the sorted sketches, so a document costs as
+much with many items as with few (times a logarithm).
+
+Documents are never shuffled: distinct item texts go out in blocks of about
+``BLOCK`` shingle hashes, one pass over the documents for each block; the ids of
+the items with a text are joined to what was found.
 """
 
 from __future__ import annotations
@@ -33,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from tessera.llm.common import numbered, staged, without
 
@@ -69,16 +70,21 @@ def word_numbers(joined: bytes, gaps: np.ndarray) -> np.ndarray:
     return np.add.reduceat(mixed, starts)
 
 
-def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
-    """One 64-bit hash for each shingle, in order."""
-    words = words_of(text)
+def numbers_of(words: list[bytes]) -> np.ndarray:
+    """The number of each word, in order."""
     if not words:
         return np.empty(0, np.uint64)
     joined = b" ".join(words)
-    numbers = word_numbers(joined, np.flatnonzero(np.frombuffer(joined, np.uint8) == 32))
-    m = max(1, len(numbers) - size + 1)
-    out = np.full(m, len(numbers) if len(numbers) < size else size, np.uint64)
-    for k in range(min(size, len(numbers))):
+    return word_numbers(joined, np.flatnonzero(np.frombuffer(joined, np.uint8) == 32))
+
+
+def run_hashes(numbers: np.ndarray, size: int) -> np.ndarray:
+    """One 64-bit hash for each run of ``size`` words, in order."""
+    m = len(numbers) - size + 1
+    if m < 1:
+        return np.empty(0, np.uint64)
+    out = np.full(m, size, np.uint64)
+    for k in range(size):
         out = (out ^ numbers[k:k + m]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(31)
     return out
@@ -86,9 +92,10 @@ def shingle_hashes(text: bytes, size: int = SHINGLE) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Item:
-    """A test item: its id, shingle set, and the size of the sketch it is found by."""
+    """A test item: its number in the block, the words of its shingles, their set and hashes."""
 
-    id: object
+    id: int
+    size: int
     shingles: frozenset[bytes]
     hashes: np.ndarray
 
@@ -96,22 +103,26 @@ class Item:
         return math.ceil(threshold * len(self.shingles) - 1e-9)
 
 
-def read_items(rows, size: int = SHINGLE) -> list[Item]:
-    return [Item(i, frozenset(shingle_texts(words_of(t), size)), np.unique(shingle_hashes(t, size))) for i, t in rows]
+def read_items(texts: list[bytes], size: int = SHINGLE) -> list[Item]:
+    items = []
+    for i, words in enumerate(map(words_of, texts)):
+        own = min(size, len(words))
+        items.append(Item(i, own, frozenset(shingle_texts(words, size)), np.unique(run_hashes(numbers_of(words), own)) if own else np.empty(0, np.uint64)))
+    return items
 
 
 class Partitions:
-    """Bottom-k sketches of a block of items, partitioned by set size."""
+    """Bottom-k sketches of a block of items, partitioned by set size and shingle length."""
 
     def __init__(self, items: list[Item], threshold: float = THRESHOLD, hits: int = HITS):
         self.items, self.threshold, self.parts = items, threshold, []
-        by_size: dict[int, list[int]] = {}
+        by_size: dict[tuple[int, int], list[int]] = {}
         for i, item in enumerate(items):
             if len(item.hashes):
-                by_size.setdefault(len(item.hashes).bit_length(), []).append(i)
-        for _, members in sorted(by_size.items()):
+                by_size.setdefault((item.size, len(item.hashes).bit_length()), []).append(i)
+        for (size, _), members in sorted(by_size.items()):
             least = min(items[i].needed(threshold) for i in members)
-            hashes, owners, share = [], [], {}
+            hashes, owners, share = [], [], np.zeros(len(items), np.int64)
             for i in members:
                 miss = len(items[i].shingles) - items[i].needed(threshold)
                 sketch = items[i].hashes[:miss + hits]  # sorted: the smallest
@@ -120,40 +131,45 @@ class Partitions:
                 share[i] = max(1, len(sketch) - miss)
             flat = np.concatenate(hashes)
             order = np.argsort(flat, kind="stable")
-            self.parts.append((least, flat[order], np.array(owners)[order], share))
+            self.parts.append((size, least, flat[order], np.array(owners)[order], share))
+        self.sizes = sorted({p[0] for p in self.parts})
 
-    def candidates(self, doc: np.ndarray) -> list[int]:
-        """Items whose sketch the sorted distinct hashes ``doc`` share often enough."""
+    def candidates(self, docs: dict[int, np.ndarray]) -> list[int]:
+        """Items whose sketch shares enough of the distinct hashes, given by shingle length."""
         found = []
-        for least, flat, owners, share in self.parts:
+        for size, least, flat, owners, share in self.parts:
+            doc = docs[size]
             if len(doc) < least:
                 continue
-            at = np.minimum(np.searchsorted(doc, flat), len(doc) - 1)
-            for i, n in zip(*np.unique(owners[doc[at] == flat], return_counts=True)):
-                if n >= share[int(i)]:
-                    found.append(int(i))
+            first = np.searchsorted(flat, doc)
+            n = np.searchsorted(flat, doc, side="right") - first  # sketches that hold each hash
+            at = np.flatnonzero(n)
+            if len(at):
+                n, first = n[at], first[at]
+                places = np.repeat(first - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+                own, hits = np.unique(owners[places], return_counts=True)
+                found += own[hits >= share[own]].tolist()
         return found
 
-    def matches(self, text: bytes, size: int = SHINGLE) -> list[tuple[int, int]]:
+    def matches(self, text: bytes) -> list[tuple[int, int]]:
         """``(item, shared shingles)`` of the items that the text contains, verified on the shingles."""
-        hashes = shingle_hashes(text, size)
-        if not len(hashes):
-            return []
-        cands = self.candidates(np.sort(hashes))
+        words = words_of(text)
+        numbers = numbers_of(words)
+        cands = self.candidates({n: np.unique(run_hashes(numbers, n)) for n in self.sizes})
         if not cands:
             return []
-        own = set(shingle_texts(words_of(text), size))
-        shared = [(i, len(self.items[i].shingles & own)) for i in cands]
+        own = {n: {b" ".join(words[i:i + n]) for i in range(len(words) - n + 1)} for n in {self.items[i].size for i in cands}}
+        shared = [(i, len(self.items[i].shingles & own[self.items[i].size])) for i in cands]
         return [(i, n) for i, n in shared if n >= self.items[i].needed(self.threshold)]
 
 
-def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK, size: int = SHINGLE) -> list[DataFrame]:
-    """The items in blocks of at most about ``block`` words each (an item is in one block)."""
-    rows = items.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("binary").alias("t"))
-    rows = staged(rows.withColumn("n", F.octet_length("t")).withColumn("b", F.xxhash64("t")), "items")
-    total = rows.agg(F.sum("n")).first()[0] or 0
+def item_blocks(items: DataFrame, key: str, text: str, block: int = BLOCK) -> tuple[DataFrame, list[DataFrame]]:
+    """``id, t`` of the items, and their distinct texts in blocks of about ``block`` words each."""
+    rows = staged(items.where(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.col(text).cast("binary").alias("t")), "items")
+    texts = staged(rows.select("t").distinct().withColumn("n", F.octet_length("t")).withColumn("b", F.xxhash64("t")), "item-texts")
+    total = texts.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, math.ceil(total / 4 / block))  # a word and its gap have two bytes at least, mostly more
-    return [rows.where(F.pmod("b", F.lit(blocks)) == i).select("id", "t") for i in range(blocks)]
+    return rows, [texts.where(F.pmod("b", F.lit(blocks)) == i).select("t") for i in range(blocks)]
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
@@ -163,34 +179,35 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     item, at least ``threshold``).
 
     Words are runs of ASCII letters and digits and of non-ASCII characters, A-Z
-    lower-cased; shingles are ``size`` words, of fewer words the whole text.
+    lower-cased; shingles are ``size`` words, of an item with fewer words all of them.
     Null and wordless texts contain nothing and are contained in nothing.
     Repeated documents and items each get their rows; rows with a null id are
     searched like others.  Empty tables give an empty result; other columns
     are not read.
     """
-    id_type, item_type = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
-    item_arrow = to_arrow_type(items.schema[item_key].dataType)
-    schema = f"doc_id {id_type}, item_id {item_type}, shared int, shingles int"
+    id_type = docs.schema[key].dataType.simpleString()
+    schema = f"doc_id {id_type}, _t binary, shared int, shingles int"
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("t"))
+    rows, blocks = item_blocks(items, item_key, item_text, block)
     found = None
-    for part in item_blocks(items, item_key, item_text, block, size):
-        rows = [(r["id"], bytes(r["t"])) for r in part.collect()]  # one block of a fixed size
-        table = Partitions(read_items(rows, size), threshold)
+    for part in blocks:
+        texts = sorted(bytes(r["t"]) for r in part.collect())  # one block, distinct texts
+        table = Partitions(read_items(texts, size), threshold)
 
-        def run(batches, table=table):
+        def run(batches, table=table, texts=texts):
             for batch in batches:
-                out = [(d, table.items[i].id, n, len(table.items[i].shingles))
+                out = [(d, texts[i], n, len(table.items[i].shingles))
                        for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t
-                       for i, n in table.matches(t, size)]
+                       for i, n in table.matches(t)]
                 cols = list(zip(*out)) or [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], item_arrow),
-                     pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "item_id", "shared", "shingles"])
+                    [pa.array(cols[0], batch.schema.field(0).type), pa.array(cols[1], pa.binary()),
+                     pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "_t", "shared", "shingles"])
 
         hits = source.mapInArrow(run, schema)
         found = hits if found is None else found.unionByName(hits)
-    return found.withColumn("containment", F.col("shared") / F.col("shingles"))
+    named = found.join(rows.select(F.col("id").alias("item_id"), F.col("t").alias("_item")), F.col("_t") == F.col("_item"))
+    return named.select("doc_id", "item_id", "shared", "shingles", (F.col("shared") / F.col("shingles")).alias("containment"))
 
 
 def drop_leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -84,14 +84,15 @@ WITH words AS (
   UNION ALL
   SELECT 'i', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
          '[a-z0-9\x{80}-\x{10FFFF}]+') FROM benchmark
+), lengths AS (SELECT DISTINCT least(len(w), 5) AS n FROM words WHERE kind = 'i' AND len(w) > 0
+), sized AS (SELECT kind, id, w, least(len(w), 5) AS n FROM words WHERE kind = 'i' AND len(w) > 0
+  UNION ALL SELECT kind, id, w, n FROM words JOIN lengths ON len(w) >= n WHERE kind = 'd'
 ), shingles AS (
-  SELECT DISTINCT kind, id, unnest(CASE WHEN len(w) <= 5 THEN [array_to_string(w, ' ')]
-         ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
-  FROM words WHERE len(w) > 0
+  SELECT DISTINCT kind, id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS s FROM sized
 ), sizes AS (SELECT id, count(*)::INTEGER AS shingles FROM shingles WHERE kind = 'i' GROUP BY id)
 SELECT d.id AS doc_id, i.id AS item_id, count(*)::INTEGER AS shared, any_value(z.shingles) AS shingles,
        count(*)::INTEGER / any_value(z.shingles) AS containment
-FROM shingles i JOIN shingles d ON d.kind = 'd' AND i.kind = 'i' AND d.s = i.s JOIN sizes z ON z.id = i.id
+FROM shingles i JOIN shingles d ON d.kind = 'd' AND i.kind = 'i' AND d.n = i.n AND d.s = i.s JOIN sizes z ON z.id = i.id
 GROUP BY d.id, i.id HAVING count(*) >= 0.8 * any_value(z.shingles)
 """
 

@@ -44,19 +44,21 @@ def test_cascade_encodes_false_positives(spark):
 
 
 def contained(text, item):
-    shingles = lambda t: set(decontaminate.shingle_texts(decontaminate.words_of(t.encode())))
-    a, b = shingles(item), shingles(text)
+    words, own = (decontaminate.words_of((x or "").encode()) for x in (text, item))
+    n = min(5, len(own))
+    a, b = ({tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if n else set() for w in (own, words))
     return len(a & b), len(a)
 
 
 def test_containment_search_loses_nothing(spark):
     r = random.Random(8)
-    items = [(i, prose(1000 + i, r.choice([3, 5, 8, 20, 40, 90]))) for i in range(40)]
+    items = [(i, prose(1000 + i, r.choice([1, 2, 3, 4, 5, 8, 20, 40, 90]))) for i in range(40)]
+    items += [(100, items[3][1]), (101, items[3][1] + "."), (102, "")]
     docs = []
     for d in range(200):
         text = prose(d, r.choice([0, 10, 300])).split()
         for _ in range(r.randint(0, 2)):
-            words = r.choice(items)[1].split()
+            words = r.choice(items[:40])[1].split()
             for _ in range(r.choice([0, 0, 1, 2])):
                 words[r.randrange(len(words))] = r.choice(WORDS)
             words = words[:max(1, int(len(words) * r.choice([1, 1, 0.85, 0.7])))]
@@ -67,7 +69,15 @@ def test_containment_search_loses_nothing(spark):
                               block=300).collect()
     want = {(d, i): contained(t, x) for d, t in docs for i, x in items}
     assert {(x["doc_id"], x["item_id"]): (x["shared"], x["shingles"]) for x in got} == {k: v for k, v in want.items() if v[1] and v[0] >= 0.8 * v[1]}
-    assert len(got) > 30
+    assert len(got) > 30 and any(v[1] == 1 and v[0] and len(dict(docs)[d].split()) > 20 for (d, _), v in want.items())
+
+
+def test_items_of_one_text_are_one_search(spark):
+    items = spark.createDataFrame([(i, "same short item") for i in range(500)] + [(1000, "other words of another test item")], "item_id long, text string")
+    rows, blocks = decontaminate.item_blocks(items, "item_id", "text", block=1)
+    assert rows.count() == 501 and sum(b.count() for b in blocks) == 2
+    docs = spark.createDataFrame([(7, "the same, short ITEM here"), (8, "same short")], "doc_id long, text string")
+    assert sorted((x["doc_id"], x["item_id"]) for x in decontaminate.leaks(docs, items).collect()) == [(7, i) for i in range(500)]
 
 
 @pytest.fixture(scope="module")
