@@ -13,7 +13,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -25,9 +25,14 @@ from tessera.sources.tables import BIG_FILE, read_folder
 def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextProcessor | None = None,
                     decoder_factory: Callable | None = None, n_best: int = 1, extract_tags: bool = False,
                     max_length: int = wrap.MAX_SENTENCE_LENGTH, models: Models | None = None,
-                    extras: Sequence[DataFrame] = ()) -> DataFrame:
+                    extras: Sequence[DataFrame] = (), words: bool = False, expand: bool = True) -> DataFrame:
     """``keys…, rank, translation`` for every line (empty lines give '').
 
+    ``words`` adds ``nbest_words``: of every position of the line the decoder's
+    alternatives with their scores (the decoder must give them, see
+    ``decode.batch_decode``); an empty line has none.  Without ``expand`` (P8) a
+    line is one row and both columns are arrays by rank.
+
     A processor with corpus steps (truecasing, subwords) needs its ``models``.
     ``extras`` (S5/P3) are further sources, ``keys…, text`` each: the line with the
     same keys goes, pre-processed, to the decoder with every piece of the main
@@ -52,16 +57,37 @@ def translate_lines(lines: DataFrame, keys=("doc", "line_no"), processor: TextPr
         line = T.strip(proc.pre_piece(T.strip(proc.pre(T.strip(F.col("text"))))))
         pieces = pieces.join(other.select(*keys, line.alias(name)), keys, "left").withColumn(name, F.coalesce(name, F.lit("")))
     if decoder_factory is None:
-        hyps = decode.echo_decode(pieces, n_best)
+        hyps = decode.echo_decode(pieces, n_best, words=words)
     else:
-        hyps = decode.batch_decode(pieces, decoder_factory, n_best, keys=[*keys, "piece_no"], extras=names)
-    return wrap.unwrap_pieces(hyps, keys=keys, postprocess=proc.post, tags=tags)
+        hyps = decode.batch_decode(pieces, decoder_factory, n_best, keys=[*keys, "piece_no"], extras=names, words=words)
+    found = "nbest_words" if words else None
+    if not expand:
+        return wrap.collate_pieces(hyps, keys=keys, words=found, postprocess=proc.post, tags=tags, n_best=n_best)
+    return wrap.unwrap_pieces(hyps, keys=keys, words=found, postprocess=proc.post, tags=tags)
+
+
+def _sorted_maps(position: Column) -> Column:
+    """A position's alternatives in the order of their text (keys of JSON are sorted)."""
+    return F.map_from_entries(F.array_sort(F.map_entries(position)))
 
 
 def format_rows(out: DataFrame, fmt: str, id_col: str = "line_no") -> DataFrame:
-    """K1/K2/K3: one output text line per row."""
+    """K1/K2/K3: one output text line per row.
+
+    JSON has ``nbest_words`` where the rows have them, and takes expanded and
+    unexpanded rows; the other formats have one hypothesis per line and raise
+    ValueError on unexpanded rows."""
+    types = dict(out.dtypes)
+    arrays = types["translation"].startswith("array")
+    if arrays and fmt in ("marian", "text"):
+        raise ValueError(f"format {fmt!r} needs one row per hypothesis")
     if fmt == "json":
-        line = F.to_json(F.struct(F.col(id_col).alias("id"), "translation"))
+        fields = [F.col(id_col).alias("id"), F.col("translation")]
+        if "nbest_words" in types:
+            ordered = (F.transform("nbest_words", lambda h: F.transform(h, _sorted_maps)) if arrays
+                       else F.transform("nbest_words", _sorted_maps))
+            fields.insert(1, ordered.alias("nbest_words"))
+        line = F.to_json(F.struct(*fields))
     elif fmt == "marian":
         line = F.concat_ws(" ||| ", F.col(id_col).cast("string"), F.trim("translation"))
     elif fmt == "text":
@@ -86,32 +112,35 @@ def _name_of(factory: Callable | None) -> str:
 def translate_folder(spark: SparkSession, input_dir: str, output_dir: str, processor: TextProcessor | None = None,
                      decoder_factory: Callable | None = None, n_best: int = 1, fmt: str = "json",
                      extract_tags: bool = False, glob: str | None = None, models: Models | None = None,
-                     big: int = BIG_FILE, extra_dirs: Sequence[str] = ()) -> str:
+                     big: int = BIG_FILE, extra_dirs: Sequence[str] = (), words: bool = False,
+                     expand: bool = True) -> str:
     """Translate every file under ``input_dir`` into the same layout.
 
     Files of ``big`` bytes or more are read, translated and put together again by
     many tasks; no step holds more than a line of a document.  ``extra_dirs`` are
-    folders of the same layout that hold further sources, line by line.
+    folders of the same layout that hold further sources, line by line.  ``words``
+    and ``expand`` are those of :func:`translate_lines`; the stage holds them.
 
     Output rows are written partitioned by document (``doc=<relative path>``)
-    and sorted by (line_no, rank) inside each file.  The parsed stage is named
-    after what made it (input, processor, decoder, n-best, tags, glob): a run
+    and sorted by line (and rank) inside each file.  The parsed stage is named
+    after what made it (input, processor, decoder, n-best, tags, glob, words, form): a run
     with the same arguments reuses a finished one, other arguments get their
     own, and one without its success marker is written again (resume)."""
     made = "|".join(str(x) for x in (input_dir, (processor or TextProcessor()).name, _name_of(decoder_factory), n_best, extract_tags, glob,
-                                  *extra_dirs))
+                                  *extra_dirs, *(["words"] if words else []), *([] if expand else ["arrays"])))
     stage = f"{output_dir.rstrip('/')}/_stages/hyps-{hashlib.sha256(made.encode()).hexdigest()[:16]}"
     if not stage_done(spark, stage):
         lines = read_folder(spark, input_dir, glob, big)
         extras = [read_folder(spark, d, glob, big) for d in extra_dirs]
         out = translate_lines(lines, processor=processor, decoder_factory=decoder_factory, n_best=n_best,
-                              extract_tags=extract_tags, models=models, extras=extras)
+                              extract_tags=extract_tags, models=models, extras=extras, words=words, expand=expand)
         out.write.mode("overwrite").parquet(stage)                            # K5
     hyps = spark.read.parquet(stage)
     rows = format_rows(hyps, fmt)
     # Range partitioning keeps each document's rows contiguous and ordered
     # across part files, and splits one huge document over several tasks.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (rows.repartitionByRange(n, "doc", "line_no", "rank").sortWithinPartitions("doc", "line_no", "rank")
+    order = ["doc", "line_no", "rank"] if expand else ["doc", "line_no"]
+    (rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .select("doc", "value").write.mode("overwrite").partitionBy("doc").text(f"{output_dir.rstrip('/')}/out"))
     return f"{output_dir.rstrip('/')}/out"

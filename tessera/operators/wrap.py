@@ -97,3 +97,42 @@ def unwrap_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
         out.append(F.when(empty, F.array().cast("array<map<string,string>>"))
                    .otherwise(flat).alias("nbest_words"))
     return grouped.select(*out)
+
+
+def collate_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text: str = "translation",
+                   words: str | None = None, postprocess: ColumnFn | None = None, tags: str | None = None,
+                   n_best: int | None = None) -> DataFrame:
+    """The unexpanded form of :func:`unwrap_pieces` (P8): one row per line, with
+    ``translation ARRAY<STRING>`` by rank and, with ``words``, ``nbest_words``
+    by rank, position and alternative.
+
+    A rank that some piece lacks is left out, as there.  An empty line has
+    ``n_best`` blanks (without it as many as the decoder gave).  A line whose
+    pieces share no rank has two empty arrays.  One shuffle on ``keys``; the
+    array holds the pieces and ranks of one line.
+    """
+    keys = list(keys)
+    parts = F.struct("piece_no", "rank", F.col(text).alias("t"), *([F.col(words).alias("w")] if words else []))
+    df = (hyps.groupBy(*keys)
+              .agg(F.collect_list(parts).alias("_parts"), F.max("n_pieces").alias("_need"), F.max("rank").alias("_last"),
+                   F.first("is_empty").alias("is_empty"), *([F.first(tags).alias(tags)] if tags else [])))
+    df = df.withColumn("_parts", F.array_sort("_parts", lambda l, r: (l["piece_no"] - r["piece_no"]).cast("int")))
+    by_rank = F.transform(F.sequence(F.lit(0), F.col("_last")), lambda r: F.filter("_parts", lambda p: p["rank"] == r))
+    df = df.withColumn("_ranks", F.filter(by_rank, lambda ps: F.size(ps) == F.col("_need")))
+
+    def whole(ps):
+        joined = F.array_join(F.transform(ps, lambda p: T.strip(p["t"])), " ")
+        if postprocess is not None:
+            joined = T.strip(postprocess(joined))
+        if tags:
+            from tessera.operators.placeholders import reinsert_column
+            joined = reinsert_column(joined, F.coalesce(F.col(tags), F.array().cast("array<struct<placeholder:string,original:string>>")))
+        return joined
+
+    n = F.lit(n_best) if n_best is not None else F.size("_ranks")
+    out = [*keys, F.when(F.col("is_empty"), F.array_repeat(F.lit(""), n)).otherwise(F.transform("_ranks", whole)).alias("translation")]
+    if words:
+        none = F.array().cast("array<map<string,string>>")
+        out.append(F.when(F.col("is_empty"), F.array_repeat(none, n))
+                   .otherwise(F.transform("_ranks", lambda ps: F.flatten(F.transform(ps, lambda p: p["w"])))).alias("nbest_words"))
+    return df.select(*out)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import nbest, prefix, wrap
+from tessera.operators.translate import format_rows, translate_lines
 from tessera.plans.corpus import BLANKED, lines_with_blanks, local_items
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, pieces_sql, with_
@@ -135,3 +136,65 @@ def nbest_zip_expand(spark, sf_dir):
                        .withColumnRenamed("local_item", "item"), ["src_file", "item"])
     out = wrap.unwrap_pieces(hyps.withColumnRenamed("src_file", "doc_id"), words="nbest_words")
     return out.select("doc_id", "line_no", "rank", "translation", F.size("nbest_words").alias("n_words"))
+
+
+# The JSON of a piece's word lists: its positions (the token and its lower-cased form, in the order of
+# their text), then the end token; ``{tok}`` is a list of tokens.
+_WORDS_JSON = r"""array_to_string(list_append(list_transform({tok}, lambda w: CASE WHEN w = lower(w)
+      THEN '{' || to_json(w)::VARCHAR || ':"-1.5"}'
+      WHEN w < lower(w) THEN '{' || to_json(w)::VARCHAR || ':"-0.5",' || to_json(lower(w))::VARCHAR || ':"-1.5"}'
+      ELSE '{' || to_json(lower(w))::VARCHAR || ':"-1.5",' || to_json(w)::VARCHAR || ':"-0.5"}' END),
+    '{"</s>":"-0.1"}'), ',')"""
+
+_HYPS_SQL = r"""
+, r AS (SELECT unnest([0, 1]) AS r),
+ h AS (SELECT p.*, r.r, CASE WHEN r = 0 THEN trim(text) ELSE lower(trim(text)) END AS t FROM pieces p, r),
+ ht AS (SELECT *, CASE WHEN t = '' THEN []::VARCHAR[] ELSE regexp_split_to_array(t, '\s+') END AS wt FROM h),
+ hw AS (SELECT *, """ + _WORDS_JSON.replace("{tok}", "wt") + r""" AS wj FROM ht),
+ per_rank AS (SELECT doc_id, line_no, r, bool_or(is_empty) AS e,
+                     CASE WHEN bool_or(is_empty) THEN '' ELSE string_agg(t, ' ' ORDER BY piece_no) END AS translation,
+                     CASE WHEN bool_or(is_empty) THEN '[]'
+                          ELSE '[' || string_agg(wj, ',' ORDER BY piece_no) || ']' END AS words
+              FROM hw GROUP BY 1, 2, 3)
+"""
+
+
+@register("words_json", with_(LINES, BLANKED, pieces_sql("blanked")) + _HYPS_SQL + r"""
+SELECT doc_id, CAST(r AS INTEGER) AS rank,
+       '{"id":' || line_no || ',"nbest_words":' || words || ',"translation":' || to_json(translation)::VARCHAR || '}' AS line
+FROM per_rank
+""")
+def words_json(spark, sf_dir):
+    """E1/K1/P8 with words: lines (some blank) → wrap → 2-best decoder with word
+    alternatives → zip ranks → JSON rows; every word list is compared."""
+    out = translate_lines(lines_with_blanks(spark, sf_dir), ("doc_id", "line_no"), n_best=2, words=True)
+    return format_rows(out, "json").select("doc_id", "rank", F.col("value").alias("line"))
+
+
+#: Turns are shorter than the default wrap length; this one cuts most of them into pieces.
+TURN_LENGTH = 40
+
+
+@register("words_json_arrays", "WITH " + pieces_sql("turns").replace("> 200", f"> {TURN_LENGTH}").replace(
+    "// 200", f"// {TURN_LENGTH}").replace("i * 200 + 200", f"i * {TURN_LENGTH} + {TURN_LENGTH}").replace(
+    "i * 200 + 1", f"i * {TURN_LENGTH} + 1").replace("_t AS (", r"""
+turns AS (SELECT conv_id AS doc_id, turn AS line_no,
+                 CASE WHEN turn % 5 = 4 THEN '' ELSE replace(text, chr(10), ' ') END AS text FROM conversations),
+_t AS (""", 1) + _HYPS_SQL + r"""
+SELECT doc_id, '{"id":' || line_no || ',"nbest_words":[' || string_agg(words, ',' ORDER BY r) || '],"translation":['
+               || string_agg(to_json(translation)::VARCHAR, ',' ORDER BY r) || ']}' AS line
+FROM per_rank GROUP BY doc_id, line_no
+""")
+def words_json_arrays(spark, sf_dir):
+    """S9/J1/P8 unexpanded: stored n-best-words blocks of wrapped turns (every fifth
+    one blank) → parse → zip ranks, one JSON row a turn with arrays by rank."""
+    text = F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(_hyp())
+    turns = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"),
+                                                              F.col("turn").cast("long").alias("line_no"), text.alias("text"))
+    pieces = materialize(local_items(wrap.wrap_lines(turns, max_length=TURN_LENGTH)))     # stage table
+    raw = materialize(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"))
+    parsed = nbest.parse_nbest_words(raw, n_best=2)
+    hyps = parsed.join(pieces.drop("text").withColumnRenamed("doc_id", "src_file")
+                       .withColumnRenamed("local_item", "item"), ["src_file", "item"]).withColumnRenamed("src_file", "doc_id")
+    out = wrap.collate_pieces(hyps, words="nbest_words", n_best=2)
+    return format_rows(out, "json").select("doc_id", F.col("value").alias("line"))

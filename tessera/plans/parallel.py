@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as T
 from tessera.operators import decode, wrap
+from tessera.operators.translate import format_rows
 from tessera.plans.corpus import lines_of, pieces_of
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, PIECES, with_, pieces_sql
@@ -116,21 +117,21 @@ def _roundtrip_1best(spark, sf_dir):
 def format_marian(spark, sf_dir):
     """K2/L4: ``id ||| translation`` rows of every document."""
     r = _roundtrip_1best(spark, sf_dir)
-    return r.select("doc_id", F.concat_ws(" ||| ", F.col("line_no").cast("string"), F.trim("translation")).alias("line"))
+    return format_rows(r, "marian").select("doc_id", F.col("value").alias("line"))
 
 
 @register("format_json", ROUNDTRIP_SQL + "SELECT doc_id, json_object('id', line_no, 'translation', translation)::VARCHAR AS line FROM rt")
 def format_json(spark, sf_dir):
     """Json-lines rows with sorted keys (``id``, ``translation``)."""
     r = _roundtrip_1best(spark, sf_dir)
-    return r.select("doc_id", F.to_json(F.struct(F.col("line_no").alias("id"), "translation")).alias("line"))
+    return format_rows(r, "json").select("doc_id", F.col("value").alias("line"))
 
 
 @register("format_text", ROUNDTRIP_SQL + "SELECT doc_id, line_no, trim(translation) AS line FROM rt")
 def format_text(spark, sf_dir):
     """K3: plain text rows."""
     r = _roundtrip_1best(spark, sf_dir)
-    return r.select("doc_id", "line_no", F.trim("translation").alias("line"))
+    return format_rows(r, "text").select("doc_id", "line_no", F.col("value").alias("line"))
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
