@@ -12,13 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as TT
 
 from tessera.functions import text as T
+from tessera.functions.processors import TextProcessor
+from tessera.operators import nbest
 from tessera.operators.prefix import prefix_sum
 from tessera.plans.corpus import lines_of
 from tessera.plans.parallel import messages
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, with_
+from tessera.plans.text_jobs import duck_placeholders
 from tessera.sources.tables import read_table
-from tessera.streaming import jobs
+from tessera.streaming import jobs, requests
 
 LINE_SCHEMA = TT.StructType([TT.StructField("doc_id", TT.LongType()), TT.StructField("line_no", TT.LongType()),
                              TT.StructField("text", TT.StringType())])
@@ -67,6 +70,83 @@ def stream_requests(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("conv_id", "turn", "id", "translation", "error")
 
 
+def document_requests(spark, sf_dir):
+    """D11 requests from documents: the text, its language, and as query the first
+    word of every line (every seventh document sends one query line, every fifth none)."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    first = F.transform(T.split_message("text"), lambda l: F.coalesce(F.get(F.split(T.strip(l), " "), 0), F.lit("")))
+    query = F.when(F.col("doc_id") % 5 == 0, F.lit(None)).when(F.col("doc_id") % 7 == 3, F.lit("one")).otherwise(
+        F.array_join(first, "\n"))
+    return docs.select(F.col("doc_id").alias("conv_id"), F.lit(0).cast("long").alias("turn"), F.col("lang").alias("src_lang"),
+                       F.lit("en").alias("tgt_lang"), "text", query.alias("query"))
+
+
+#: English requests: queries, tags, two ranks.  German and Spanish: target tag, word lists.  French: no system.
+_TAGGING = requests.System(TextProcessor("LanguageTag", pre_piece=lambda p: T.language_tag(p, F.lit("en")),
+                                         post=lambda c: F.regexp_replace(c, "<2en> ?", "")), words=True)
+SYSTEMS = {"en-en": requests.System(TextProcessor("Query", pre=T.append_query), n_best=2, extract_tags=True, takes_query=True),
+           "de-en": _TAGGING, "es-en": _TAGGING}
+REQUEST_LENGTH = 40
+
+
+def _test_decoder():
+    """Stand-in model: the piece, then its words backwards; every position offers its word only."""
+    def words(text):
+        return [{w: -0.5} for w in text.split()] + [{"</s>": -0.1}]
+
+    def decode(system, texts, n_best):
+        return [[(h, words(h)) for h in (t, " ".join(reversed(t.split())))[:n_best]] for t in texts]
+    return decode
+
+
+@register("stream_systems", r"""
+WITH m AS (SELECT doc_id, lang, string_split(trim(text, ' ' || chr(10)), chr(10)) AS lines FROM documents),
+q AS (SELECT *, CASE WHEN doc_id % 5 = 0 THEN NULL WHEN doc_id % 7 = 3 THEN ['one']
+                     ELSE list_transform(lines, lambda l: coalesce(string_split(trim(l), ' ')[1], '')) END AS qs FROM m),
+e AS (SELECT *, CASE WHEN lang NOT IN ('en', 'de', 'es') THEN 'no system translates this pair of languages'
+                     WHEN lang = 'en' AND qs IS NOT NULL AND len(qs) <> len(lines)
+                     THEN 'number of queries does not match number of lines' END AS error,
+             CASE WHEN lang IN ('de', 'es') AND qs IS NOT NULL
+                  THEN 'query guided translation is not supported by this system, query ignored' END AS warning FROM q),
+src AS (SELECT doc_id, lang, warning, unnest(range(0, len(lines))) AS id, unnest(lines) AS t, unnest(lines) AS raw,
+               unnest(list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN lang = 'en' THEN qs[i] END)) AS query
+        FROM e WHERE error IS NULL),
+""" + duck_placeholders("src") + r""",
+l AS (SELECT doc_id, lang, warning, id, trim(raw) = '' AS is_empty, CASE WHEN lang = 'en' THEN tags ELSE [] END AS tags,
+             CASE WHEN lang <> 'en' THEN trim(raw) WHEN query IS NULL OR trim(query) = '' THEN trim(t)
+                  WHEN trim(t) = '' THEN trim(query) ELSE trim(t) || ' ||| ' || trim(query) END AS line FROM ph4),
+k AS (SELECT *, CASE WHEN line = '' THEN []::VARCHAR[] ELSE regexp_split_to_array(line, '\s+') END AS tok FROM l),
+p AS (SELECT *, CASE WHEN len(tok) > 40 THEN list_transform(range(0, (len(tok) - 1) // 40 + 1),
+                          lambda i: array_to_string(tok[i * 40 + 1 : i * 40 + 40], ' ')) ELSE [line] END AS pieces,
+             CASE WHEN len(tok) > 40 THEN list_transform(range(0, (len(tok) - 1) // 40 + 1), lambda i: tok[i * 40 + 1 : i * 40 + 40])
+                  ELSE [tok] END AS toks FROM k),
+r AS (SELECT *, unnest(CASE WHEN lang = 'en' THEN [0, 1] ELSE [0] END) AS rank FROM p),
+h AS (SELECT *, CASE WHEN rank = 0 THEN array_to_string(list_transform(pieces, lambda x: trim(x)), ' ')
+                     ELSE array_to_string(list_transform(toks, lambda x: array_to_string(list_reverse(x), ' ')), ' ') END AS joined,
+             array_to_string(flatten(list_transform(toks, lambda x: list_concat(['<2en>=-0.5'],
+                 list_transform(x, lambda w: w || '=-0.5'), ['</s>=-0.1']))), ' | ') AS w FROM r)
+SELECT doc_id AS conv_id, CAST(0 AS BIGINT) AS turn, CAST(-1 AS BIGINT) AS id, CAST(0 AS INTEGER) AS rank,
+       NULL::VARCHAR AS translation, NULL::VARCHAR AS words, warning, error FROM e WHERE error IS NOT NULL
+UNION ALL
+SELECT doc_id, CAST(0 AS BIGINT), CAST(id AS BIGINT), CAST(rank AS INTEGER),
+       CASE WHEN is_empty THEN '' ELSE list_reduce(tags, lambda acc, x: CASE WHEN position(x.placeholder IN acc) > 0
+           THEN left(acc, position(x.placeholder IN acc) - 1) || x.original
+                || substr(acc, position(x.placeholder IN acc) + length(x.placeholder))
+           ELSE acc || ' ' || x.original END, joined) END,
+       CASE WHEN lang = 'en' THEN NULL WHEN is_empty THEN '' ELSE w END, warning, NULL FROM h""")
+def stream_systems(spark, sf_dir):
+    """JSON requests for several systems in one stateless stream: queries
+    (or a warning), tags, processor, wrapping and n-best ranks by system; error rows."""
+    base = jobs.scratch(spark, "systems")
+    document_requests(spark, sf_dir).write.json(f"{base}/in")
+    stream = spark.readStream.schema(jobs.REQUEST_SCHEMA).json(f"{base}/in")
+    out = requests.serve(stream, SYSTEMS, _test_decoder, REQUEST_LENGTH)
+    jobs.run_available_now(out, f"{base}/out", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/out").select(
+        "conv_id", "turn", "id", "rank", "translation", nbest.canonical_words(F.col("nbest_words")).alias("words"),
+        "warning", "error")
+
+
 @register("stream_join", r"""
 SELECT event_id AS request_id, user_id, event_type, upper(event_type) AS payload,
        CAST(round(value * 1000) AS BIGINT) AS latency_ms
