@@ -87,8 +87,24 @@ def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str
     tok = _tokens_once(segments, keys, cols)
     refs_ = F.array(*[F.col(f"_t_r{i}") for i in range(len(refs))])
     counts = tok.select(*group, _segment_counts(F.col("_t_h"), refs_).alias("_c"))
+    return counts.groupBy(*group).agg(*bleu_merge()).select(*group, *[c.alias(m) for m, c in bleu_finish().items()])
+
+
+def bleu_rows(segments: DataFrame, keep: Sequence[str], hyp: Column, refs: Column) -> DataFrame:
+    """``keep…, _c``: a segment's ten numbers; ``refs`` is an array of any length."""
+    tok = segments.select(*keep, tokenize_13a(hyp).alias("_h"), refs.alias("_refs"))
+    tok = tok.select(*keep, "_h", F.transform("_refs", tokenize_13a).alias("_r"))
+    return tok.select(*keep, _segment_counts(F.col("_h"), F.col("_r")).alias("_c"))
+
+
+def bleu_merge() -> list[Column]:
+    """Sums of the segments' numbers."""
     names = [*(f"{n}_c" for n in range(1, MAX_ORDER + 1)), *(f"{n}_t" for n in range(1, MAX_ORDER + 1)), "sys_len", "ref_len"]
-    out = counts.groupBy(*group).agg(*[F.sum(F.get("_c", i)).alias(name) for i, name in enumerate(names)])
+    return [F.sum(F.get("_c", i)).alias(name) for i, name in enumerate(names)]
+
+
+def bleu_finish() -> dict[str, Column]:
+    """BLEU and its parts from the sums."""
     cols_n = {n: (F.coalesce(F.col(f"{n}_c"), F.lit(0)), F.coalesce(F.col(f"{n}_t"), F.lit(0)))
               for n in range(1, MAX_ORDER + 1)}
     # exponential smoothing: the k-th order with zero matches gets 100 / (2^k * total)
@@ -104,9 +120,8 @@ def corpus_bleu(segments: DataFrame, group: Sequence[str], seg_key: Sequence[str
     bp = F.when(F.col("sys_len") >= F.col("ref_len"), F.lit(1.0)).when(F.col("sys_len") == 0, F.lit(0.0)) \
           .otherwise(F.exp(F.lit(1.0) - F.col("ref_len") / F.col("sys_len")))
     bleu = F.when(any_zero, F.lit(0.0)).otherwise(bp * F.exp(log_sum / MAX_ORDER))
-    return out.select(*group, F.round(bleu, 6).alias("bleu"), F.round(bp, 6).alias("bp"),
-                      F.col("sys_len").cast("long").alias("sys_len"), F.col("ref_len").cast("long").alias("ref_len"),
-                      *[F.round(prec[n], 6).alias(f"p{n}") for n in range(1, MAX_ORDER + 1)])
+    return {"bleu": F.round(bleu, 6), "bp": F.round(bp, 6), "sys_len": F.col("sys_len").cast("long"),
+            "ref_len": F.col("ref_len").cast("long"), **{f"p{n}": F.round(prec[n], 6) for n in prec}}
 
 
 def query_term_scores(pred: DataFrame, group: Sequence[str], hyp: str = "hyp", query: str = "query") -> DataFrame:
@@ -116,11 +131,19 @@ def query_term_scores(pred: DataFrame, group: Sequence[str], hyp: str = "hyp", q
     has terms.  Counting is Python ``str.count`` (non-overlapping, literal).
     """
     group = list(group)
-    q = T.strip(F.col(query))
-    rows = pred.filter(q != "").select(*group, T.strip(F.col(hyp)).alias("_h"), T.query_terms(q).alias("_terms"))
-    rows = rows.select(*group, F.size("_terms").alias("_exp"),
+    rows = query_rows(pred, group, F.col(hyp), F.col(query))
+    return rows.groupBy(*group).agg(*query_merge())
+
+
+def query_rows(pred: DataFrame, keep: Sequence[str], hyp: Column, query: Column) -> DataFrame:
+    """``keep…, _exp, _ins`` of every sentence that has terms."""
+    q = T.strip(query)
+    rows = pred.filter(q != "").select(*keep, T.strip(hyp).alias("_h"), T.query_terms(q).alias("_terms"))
+    return rows.select(*keep, F.size("_terms").alias("_exp"),
                        F.aggregate(F.col("_terms"), F.lit(0).cast("long"),
                                    lambda acc, term: acc + T.count_occurrences(F.col("_h"), term)).alias("_ins"))
-    return rows.groupBy(*group).agg(
-        F.sum("_ins").cast("long").alias("inserted"), F.sum("_exp").cast("long").alias("expected"),
-        F.round(F.avg(F.lit(1.0) - F.abs(F.col("_ins") - F.col("_exp")) / F.col("_exp")), 6).alias("score"))
+
+
+def query_merge() -> list[Column]:
+    return [F.sum("_ins").cast("long").alias("inserted"), F.sum("_exp").cast("long").alias("expected"),
+            F.round(F.avg(F.lit(1.0) - F.abs(F.col("_ins") - F.col("_exp")) / F.col("_exp")), 6).alias("score")]

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
-from tessera.operators import scoring
+from tessera.operators import scorers, scoring
 from tessera.plans.registry import register
 from tessera.sources.tables import read_table
 
@@ -140,3 +140,36 @@ def score_test_sets(spark, sf_dir):
     return (bleu.select("test_set", F.lit("SacrebleuScorer").alias("scorer"), F.lit("bleu").alias("metric"), F.col("bleu").alias("value"))
                 .unionByName(q.select("test_set", F.lit("QueryScorer").alias("scorer"), F.explode(metrics).alias("m"))
                               .select("test_set", "scorer", "m.metric", "m.value")))
+
+
+#: Sets of the catalogue by ``turn % 4``: which scorers, and whether BLEU compares lower-cased texts.
+_LOWER = "CASE WHEN a.turn % 4 = 3 THEN lower({c}) ELSE {c} END"
+
+
+@register("score_catalogue", """WITH b AS ({bleu}),
+qs AS ({query}),
+sets AS (SELECT DISTINCT 't' || CAST(a.turn AS VARCHAR) AS test_set, a.turn % 4 AS k FROM conversations a
+         JOIN conversations u ON a.conv_id = u.conv_id AND u.turn = a.turn - 1 WHERE a.role = 'assistant' AND u.role = 'user')
+SELECT test_set, 'SacrebleuScorer' AS scorer, 'bleu' AS metric, bleu AS value, NULL::VARCHAR AS error
+FROM sets LEFT JOIN b ON g = test_set
+UNION ALL SELECT test_set, 'QueryScorer', m, CASE m WHEN 'inserted' THEN coalesce(inserted, 0) WHEN 'expected' THEN coalesce(expected, 0)
+                                             ELSE score END, NULL
+FROM sets LEFT JOIN qs ON g = test_set, (SELECT unnest(['inserted', 'expected', 'score']) AS m) WHERE k = 1
+UNION ALL SELECT test_set, 'TerScorer', NULL, NULL, 'no such scorer' FROM sets WHERE k = 3""".format(
+    bleu=duck_bleu("'t' || CAST(turn AS VARCHAR)").replace(
+        "a.text AS hyp, u.text AS ref", f"{_LOWER.format(c='a.text')} AS hyp, {_LOWER.format(c='u.text')} AS ref"),
+    query=QUERY_SQL.format(pairs=PAIRS_SQL.strip(), group="'t' || CAST(turn AS VARCHAR)", sel="g,", groupby="GROUP BY g")))
+def score_catalogue(spark, sf_dir):
+    """A table says which set is scored by which registered scorer with which
+    arguments; every exchange position is a set, and a scorer that nobody knows is an error row."""
+    pairs = query_pairs(spark, sf_dir).withColumn("test_set", F.concat(F.lit("t"), F.col("turn").cast("string")))
+    empty = F.lit(None).cast("map<string,string>")
+    kind = F.col("turn") % 4
+    scorer = F.struct(F.lit("SacrebleuScorer").alias("scorer"), F.when(kind == 3, F.create_map(F.lit("lowercase"), F.lit("true"))).alias("args"))
+    others = F.when(kind == 1, F.array(F.struct(F.lit("QueryScorer").alias("scorer"), empty.alias("args")))).otherwise(
+        F.when(kind == 3, F.array(F.struct(F.lit("TerScorer").alias("scorer"), empty.alias("args")))))
+    asked = (pairs.select("test_set", "turn").distinct()
+             .select("test_set", F.explode(F.concat(F.array(scorer), F.coalesce(others, F.array().cast(
+                 "array<struct<scorer:string,args:map<string,string>>>")))).alias("s")).select("test_set", "s.*"))
+    segments = pairs.select("test_set", "hyp", F.array("ref").alias("refs"), "query")
+    return scorers.score(segments, asked)

@@ -108,12 +108,17 @@ def relative_name(spark: SparkSession, path: str, uri) -> F.Column:
     """A file's URI (percent-encoded, as Spark gives it) as its plain path below the folder ``path``."""
     root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    base = _one_slash(F.lit(fs.makeQualified(root).toString().rstrip("/") + "/"))
-    plain = _one_slash(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))  # url_decode takes a plus for a blank
+    base = one_slash(F.lit(fs.makeQualified(root).toString().rstrip("/") + "/"))
+    plain = plain_name(uri)
     return F.when(F.startswith(plain, base), F.substring(plain, F.length(base) + 1, F.length(plain))).otherwise(plain)
 
 
-def _one_slash(uri) -> F.Column:
+def plain_name(uri) -> F.Column:
+    """A file's percent-encoded URI as plain text with one slash after its scheme."""
+    return one_slash(F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))))  # url_decode takes a plus for a blank
+
+
+def one_slash(uri) -> F.Column:
     """``file:///a`` and ``file:/a`` alike."""
     return F.regexp_replace(uri, "^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
