@@ -15,13 +15,13 @@ from tessera.functions import text as T
 from tessera.functions.processors import TextProcessor
 from tessera.operators import nbest
 from tessera.operators.prefix import prefix_sum
-from tessera.plans.corpus import lines_of
+from tessera.plans.corpus import BLANKED, lines_of, lines_with_blanks
 from tessera.plans.parallel import messages
 from tessera.plans.registry import register
-from tessera.plans.sqlparts import LINES, with_
+from tessera.plans.sqlparts import LINES, pieces_sql, with_
 from tessera.plans.text_jobs import duck_placeholders
 from tessera.sources.tables import read_table
-from tessera.streaming import jobs, requests
+from tessera.streaming import jobs, lines, requests
 
 LINE_SCHEMA = TT.StructType([TT.StructField("doc_id", TT.LongType()), TT.StructField("line_no", TT.LongType()),
                              TT.StructField("text", TT.StringType())])
@@ -147,6 +147,29 @@ def stream_systems(spark, sf_dir):
         "warning", "error")
 
 
+def _two_best():
+    """Stand-in model: the piece, then its words backwards."""
+    return lambda texts: [[t, " ".join(reversed(t.split()))] for t in texts]
+
+
+LINE_LENGTH = 25
+
+
+@register("stream_lines", with_(LINES, BLANKED, pieces_sql("blanked").replace("200", str(LINE_LENGTH))) + r"""
+, t AS (SELECT *, CASE WHEN trim(text) = '' THEN []::VARCHAR[] ELSE regexp_split_to_array(trim(text), '\s+') END AS wt FROM pieces)
+SELECT doc_id, line_no, CAST(r AS INTEGER) AS rank, CASE WHEN bool_or(is_empty) THEN ''
+       ELSE string_agg(CASE WHEN r = 0 THEN trim(text) ELSE array_to_string(list_reverse(wt), ' ') END, ' ' ORDER BY piece_no) END
+       AS translation
+FROM t, (SELECT unnest([0, 1]) AS r) GROUP BY doc_id, line_no, r""")
+def stream_lines(spark, sf_dir):
+    """Document lines (some blank) as a stream → pieces → 2-best decoder → lines,
+    collected in several batches with a table of waiting pieces between them."""
+    base = jobs.scratch(spark, "lines")
+    lines_with_blanks(spark, sf_dir).write.json(f"{base}/in")
+    stream = spark.readStream.schema(LINE_SCHEMA).json(f"{base}/in")
+    return lines.translate_stream(spark, stream, base, _two_best, 2, max_length=LINE_LENGTH, files_per_batch=3)
+
+
 @register("stream_join", r"""
 SELECT event_id AS request_id, user_id, event_type, upper(event_type) AS payload,
        CAST(round(value * 1000) AS BIGINT) AS latency_ms
