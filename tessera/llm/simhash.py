@@ -12,8 +12,11 @@ Fingerprints that share a key are compared chain by chain, then in full.
 
 Equal fingerprints are one class before the search.  Dense groups need fewer
 pairs: fingerprints that agree outside a slice of four bits lie within four
-bits of each other, so each is linked to the smallest one of its slices, its
-root, and pairs that have one root are not searched.
+bits of each other, so each is linked to the smallest one of its slices, and
+what these links connect is one group before the search.  A key whose
+fingerprints are all of one group is not searched; of any other key, those
+outside its largest group are compared with the rest, so pairs within a dense
+group are not enumerated.  Keys get longer with the number of fingerprints.
 """
 
 from __future__ import annotations
@@ -102,6 +105,13 @@ def chain_keys(segments: int = SEGMENTS, chain: int = CHAIN) -> list[tuple[int,
     return keys
 
 
+def chain_for(n: int, segments: int = SEGMENTS) -> int:
+    """Segments in a key for ``n`` fingerprints: the fewest with which 64 unrelated
+    fingerprints or less share a key's value on average.  No link depends on it."""
+    bits = min(m.bit_count() for m in segment_masks(segments))
+    return next((c for c in range(CHAIN, segments) if n <= 64 << bits + (c - 1) * (bits // 2)), segments)
+
+
 def chain_condition(start: int, x: str, segments: int = SEGMENTS, distance: int = DISTANCE) -> str:
     """SQL: cumulative differences of the ring chain from ``start`` within ``l * distance / segments``."""
     masks, mask, out = segment_masks(segments), 0, []
@@ -128,15 +138,29 @@ def slice_roots(fps: DataFrame, width: int = DISTANCE) -> DataFrame:
 def search_links(classes: DataFrame, segments: int = SEGMENTS, distance: int = DISTANCE, chain: int = CHAIN) -> DataFrame:
     """All pairs ``a < b`` of ``classes(fp, root)`` with different roots within
     ``distance`` bits, each once: a pair counts at the first key that finds it."""
-    keys = chain_keys(segments, chain)
-    rows = classes.select("fp", "root", F.posexplode(F.array(*[F.expr(f"fp & {signed(m)}L") for _, m in keys])).alias("k", "v"))
-    left, right = rows.select("k", "v", F.col("fp").alias("a"), F.col("root").alias("ra")), rows.select(
-        "k", "v", F.col("fp").alias("b"), F.col("root").alias("rb"))
     x = "(a ^ b)"
+    keys = chain_keys(segments, chain)
     first = "case " + " ".join(f"when {x} & {signed(m)}L = 0 and {chain_condition(s, x, segments, distance)} then {i}"
                                for i, (s, m) in enumerate(keys)) + " else -1 end"
-    return (left.join(right, ["k", "v"]).where(f"a < b and ra <> rb and bit_count({x}) <= {distance} and k = {first}")
-                .select("a", "b"))
+    return (candidates(classes, segments, chain).where(f"bit_count({x}) <= {distance} and k = {first}")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+
+
+def candidates(classes: DataFrame, segments: int = SEGMENTS, chain: int = CHAIN) -> DataFrame:
+    """``k, a, b``: pairs of different roots that share the value of key ``k``, once a key.
+
+    One of such a pair is outside the key's largest root, so only these are joined
+    with the others; a value under which all have one root is left out before."""
+    masks = F.array(*[F.expr(f"fp & {signed(m)}L") for _, m in chain_keys(segments, chain)])
+    rows = classes.select("fp", "root", F.posexplode(masks).alias("k", "v"))
+    mixed = (rows.groupBy("k", "v").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("k", "v"))
+    rows = staged(rows.join(staged(mixed, "mixed"), ["k", "v"]), "searched")
+    largest = (rows.groupBy("k", "v", "root").agg(F.count("*").alias("n")).groupBy("k", "v")
+               .agg(F.max(F.struct("n", "root")).getField("root").alias("main")))
+    rows = rows.join(largest, ["k", "v"])
+    left = rows.where("root <> main").select("k", "v", F.col("fp").alias("a"), F.col("root").alias("ra"))
+    right = rows.select("k", "v", F.col("fp").alias("b"), F.col("root").alias("rb"), "main")
+    return left.join(right, ["k", "v"]).where("ra <> rb and (rb = main or a < b)").select("k", "a", "b")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
@@ -155,7 +179,11 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingl
     fps = staged(with_fingerprints(docs, key, text, shingle), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = staged(slice_roots(classes, distance), "rooted")
-    links = search_links(rooted, distance=distance).unionByName(rooted.select(F.col("fp").alias("a"), F.col("root").alias("b")))
+    near = components(rooted.select(F.col("fp").alias("a"), F.col("root").alias("b")))
+    rooted = staged(rooted.select("fp").join(near.withColumnRenamed("node", "fp"), "fp", "left")
+                    .select("fp", F.coalesce("root", "fp").alias("root")), "near")
+    found = search_links(rooted, distance=distance, chain=chain_for(rooted.count()))
+    links = found.unionByName(rooted.select(F.col("fp").alias("a"), F.col("root").alias("b")))
     roots = components(links)
     named = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = staged(named, "named")
