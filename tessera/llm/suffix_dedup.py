@@ -53,6 +53,7 @@ from tessera.llm.url_filter import build_level
 LENGTH = 400
 MARK = 64  # bytes of a mark's k-gram
 GRAM, SPAN = 16, 48  # bytes of an anchor's k-gram, k-gram starts in the windows whose minimum it is
+CHUNK = 1 << 17  # bytes of small texts or regions handled at once
 PIECE = 1 << 20  # windows handled at a time; longer texts and regions are cut with overlap
 LEVELS = 7  # 3 ** 7 symbols cover any prefix that is asked for
 FILTER_BITS = 1 << 27
@@ -86,8 +87,16 @@ class Hashes:
         np.cumsum(BYTE[which][b] * up[:len(b)], dtype=np.uint64, out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        x = (self.sums[end] - self.sums[start]) * self.down[start]
-        x ^= (np.asarray(end) - start).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+        return self.mixed((self.sums[end] - self.sums[start]) * self.down[start], (np.asarray(end) - start).astype(np.uint64))
+
+    def grams(self, size: int) -> np.ndarray:
+        """The hashes of all substrings of one size, as ``of`` gives them."""
+        n = len(self.sums) - size
+        return self.mixed((self.sums[size:] - self.sums[:n]) * self.down[:n], np.array([size], np.uint64))
+
+    @staticmethod
+    def mixed(x: np.ndarray, size: np.ndarray) -> np.ndarray:
+        x ^= size * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(29)
         x *= np.uint64(0xBF58476D1CE4E5B9)
         return x ^ (x >> np.uint64(32))
@@ -117,9 +126,7 @@ def marks(text: bytes, length: int) -> tuple[list[int], list[int], list[int]]:
     hashes, first, last = [], [], []
     for at in range(0, len(text) - length + 1, PIECE):
         part = text[at:at + PIECE + length - 1]
-        h = Hashes(part)
-        starts = np.arange(len(part) - gram + 1)
-        grams = h.of(starts, starts + gram)
+        grams = Hashes(part).grams(gram)
         where = minima(grams, length - gram + 1)
         s, e = runs(where)
         hashes += grams[where[s]].view(np.int64).tolist()
@@ -128,6 +135,40 @@ def marks(text: bytes, length: int) -> tuple[list[int], list[int], list[int]]:
     return hashes, first, last
 
 
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` for each start, as many as its count, one after another."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(counts.sum())
+
+
+def chunks(offsets: np.ndarray):
+    """Neighbouring texts of about ``CHUNK`` bytes together, at least one text: first and past the last."""
+    at = 0
+    while at < len(offsets) - 1:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK, side="right")) - 1)
+        yield at, to
+        at = to
+
+
+def marks_of(data, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``marks`` of neighbouring texts at once, with the number of marks of each.
+
+    A window inside a text has the same mark whatever stands beside the text."""
+    sizes = np.diff(offsets)
+    if len(sizes) == 1 and sizes[0] > PIECE:
+        found = [np.array(x, np.int64) for x in marks(bytes(data), length)]
+        return np.array([len(found[0])]), *found
+    at = ragged(offsets[:-1], np.maximum(sizes - length + 1, 0))
+    if not len(at):
+        return np.zeros(len(sizes), np.int64), *[np.empty(0, np.int64)] * 3
+    gram = min(MARK, max(1, length // 4))
+    grams = Hashes(data).grams(gram)
+    where = minima(grams, length - gram + 1)[at]
+    s, e = runs(where)
+    of = np.searchsorted(offsets, at[s], side="right") - 1
+    return np.bincount(of, minlength=len(sizes)), grams[where[s]].view(np.int64), at[s] - offsets[of], at[e] - offsets[of]
+
+
 def joined_windows(first: list[int], last: list[int]) -> list[tuple[int, int]]:
     """Runs of windows, neighbours joined, in pieces of at most ``PIECE``."""
     out: list[list[int]] = []
@@ -139,18 +180,23 @@ def joined_windows(first: list[int], last: list[int]) -> list[tuple[int, int]]:
     return [(a, min(a + PIECE - 1, e)) for s, e in out for a in range(s, e + 1, PIECE)]
 
 
-class Region:
-    """Anchors and symbols of one region, and the first window of each anchor's run."""
-
-    def __init__(self, body: bytes, length: int):
-        self.gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
-        hashes = Hashes(body)
-        starts = np.arange(len(body) - self.gram + 1)
-        where = minima(hashes.of(starts, starts + self.gram), span)
-        first = runs(where)[0]
-        self.anchors = where[first]
-        self.symbols = hashes.of(self.anchors[:-1], self.anchors[1:] + self.gram).view(np.int64)
-        self.first = first[first <= len(body) - length]  # run k of windows has anchor k
+def anchored(bodies: list[bytes], length: int) -> dict:
+    """By region: anchors, symbols, and the first window of each anchor's run."""
+    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
+    sizes = np.array([len(b) for b in bodies])
+    offsets = np.append(0, np.cumsum(sizes))
+    hashes = Hashes(b"".join(bodies))
+    at = ragged(offsets[:-1], sizes - gram - span + 2)
+    where = minima(hashes.grams(gram), span)[at]
+    begins = runs(where)[0]
+    anchors, first = where[begins], at[begins]
+    of = np.searchsorted(offsets, first, side="right") - 1
+    beside = of[1:] == of[:-1]
+    symbols = hashes.of(anchors[:-1][beside], anchors[1:][beside] + gram).view(np.int64)
+    windows = first <= offsets[of + 1] - length  # run k of windows has anchor k
+    cut = lambda values, rows: np.split(values, np.cumsum(np.bincount(rows, minlength=len(sizes)))[:-1])
+    return {"symbols": cut(symbols, of[1:][beside]), "anchors": cut((anchors - offsets[of]).astype(np.int32), of),
+            "first": cut((first - offsets[of])[windows].astype(np.int32), of[windows])}
 
 
 def cores(hashes: Hashes, anchors: np.ndarray, pick: np.ndarray, length: int) -> np.ndarray:
@@ -196,6 +242,13 @@ def packed(parts, kinds: dict, rows: int = 1 << 16, data: int = 1 << 24):
         yield batch()
 
 
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """Offsets and bytes of a binary column without nulls."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+    return at.astype(np.int64), memoryview(data) if data is not None else memoryview(b"")
+
+
 LISTS = {"long": pa.list_(pa.int64()), "int": pa.list_(pa.int32())}
 
 
@@ -207,13 +260,14 @@ def scanned(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = part.column(2).to_pylist()
-                found = [marks(t, length) for t in texts]
-                yield batch_of({"doc_id": part.column(0), "digest": part.column(1), "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-                                "mark": pa.array([f[0] for f in found], LISTS["long"]), "first": pa.array([f[1] for f in found], LISTS["int"]),
-                                "last": pa.array([f[2] for f in found], LISTS["int"])})
+            offsets, data = bytes_of(batch.column(2))
+            found = [marks_of(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], length) for a, b in chunks(offsets)]
+            if found:
+                counts, mark, first, last = (np.concatenate(x) for x in zip(*found))
+                ends = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(v, t)) for v, t in ((mark, pa.int64()), (first, pa.int32()), (last, pa.int32()))]
+                yield batch_of({"doc_id": batch.column(0), "digest": batch.column(1), "n_bytes": pa.array(np.diff(offsets), pa.int64()),
+                                "mark": lists[0], "first": lists[1], "last": lists[2]})
 
     return source.mapInArrow(run, f"doc_id {id_type}, digest string, n_bytes long, mark array<long>, first array<int>, last array<int>")
 
@@ -231,15 +285,23 @@ def regions_of(texts: DataFrame, length: int) -> DataFrame:
     kinds = {"doc": pa.int64(), "start": pa.int64(), "body": pa.binary(), "symbols": LISTS["long"], "anchors": LISTS["int"],
              "first": LISTS["int"]}
 
+    def columns(held):
+        doc, start, body = (list(x) for x in zip(*held))
+        return {"doc": doc, "start": start, "body": body} | anchored(body, length)
+
     def regions(batches):
+        held, size = [], 0
         for batch in batches:
             for at in range(batch.num_rows):
                 doc, text, first, last = (c[at].as_py() for c in batch.columns)
                 for s, e in joined_windows(first, last):
-                    body = text[s:e + length]
-                    r = Region(body, length)
-                    yield {"doc": [doc], "start": [s], "body": [body], "symbols": [r.symbols], "anchors": [r.anchors.astype(np.int32)],
-                           "first": [r.first.astype(np.int32)]}
+                    held.append((doc, s, text[s:e + length]))
+                    size += e + length - s
+                    if size >= CHUNK:
+                        yield columns(held)
+                        held, size = [], 0
+        if held:
+            yield columns(held)
 
     def run(batches):
         yield from packed(regions(batches), kinds, 4096)
