@@ -199,11 +199,10 @@ def anchored(bodies: list[bytes], length: int) -> dict:
             "first": cut((first - offsets[of])[windows].astype(np.int32), of[windows])}
 
 
-def cores(hashes: Hashes, anchors: np.ndarray, pick: np.ndarray, length: int) -> np.ndarray:
-    """By run of windows, a hash of the anchored bytes that all of them hold and
-    whose choice depends on nothing outside them."""
+def cores(hashes: Hashes, anchors: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """By run of windows, whose first anchor is at ``at``, a hash of the anchored
+    bytes that all of them hold and whose choice depends on nothing outside them."""
     gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
-    at = anchors[pick]
     end = np.searchsorted(anchors, at + length - 2 * span - gram, side="right") - 1
     return hashes.of(at, anchors[end] + gram).view(np.int64)
 
@@ -273,10 +272,10 @@ def scanned(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
 
 
 def candidate_windows(texts: DataFrame) -> DataFrame:
-    """``digest, first, last``: the window runs of each distinct text whose mark occurs again."""
-    places = texts.select("digest", F.explode(F.arrays_zip("mark", "first", "last")).alias("x")).select("digest", "x.*")
+    """``doc, first, last``: the window runs of each distinct text whose mark occurs again."""
+    places = texts.select("doc", F.explode(F.arrays_zip("mark", "first", "last")).alias("x")).select("doc", "x.*")
     repeated = places.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    return (places.join(staged(repeated, "marks"), "mark").groupBy("digest")
+    return (places.join(staged(repeated, "marks"), "mark").groupBy("doc")
                   .agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last")))  # of one text
 
 
@@ -451,29 +450,47 @@ def window_runs(regions: DataFrame, equal: DataFrame, length: int) -> DataFrame:
     open rest with a hash of the anchored core and one of all bytes."""
     def found(batches):
         for batch in batches:
-            for row, rid in enumerate(batch.column(0).to_pylist()):
-                anchors, first = (batch.column(c)[row].values.to_numpy().astype(np.int64) for c in (2, 3))
-                windows = len(batch.column(1)[row].as_buffer()) - length + 1
-                last = np.append(first[1:], windows) - 1
-                full, leads = np.zeros(len(anchors) + 1, bool), np.zeros(len(anchors) + 1, bool)
-                if batch.column(4)[row].is_valid:
-                    x = batch.column(4)[row].values
-                    full[x.field("i").to_numpy()], leads[x.field("i").to_numpy()] = True, x.field("leads").to_numpy(zero_copy_only=False)
-                before = np.searchsorted(anchors, first, side="right") - 1
-                settled = full[before]  # the last entry, of no anchor, is false
-                spans = np.array(joined_windows(first[settled].tolist(), last[settled].tolist()), np.int64).reshape(-1, 2)
-                pick = np.concatenate((np.flatnonzero(~settled), np.flatnonzero(settled & leads[before])))
-                core = both = np.empty(0, np.int64), np.empty(0, np.int64)
-                if len(pick):
-                    body = batch.column(1)[row].as_py()
-                    hashes = Hashes(body), Hashes(body, 1)
-                    both = [h.of(first[pick], last[pick] + length).view(np.int64) for h in hashes]
-                    core = [cores(hashes[0], anchors, pick, length)]
-                none = np.zeros(len(spans), np.int64)
-                kind = np.concatenate((settled[pick].astype(np.int64), none + 2))
-                yield {"kind": kind, "core": np.concatenate((core[0], none)), "f0": np.concatenate((both[0], none)),
-                       "f1": np.concatenate((both[1], none)), "rid": np.full(len(kind), rid),
-                       "s": np.concatenate((first[pick], spans[:, 0])), "e": np.concatenate((last[pick], spans[:, 1]))}
+            offsets, data = bytes_of(batch.column(1))
+            for a, b in chunks(offsets):
+                part = batch.slice(a, b - a)
+                yield of_regions(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], part)
+
+    def flat(column):
+        return column.flatten(), np.diff(column.offsets.to_numpy())
+
+    def of_regions(data, offsets, part):
+        rows = np.arange(part.num_rows)
+        (anchors, n_anchors), (first, n_first) = flat(part.column(2)), flat(part.column(3))
+        start = np.append(0, np.cumsum(n_anchors))  # of a region's anchors
+        row = np.repeat(rows, n_first)
+        anchors = anchors.to_numpy() + np.repeat(offsets[:-1], n_anchors)
+        first = first.to_numpy() + offsets[row]
+        ends = np.append(row[1:] != row[:-1], True)  # the last run of a region
+        last = np.where(ends, offsets[row + 1] - length, np.append(first[1:], 0) - 1)
+        full, leads = np.zeros(len(anchors), bool), np.zeros(len(anchors), bool)
+        equal, n_equal = flat(part.column(4))
+        if len(equal):
+            n_equal = np.where(part.column(4).is_valid().to_numpy(zero_copy_only=False), n_equal, 0)
+            i = np.repeat(start[:-1], n_equal) + equal.field("i").to_numpy()
+            full[i], leads[i] = True, equal.field("leads").to_numpy(zero_copy_only=False)
+        before = np.searchsorted(anchors, first, side="right") - 1
+        known = before >= start[row]
+        settled, leading = known & full[before], known & leads[before]
+        opens = settled & ~(np.append(False, settled[:-1]) & ~np.append(True, ends[:-1]))
+        closes = settled & (ends | ~np.append(settled[1:], False))
+        spans = np.stack((np.flatnonzero(opens), np.flatnonzero(closes)))
+        pick = np.flatnonzero(~settled | leading)
+        hashes = Hashes(data), Hashes(data, 1)
+        f0, f1 = (h.of(first[pick], last[pick] + length).view(np.int64) for h in hashes)
+        begins = start[:-1][row] + np.arange(len(first)) - np.repeat(np.cumsum(n_first) - n_first, n_first)  # each run's anchor
+        none = np.zeros(spans.shape[1], np.int64)
+        base, joined = offsets[row[pick]], offsets[row[spans[0]]]
+        return {"kind": np.concatenate((settled[pick].astype(np.int64), none + 2)),
+                "core": np.concatenate((cores(hashes[0], anchors, anchors[begins[pick]], length), none)),
+                "f0": np.concatenate((f0, none)), "f1": np.concatenate((f1, none)),
+                "rid": part.column(0).to_numpy()[np.concatenate((row[pick], row[spans[0]]))],
+                "s": np.concatenate((first[pick] - base, first[spans[0]] - joined)),
+                "e": np.concatenate((last[pick] - base, last[spans[1]] - joined))}
 
     def run(batches):
         yield from packed(found(batches), RUN_KINDS)
@@ -563,15 +580,17 @@ def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", len
     rows = staged(scanned(docs, key, text, length), "scanned")
     texts = rows.where(F.col("n_bytes") >= length).groupBy("digest").agg(
         F.count("*").alias("copies"), F.first("mark").alias("mark"), F.first("first").alias("first"), F.first("last").alias("last"))
-    texts = staged(texts, "texts")
-    cands = staged(candidate_windows(texts).withColumn("doc", F.monotonically_increasing_id()), "candidates")
+    texts = staged(texts.withColumn("doc", F.monotonically_increasing_id()), "texts")
+    cands = staged(candidate_windows(texts).join(texts.select("doc", "digest"), "doc"), "candidates")
 
     # the texts of the candidates, one of each; a Bloom filter keeps most others out of the shuffle
     n = cands.count()
     level = build_level(cands.select(F.col("digest").alias("key")), n, max(0.02, 2.0 ** (-FILTER_BITS * 0.69 / max(n, 1))), 900)
     source = docs.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest"), F.col(text).cast("binary").alias("t"),
                          level.words.scalar().alias("_w"))
-    source = source.where(level.holds(F.col("digest"), F.col("_w"))).groupBy("digest").agg(F.first("t").alias("t"))
+    # inside exists() the digest is worked out once for all probes of the filter
+    probed = F.exists(F.array("digest"), lambda d: level.holds(d, F.col("_w")))
+    source = source.where(probed).groupBy("digest").agg(F.first("t").alias("t"))
     work = staged(source.join(cands, "digest"), "work")
     regions = regions_of(work, length)
 
