@@ -52,7 +52,7 @@ from tessera.llm.url_filter import build_level
 
 LENGTH = 400
 MARK = 64  # bytes of a mark's k-gram
-GRAM, SPAN = 16, 48  # bytes of an anchor's k-gram, k-gram starts in the windows whose minimum it is
+GRAM, SPAN = 16, 96  # bytes of an anchor's k-gram, k-gram starts in the windows whose minimum it is
 CHUNK = 1 << 17  # bytes of small texts or regions handled at once
 PIECE = 1 << 20  # windows handled at a time; longer texts and regions are cut with overlap
 LEVELS = 7  # 3 ** 7 symbols cover any prefix that is asked for
@@ -182,7 +182,7 @@ def joined_windows(first: list[int], last: list[int]) -> list[tuple[int, int]]:
 
 def anchored(bodies: list[bytes], length: int) -> dict:
     """By region: anchors, symbols, and the first window of each anchor's run."""
-    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
+    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 4))
     sizes = np.array([len(b) for b in bodies])
     offsets = np.append(0, np.cumsum(sizes))
     hashes = Hashes(b"".join(bodies))
@@ -202,14 +202,14 @@ def anchored(bodies: list[bytes], length: int) -> dict:
 def cores(hashes: Hashes, anchors: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     """By run of windows, whose first anchor is at ``at``, a hash of the anchored
     bytes that all of them hold and whose choice depends on nothing outside them."""
-    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 8))
+    gram, span = min(GRAM, max(1, length // 16)), min(SPAN, max(1, length // 4))
     end = np.searchsorted(anchors, at + length - 2 * span - gram, side="right") - 1
     return hashes.of(at, anchors[end] + gram).view(np.int64)
 
 
 def cover(length: int) -> int:
     """Bytes that equal suffixes must share to settle the windows at their anchor."""
-    return length + 2 * min(SPAN, max(1, length // 8))
+    return length + 2 * min(SPAN, max(1, length // 4))
 
 
 def batch_of(columns: dict) -> pa.RecordBatch:
