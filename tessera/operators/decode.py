@@ -1,4 +1,4 @@
-"""The pluggable batch-inference hook.
+"""The pluggable batch-inference hook.
 
 The translating model is not part of the engine.  A decoder is any function
 ``list[str] -> list[list[str]]`` (n hypotheses per input, best first); it is

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import normalize as N
 from tessera.functions import text as T
+from tessera.operators import external
 from tessera.operators import placeholders as PH
 from tessera.plans.corpus import lines_of
 from tessera.plans.registry import register
@@ -197,3 +198,10 @@ def spm_decode_roundtrip(spark, sf_dir):
     enc = F.array_join(F.transform(T.tokens("text"), lambda w: F.concat(
         F.lit("▁"), F.regexp_replace(w, r"(.{4})(?=.)", "$1 "))), " ")
     return lines.select("doc_id", "line_no", T.spm_decode(enc).alias("text"))
+
+
+@register("filter_lines", with_(LINES) + """
+SELECT doc_id, line_no, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS text FROM lines""")
+def filter_lines(spark, sf_dir):
+    """Every line through an external program (``tr``, which writes ASCII letters in upper case)."""
+    return external.filter_lines(lines_of(spark, sf_dir), ["tr", "a-z", "A-Z"])
