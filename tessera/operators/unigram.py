@@ -6,10 +6,10 @@ The reference encodes with a sentencepiece model whose pieces carry the mark
 * *Seed*: all substrings of the marked word types, weighted by the types' counts,
   in one aggregation; the ``seed_size`` with the largest count times length are
   kept, and every character.
-* *Expectation*: a task runs forward and backward over the lattice of each
-  distinct word (all its segmentations into pieces) and adds up the expected
-  number of each piece; Spark adds up the tasks.  *Maximisation*: a piece's
-  probability is its share.
+* *Expectation*: the lattice of each distinct word (all its segmentations into
+  seed pieces) is stored once; a task runs forward and backward over those of many
+  words at once and adds up the expected number of each piece; Spark adds up the
+  tasks.  *Maximisation*: a piece's probability is its share.
 * *Pruning*: after some rounds the pieces are kept whose loss would cost the
   corpus most likelihood (their count in best segmentations, times what the best
   segmentation of the piece itself without it scores less), until ``size`` are left.
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -118,29 +119,136 @@ def best(word: str, pieces: dict[str, float], longest: int, unknown: float, with
     return score[-1], joined
 
 
-def counts_of(words: DataFrame, pieces: dict[str, float]) -> tuple[float, dict[str, tuple[float, float]]]:
+class Lattices:
+    """The lattices of many words as arrays: an edge is a piece (its number, -1 for an
+    unknown character) between two nodes; a word has a node before each character
+    and one at its end, and its edges come by their end, then their start."""
+
+    def __init__(self, lengths, edges_of, piece, end, size, scores):
+        base = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
+        word = np.repeat(np.arange(len(lengths)), edges_of)
+        score = scores[piece]                      # the last score is that of -1
+        kept = score > -np.inf
+        self.first, self.last = base, base + lengths
+        self.word, self.piece, self.score, end, size = word[kept], piece[kept], score[kept], end[kept], size[kept]
+        by_end = np.argsort(end, kind="stable")
+        self.word, self.piece, self.score, end, size = (x[by_end] for x in (self.word, self.piece, self.score, end, size))
+        self.target = base[self.word] + end
+        self.source = self.target - size
+        self.end, self.start, self.nodes = end, end - size, int((lengths + 1).sum())
+
+    @staticmethod
+    def _groups(position, node):
+        """Slices of edges at one position in their words, each with its groups by node."""
+        cuts = np.flatnonzero(np.diff(position)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(position)]):
+            if a < b:
+                own = node[a:b]
+                at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+                yield a, b, own[at], at, np.diff(np.append(at, b - a))
+
+    def forward(self):
+        """Log of the summed probability up to each node."""
+        total = np.zeros(self.nodes)
+        for a, b, nodes, at, sizes in self._groups(self.end, self.target):
+            total[nodes] = _log_sums(total[self.source[a:b]] + self.score[a:b], at, sizes)
+        return total
+
+    def backward(self):
+        """Log of the summed probability from each node to its word's end."""
+        total, by_start = np.zeros(self.nodes), np.lexsort((self.source, -self.start))
+        target, score, source = self.target[by_start], self.score[by_start], self.source[by_start]
+        for a, b, nodes, at, sizes in self._groups(self.start[by_start], source):
+            total[nodes] = _log_sums(total[target[a:b]] + score[a:b], at, sizes)
+        return total
+
+    def best(self):
+        """By node the edge through which the best segmentation reaches it, of equal ones the longest piece."""
+        top, came = np.zeros(self.nodes), np.full(self.nodes, -1)
+        for a, b, nodes, at, sizes in self._groups(self.end, self.target):
+            x = top[self.source[a:b]] + self.score[a:b]
+            top[nodes] = np.maximum.reduceat(x, at)
+            came[nodes] = np.minimum.reduceat(np.where(x == np.repeat(top[nodes], sizes), np.arange(a, b), b), at)
+        return came
+
+    def paths(self):
+        """The edges of the best segmentations, last ones first: steps of (words, edges)."""
+        came, words, node = self.best(), np.arange(len(self.first)), self.last
+        while len(words := words[open_ := node > self.first[words]]):
+            edges_ = came[node[open_]]
+            yield words, edges_
+            node = self.source[edges_]
+
+
+def _log_sums(x, at, sizes):
+    """log(sum(exp(x))) of each group."""
+    top = np.maximum.reduceat(x, at)
+    return top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, sizes)), at))
+
+
+def edge_lists(word: str, ids: dict[str, int], longest: int) -> tuple[list[int], list[int], list[int]]:
+    """Numbers, ends and lengths of the pieces in a word's lattice."""
+    piece, end, size = [], [], []
+    for j in range(1, len(word) + 1):
+        for i in range(max(0, j - longest), j):
+            p = ids.get(word[i:j], -1 if i + 1 == j else None)
+            if p is not None:
+                piece.append(p)
+                end.append(j)
+                size.append(j - i)
+    return piece, end, size
+
+
+def lattices(words: DataFrame, pieces: dict[str, float]) -> DataFrame:
+    """``n, length, piece, end, size``: each word's count, length and lattice of ``pieces``, numbered in their order."""
+    ids, longest = {p: k for k, p in enumerate(pieces)}, max(map(len, pieces))
+    lists = pa.list_(pa.int32())
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            found = [edge_lists(w, ids, longest) for w in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([len(w) for w in texts], pa.int32()),
+                                              *(pa.array([f[k] for f in found], lists) for k in range(3))],
+                                             names=["n", "length", "piece", "end", "size"])
+
+    return words.select("word", "n").mapInArrow(run, "n long, length int, piece array<int>, end array<int>, size array<int>")
+
+
+def counts_of(words: DataFrame, pieces: dict[str, float], stored: DataFrame | None = None,
+              names: list[str] | None = None) -> tuple[float, dict[str, tuple[float, float]]]:
     """Log likelihood of the corpus, and by piece its expected count and its count in
-    the best segmentations."""
-    longest, unknown = max(map(len, pieces)), min(pieces.values()) - UNKNOWN
+    the best segmentations.  ``stored`` holds the words' :func:`lattices` of the
+    pieces ``names``, of which ``pieces`` are some; else they are worked out here."""
+    if stored is None:
+        stored, names = lattices(words, pieces), list(pieces)
+    unknown = min(pieces.values()) - UNKNOWN
+    scores = np.array([*(pieces.get(p, unknown if len(p) == 1 else -np.inf) for p in names), unknown])
 
     def run(batches):
-        total, all_, first = 0.0, {}, {}
+        total, all_, first = 0.0, np.zeros(len(scores)), np.zeros(len(scores))
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                logp, found = expected(word, pieces, longest, unknown)
-                total += n * logp
-                for p, c in found.items():
-                    all_[p] = all_.get(p, 0.0) + n * c
-                for p in best(word, pieces, longest, unknown)[1]:
-                    first[p] = first.get(p, 0.0) + n
-        names = list(all_)
-        yield pa.RecordBatch.from_arrays([pa.array([*names, None], pa.string()), pa.array([*all_.values(), total], pa.float64()),
-                                          pa.array([*(first.get(p, 0.0) for p in names), 0.0], pa.float64())], names=["piece", "expected", "best"])
-
-    sums = words.select("word", "n").mapInArrow(run, "piece string, expected double, best double").groupBy("piece").agg(
+            n, lengths = (batch.column(k).to_numpy(zero_copy_only=False).astype(t) for k, t in ((0, float), (1, int)))
+            if not len(n):
+                continue
+            lists = [batch.column(k) for k in (2, 3, 4)]
+            edges_of = np.diff(lists[0].offsets.to_numpy())
+            lat = Lattices(lengths, edges_of, *(x.flatten().to_numpy(zero_copy_only=False) for x in lists), scores)
+            forward, backward = lat.forward(), lat.backward()
+            likely = forward[lat.last]
+            total += float(n @ likely)
+            weight = n[lat.word] * np.exp(forward[lat.source] + lat.score + backward[lat.target] - likely[lat.word])
+            all_ += np.bincount(lat.piece % len(scores), weight, len(scores))
+            for of, edges_ in lat.paths():
+                first += np.bincount(lat.piece[edges_] % len(scores), n[of], len(scores))
+        at = np.flatnonzero(all_[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array([*at, -1], pa.int32()), pa.array([*all_[at], total], pa.float64()),
+                                          pa.array([*first[at], 0.0], pa.float64())], names=["piece", "expected", "best"])
+
+    sums = stored.mapInArrow(run, "piece int, expected double, best double").groupBy("piece").agg(
         F.sum("expected").alias("e"), F.sum("best").alias("b")).collect()  # model size
-    found = {r.piece: (r.e, r.b) for r in sums}
-    return found.pop(None)[0] if None in found else 0.0, {p: found.get(p, (0.0, 0.0)) for p in pieces}
+    found = {names[r.piece] if r.piece >= 0 else None: (r.e, r.b) for r in sums}
+    return found.pop(None, (0.0, 0.0))[0], {p: found.get(p, (0.0, 0.0)) for p in pieces}
 
 
 def maximised(counts: dict[str, tuple[float, float]]) -> dict[str, float]:
@@ -167,9 +275,11 @@ def learn(lines: DataFrame, size: int, text: str = "text", seed_size: int | None
     at each expectation.  An empty corpus gives an empty model."""
     words = materialize(word_counts(lines, text))
     pieces = seed(words, seed_size or 10 * size, max_length)
+    names = list(pieces)
+    known = materialize(lattices(words, pieces)) if pieces else None
     while pieces:
         for _ in range(ROUNDS):
-            logp, counts = counts_of(words, pieces)
+            logp, counts = counts_of(words, pieces, known, names)
             pieces = maximised(counts)
             if report is not None:
                 report.append((len(counts), logp))
@@ -192,16 +302,15 @@ def encode(lines: DataFrame, model: DataFrame, keys=("doc_id", "line_no"), text:
     def segment(batches):
         seen: dict[str, str] = {}
         for pdf in batches:
-            out = []
-            for line in pdf[text]:
-                words = line.split(" ") if line else []
-                if len(seen) + len(words) > WORDS_KEPT:
-                    seen.clear()
-                for w in words:
-                    if w not in seen:
-                        seen[w] = " ".join(best(MARK + w, pieces, longest, unknown)[1])
-                out.append(" ".join([seen[w] for w in words]))
-            pdf[text] = out
+            words = [line.split(" ") if line else [] for line in pdf[text]]
+            distinct = set().union(*words)
+            new = list(distinct.difference(seen))
+            if len(seen) + len(new) > WORDS_KEPT:
+                seen.clear()
+                new = list(distinct)
+            for w in new:
+                seen[w] = " ".join(best(MARK + w, pieces, longest, unknown)[1])
+            pdf[text] = [" ".join([seen[w] for w in line]) for line in words]
             yield pdf
 
     rows = lines.select(*keys, F.array_join(T.tokens(F.col(text)), " ").alias(text))
