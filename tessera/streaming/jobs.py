@@ -70,15 +70,22 @@ def _start_and_wait(stream, sink, checkpoint, partition_by, fmt, timeout_s):
 
 
 def mux_demux(spark: SparkSession, source: str, schema: TT.StructType,
-              transform: Callable[[Column], Column], sink: str, checkpoint: str) -> DataFrame:
+              transform: Callable[[Column], Column], sink: str, checkpoint: str, folders: int | None = None) -> DataFrame:
     """Stream every line of every document through a line-for-line
     transform and write the same layout (one folder per document).
 
+    A corpus of very many documents gives ``folders``: a document is then in the
+    folder ``part=`` its hash modulo that number, with its id in the rows, and
+    the number of files no longer grows with the number of documents.
+
     Returns the sink; see :func:`line_counts` for the check of its lines."""
     lines = spark.readStream.schema(schema).json(source)
     out = lines.select("doc_id", "line_no", transform(F.col("text")).alias("text"))
-    run_available_now(out, sink, checkpoint, partition_by=["doc_id"])
-    return spark.read.parquet(sink)
+    if folders is None:
+        run_available_now(out, sink, checkpoint, partition_by=["doc_id"])
+        return spark.read.parquet(sink)
+    run_available_now(out.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(folders))), sink, checkpoint, partition_by=["part"])
+    return spark.read.parquet(sink).drop("part")
 
 
 def line_counts(source: DataFrame, sink: DataFrame, key: str = "doc_id") -> DataFrame:
