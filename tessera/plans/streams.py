@@ -20,22 +20,26 @@ from tessera.plans.parallel import messages
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, pieces_sql, with_
 from tessera.plans.text_jobs import duck_placeholders
+from tessera.session import materialize
 from tessera.sources.tables import read_table
 from tessera.streaming import jobs, lines, requests
 
 LINE_SCHEMA = TT.StructType([TT.StructField("doc_id", TT.LongType()), TT.StructField("line_no", TT.LongType()),
                              TT.StructField("text", TT.StringType())])
 
+FOLDERS = 16     # of stream_mux_demux, each with the lines of many documents
+
 
 @register("stream_mux_demux", with_(LINES) + r"""
 SELECT doc_id, line_no, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM lines""")
 def stream_mux_demux(spark, sf_dir):
     """All lines of all documents through a streaming line-for-line
-    transform (repair + whitespace collapse), written back per document."""
+    transform (repair + whitespace collapse), written back per document, by
+    document folders that many documents share."""
     base = jobs.scratch(spark, "mux")
     lines_of(spark, sf_dir).write.json(f"{base}/in")
     out = jobs.mux_demux(spark, f"{base}/in", LINE_SCHEMA, lambda c: T.collapse_ws(T.repair_chars(c)),
-                         f"{base}/out", f"{base}/ckpt")
+                         f"{base}/out", f"{base}/ckpt", folders=FOLDERS)
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "line_no", "text")
 
 
@@ -208,11 +212,12 @@ def stream_sentence_ids(spark, sf_dir):
     the id range; rows without an id come first, like everywhere in Spark."""
     base = jobs.scratch(spark, "ids")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source")
-    lines = lines_of(spark, sf_dir).select("doc_id", "line_no").join(docs, "doc_id")
+    # stage tables without the texts, which many branches would split again
+    lines = materialize(lines_of(spark, sf_dir).select("doc_id", "line_no")).join(docs, "doc_id")
     per_doc = lines.groupBy("doc_id").agg(F.max("line_no").alias("_last"))
     # one order over documents and lines: first line of the document, then the line in it
     offsets = prefix_sum(per_doc.withColumn("_n", F.col("_last") + 1), "doc_id", "_n", "_first").select("doc_id", "_first")
-    placed = lines.join(offsets, "doc_id").withColumn("place", F.col("_first") + F.col("line_no")).drop("_first")
+    placed = materialize(lines.join(offsets, "doc_id").withColumn("place", F.col("_first") + F.col("line_no")).drop("_first"))
     low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
     late = F.col("doc_id") > ((low or 0) + (high or 0)) // 2
     for part in (placed.where(~late), placed.where(late)):
