@@ -19,6 +19,22 @@ MAX_SENTENCE_LENGTH = 200
 
 ColumnFn = Callable[[Column], Column]
 
+#: Word lists whose JSON has more characters stay as they are: Jackson takes no key of more than 50,000.
+PACKED_LENGTH = 50_000
+
+
+def packed_words(words: str) -> list[Column]:
+    """A word list as the fields ``w`` and ``m`` of a struct to be shuffled: its JSON, a
+    fraction of the size of its maps, or, when that is long, the list itself."""
+    packed = F.to_json(F.col(words))
+    short = F.length(packed) <= PACKED_LENGTH
+    return [F.when(short, packed).alias("w"), F.when(~short, F.col(words)).alias("m")]
+
+
+def unpacked_words(part: Column) -> Column:
+    """The word list of :func:`packed_words`."""
+    return F.coalesce(F.from_json(part["w"], "array<map<string,string>>"), part["m"])
+
 
 def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text: str = "text",
                max_length: int = MAX_SENTENCE_LENGTH, before_wrap: ColumnFn | None = None,
@@ -75,7 +91,11 @@ def unwrap_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
         n_pieces = "n_pieces"
     carry = [F.first(c).alias(c) for c in (is_empty, tags) if c]
     parts = F.struct(F.col("piece_no"), F.col(text).alias("t"),
-                     *( [F.col(words).alias("w")] if words else []))
+                     *(packed_words(words) if words else []))
+    if words:
+        df = df.select(*keys, rank, n_pieces, *(c for c in (is_empty, tags) if c), parts.alias("_part"))
+        df = df.repartition(*keys)          # the ranks of a line side by side: their words are nearly the same
+        parts = F.col("_part")
     grouped = (df.groupBy(*keys, rank)
                  .agg(F.count("*").alias("_have"), F.max(n_pieces).alias("_need"),
                       F.collect_list(parts).alias("_parts"), *carry)
@@ -93,7 +113,7 @@ def unwrap_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
     empty = F.col(is_empty) if is_empty else F.lit(False)
     out.append(F.when(empty, F.lit("")).otherwise(joined).alias("translation"))
     if words:
-        flat = F.flatten(F.transform(ordered, lambda p: p["w"]))
+        flat = F.flatten(F.transform(ordered, unpacked_words))
         out.append(F.when(empty, F.array().cast("array<map<string,string>>"))
                    .otherwise(flat).alias("nbest_words"))
     return grouped.select(*out)
@@ -112,7 +132,7 @@ def collate_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
     array holds the pieces and ranks of one line.
     """
     keys = list(keys)
-    parts = F.struct("piece_no", "rank", F.col(text).alias("t"), *([F.col(words).alias("w")] if words else []))
+    parts = F.struct("piece_no", "rank", F.col(text).alias("t"), *(packed_words(words) if words else []))
     df = (hyps.groupBy(*keys)
               .agg(F.collect_list(parts).alias("_parts"), F.max("n_pieces").alias("_need"), F.max("rank").alias("_last"),
                    F.first("is_empty").alias("is_empty"), *([F.first(tags).alias(tags)] if tags else [])))
@@ -134,5 +154,5 @@ def collate_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),
     if words:
         none = F.array().cast("array<map<string,string>>")
         out.append(F.when(F.col("is_empty"), F.array_repeat(none, n))
-                   .otherwise(F.transform("_ranks", lambda ps: F.flatten(F.transform(ps, lambda p: p["w"])))).alias("nbest_words"))
+                   .otherwise(F.transform("_ranks", lambda ps: F.flatten(F.transform(ps, unpacked_words)))).alias("nbest_words"))
     return df.select(*out)
