@@ -26,6 +26,9 @@ END_TOKEN = "</s> "          # end-of-sentence token as it appears before the se
 
 DEFAULT_BUCKET_LINES = 1 << 20
 
+#: White space of Unicode, U+0020 apart (Python's ``isspace`` also takes U+001C to U+001F).
+OTHER_BLANKS = "".join(c for c in T.PY_WHITESPACE if c not in " \x1c\x1d\x1e\x1f")
+
 
 def parse_nbest(raw: DataFrame, n_best: int = 1, file: str = "src_file", seq: str = "seq",
                 line: str = "line", n_items: int | None = None) -> DataFrame:
@@ -110,9 +113,10 @@ def with_alternatives(df: DataFrame, rest: Column, out: str) -> DataFrame:
     outer expressions per element); the lambda only runs when a key repeats,
     and no session setting (``mapKeyDedupPolicy``) is needed.
     """
-    pair = r"(?U)(\S+)\s+(\S+)"
-    df = (df.withColumn("_ak", F.regexp_extract_all(rest, F.lit(pair), 1))
-            .withColumn("_av", F.regexp_extract_all(rest, F.lit(pair), 2)))
+    # fields in pairs, a last one without a partner left out; blanks are found without a regex
+    df = df.withColumn("_f", F.array_remove(F.split(F.translate(rest, OTHER_BLANKS, " " * len(OTHER_BLANKS)), " ", -1), ""))
+    df = (df.withColumn("_ak", F.filter("_f", lambda x, i: (i % 2 == 0) & (i < F.size("_f") - 1)))
+            .withColumn("_av", F.filter("_f", lambda x, i: i % 2 == 1))).drop("_f")
     df = df.withColumn("_adk", F.array_distinct("_ak"))
     rk, rv = F.reverse("_ak"), F.reverse("_av")
     dedup = F.map_from_arrays("_adk", F.transform("_adk", lambda k: F.element_at(rv, F.array_position(rk, k).cast("int"))))
@@ -131,6 +135,9 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     ``nbest_words`` holds one map per token line, ``</s>`` included.  A
     trailing incomplete n-best group is kept only when the output does not end
     with a blank line, like the reference's end-of-stream rule.
+
+    Lines move to their item as plain text and become maps there, so that maps
+    are never shuffled; the result is partitioned by ``file, item``.
     """
     rows, files = block_index(raw, file, seq, line, bucket_lines)
     # Literal (non-regex) string functions: a header has exactly three
@@ -141,30 +148,26 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     at = F.instr(s, WORD_SEP)
     tok = F.when(~header, F.substring_index(s, WORD_SEP, 1))
     rest = F.when(at > 0, F.expr(f"substr(_s, instr(_s, '{WORD_SEP}') + {len(WORD_SEP)})")).otherwise(F.lit(""))
-    body = (rows.filter("_nb").withColumn("_s", T.strip(F.col(line)))
-            .select(file, "block", seq, "n_blocks", "ends_open", header.alias("_hdr"), tok.alias("_tok"),
-                    rest.alias("_rest")))
+    moved = (rows.filter("_nb")
+             .select(file, F.floor(F.col("block") / n_best).cast("long").alias("item"),
+                     (F.col("block") % n_best).cast("int").alias("rank"), seq, line, "n_blocks", "ends_open")
+             .filter((F.col("item") < F.floor(F.col("n_blocks") / n_best)) | F.col("ends_open")))
+    if n_items is not None:
+        moved = moved.filter(F.col("item") < n_items)
+    body = (moved.select(file, "item", "rank", seq, line).repartition(file, "item").withColumn("_s", T.strip(F.col(line)))
+            .select(file, "item", "rank", seq, header.alias("_hdr"), tok.alias("_tok"), rest.alias("_rest")))
     body = with_alternatives(body, F.col("_rest"), "_m")
     # Maps are not orderable, their entry arrays are: collect (seq, token,
     # entries) and sort natively, then rebuild the maps.
     entries = F.when(~F.col("_hdr"), F.map_entries("_m"))
-    blocks = (body.select(file, "block", "n_blocks", "ends_open",
+    blocks = (body.select(file, "item", "rank",
                           F.struct(F.col(seq).alias("s"), F.col("_tok").alias("t"), entries.alias("m")).alias("e"))
-              .groupBy(file, "block").agg(F.sort_array(F.collect_list("e")).alias("_e"),
-                                          F.first("n_blocks").alias("n_blocks"),
-                                          F.first("ends_open").alias("ends_open")))
+              .groupBy(file, "item", "rank").agg(F.sort_array(F.collect_list("e")).alias("_e")))
     ordered = F.col("_e")
     text = T.strip(F.array_join(F.transform(
         F.filter(ordered, lambda e: e["t"].isNotNull() & (e["t"] != END_TOKEN)), lambda e: e["t"]), ""))
     maps = F.transform(F.filter(ordered, lambda e: e["m"].isNotNull()), lambda e: F.map_from_entries(e["m"]))
-    out = (blocks.select(file, (F.floor(F.col("block") / n_best)).cast("long").alias("item"),
-                         (F.col("block") % n_best).cast("int").alias("rank"),
-                         text.alias("translation"), maps.alias("nbest_words"), "n_blocks", "ends_open")
-           .filter((F.col("item") < F.floor(F.col("n_blocks") / n_best)) | F.col("ends_open"))
-           .drop("n_blocks", "ends_open"))
-    if n_items is not None:
-        out = out.filter(F.col("item") < n_items)
-    return out
+    return blocks.select(file, "item", "rank", text.alias("translation"), maps.alias("nbest_words"))
 
 
 def canonical_words(words: Column) -> Column:

@@ -18,7 +18,7 @@ from tessera.operators.translate import format_rows, translate_lines
 from tessera.plans.corpus import BLANKED, lines_with_blanks, local_items
 from tessera.plans.registry import register
 from tessera.plans.sqlparts import LINES, pieces_sql, with_
-from tessera.session import materialize
+from tessera.session import stored
 from tessera.sources.tables import read_table
 
 
@@ -83,13 +83,14 @@ def words_raw(units: DataFrame, file: str, order: str, text: str = "text") -> Da
     """Write 2-best n-best-words output for every unit (turn or piece).
 
     ``seq`` is dense per ``file``: the line count of each unit is prefix
-    summed over ``order`` within the file (bucketed, skew-safe).
+    summed over ``order`` within the file (bucketed, skew-safe).  Only the
+    text is shuffled; its lines, several times as long, are written after.
     """
     blocks = F.concat(words_block_lines(F.col(text), F.col(order)),
                       words_block_lines(F.lower(F.col(text)), F.col(order)))
-    per_unit = units.select(file, order, blocks.alias("_lines")).withColumn("_n", F.size("_lines"))
+    per_unit = units.select(file, order, F.col(text).alias(text), F.size(blocks).alias("_n"))
     starts = prefix.prefix_sum(per_unit, order, "_n", "_first", group=[file])
-    return (starts.select(F.col(file).alias("src_file"), "_first", F.posexplode("_lines").alias("_pos", "line"))
+    return (starts.select(F.col(file).alias("src_file"), "_first", F.posexplode(blocks).alias("_pos", "line"))
             .select("src_file", (F.col("_first") + F.col("_pos")).cast("long").alias("seq"), "line"))
 
 
@@ -109,7 +110,7 @@ FROM t
 def nbest_words_blocks(spark, sf_dir):
     """Parse 2-best n-best-words blocks built from conversations."""
     conv = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", _hyp().alias("text"))
-    raw = materialize(words_raw(conv, "conv_id", "turn"))       # the stored decoder output
+    raw = stored(words_raw(conv, "conv_id", "turn"), "words")       # the stored decoder output
     parsed = nbest.parse_nbest_words(raw, n_best=2)
     return parsed.select("src_file", "item", "rank", "translation",
                          F.size("nbest_words").alias("n_positions"),
@@ -129,8 +130,8 @@ FROM per_line, (SELECT unnest([0, 1]) AS r)
 """)
 def nbest_zip_expand(spark, sf_dir):
     """Stored n-best-words output per document → parse → J1 → zip ranks, blank empties, expand."""
-    pieces = materialize(local_items(wrap.wrap_lines(lines_with_blanks(spark, sf_dir))))   # stage table
-    raw = materialize(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"))
+    pieces = stored(local_items(wrap.wrap_lines(lines_with_blanks(spark, sf_dir))), "pieces")   # stage table
+    raw = stored(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"), "words")
     parsed = nbest.parse_nbest_words(raw, n_best=2)
     hyps = parsed.join(pieces.drop("text").withColumnRenamed("doc_id", "src_file")
                        .withColumnRenamed("local_item", "item"), ["src_file", "item"])
@@ -191,8 +192,8 @@ def words_json_arrays(spark, sf_dir):
     text = F.when(F.col("turn") % 5 == 4, F.lit("")).otherwise(_hyp())
     turns = read_table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"),
                                                               F.col("turn").cast("long").alias("line_no"), text.alias("text"))
-    pieces = materialize(local_items(wrap.wrap_lines(turns, max_length=TURN_LENGTH)))     # stage table
-    raw = materialize(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"))
+    pieces = stored(local_items(wrap.wrap_lines(turns, max_length=TURN_LENGTH)), "pieces")     # stage table
+    raw = stored(words_raw(pieces.select("doc_id", "local_item", "text"), "doc_id", "local_item"), "words")
     parsed = nbest.parse_nbest_words(raw, n_best=2)
     hyps = parsed.join(pieces.drop("text").withColumnRenamed("doc_id", "src_file")
                        .withColumnRenamed("local_item", "item"), ["src_file", "item"]).withColumnRenamed("src_file", "doc_id")
