@@ -49,7 +49,9 @@ def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), te
     travels with each piece so regrouping never needs a second pass.
 
     Narrow (no shuffle).  The token array is projected as a column before the
-    slicing lambda so Spark computes it once per line, not once per piece.
+    slicing lambda so Spark computes it once per line, not once per piece.  The
+    outer explode keeps it so (every line has a piece): before a plain one Spark
+    filters out empty arrays, and in that filter each piece would split its line.
     """
     line = T.strip(F.col(text))
     if before_wrap is not None:
@@ -65,7 +67,7 @@ def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), te
         F.array(T.strip(after(F.col("_line")))))
     return (base.select(*keys, *keep, "is_empty", pieces.alias("_p"))
                 .select(*keys, *keep, "is_empty", F.size("_p").alias("n_pieces"),
-                        F.posexplode("_p").alias("piece_no", "text")))
+                        F.posexplode_outer("_p").alias("piece_no", "text")))
 
 
 def unwrap_pieces(hyps: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"),

@@ -72,7 +72,7 @@ def _whole_lines(grouped: DataFrame, keys: Sequence[str], n_best: int, processor
     df = grouped.withColumn("_parts", F.array_sort("_parts"))
     shared = F.array_min(F.transform("_parts", lambda p: F.size(p["hyps"])))
     df = df.withColumn("_k", F.when(F.col("is_empty"), F.lit(n_best)).otherwise(shared)).where("_k > 0")
-    df = df.withColumn("rank", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)))
+    df = df.withColumn("rank", F.explode_outer(F.sequence(F.lit(0), F.col("_k") - 1)))    # never empty
     df = df.withColumn("_joined", F.array_join(F.transform("_parts", lambda p: T.strip(F.get(p["hyps"], F.col("rank")))), " "))
     df = df.withColumn("_post", T.strip(processor.post(F.col("_joined"))))
     text = F.when(F.col("is_empty"), F.lit("")).otherwise(placeholders.reinsert_column(F.col("_post"), F.col("tags")))

@@ -124,3 +124,13 @@ def test_checkpoint_folder_must_be_shared(spark, monkeypatch):
             getCheckpointDir = staticmethod(lambda: None)
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_wrapping_splits_a_line_once(spark):
+    lines = spark.range(3).select(F.lit(0).alias("doc_id"), F.col("id").alias("line_no"),
+                                  F.when(F.col("id") < 2, F.repeat(F.lit("a "), (F.col("id") * 60).cast("int"))).alias("text"))
+    pieces = wrap.wrap_lines(lines, max_length=25)
+    # no filter before the explode that splits each line again for each of its pieces
+    assert pieces._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    got = sorted((p.line_no, p.piece_no, p.n_pieces, p.text) for p in pieces.collect())
+    assert got == [(0, 0, 1, ""), *((1, i, 3, " ".join("a" * n)) for i, n in enumerate((25, 25, 10))), (2, 0, 1, None)]
