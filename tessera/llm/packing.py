@@ -32,6 +32,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
@@ -47,8 +48,10 @@ WORDS_KEPT = 400_000  # of each of two generations, a few hundred bytes each
 JOINED = 2000  # words encoded in one call
 
 
+#: characters that a word of Latin letters may have behind it, parted from it by the tokenizer
+TAIL = ".,;:!?#$%&*"
 #: a word of Latin letters, each of one character in either case, and the punctuation after it
-LATIN = re.compile(r"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+LATIN = re.compile(rf"([a-zA-ZÀ-ÖØ-öø-ÿ]+)([{TAIL}]*)")
 
 
 class WordIds:
@@ -69,6 +72,7 @@ class WordIds:
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         if self.ids("a, b\nc") != [*self.ids("a"), *self.ids(","), *self.ids("b"), *self.ids("c")] or not self.special:
             raise ValueError(f"{path}: a tokenizer that drops white space, with a special token, is needed")
+        self.parts = all(self.ids(f"a{c}") == [*self.ids("a"), *self.ids(c)] for c in TAIL)
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = np.zeros(1 + max(vocabulary.values()), bool)
@@ -92,7 +96,7 @@ class WordIds:
         """Encode words with ``between`` behind each; ``is_end`` tells where one ends, ``own``
         is 1 if that id is its own.  Returns the words of calls with another number of ends."""
         parts, failed = [words[i:i + JOINED] for i in range(0, len(words), JOINED)], []
-        for part, got in zip(parts, self.tokenizer.encode_batch([between.join(p) + between for p in parts], add_special_tokens=False)):
+        for part, got in zip(parts, self.tokenizer.encode_batch_fast([between.join(p) + between for p in parts], add_special_tokens=False)):
             ids = np.array(got.ids, "<u4")
             ends = np.flatnonzero(is_end(ids))
             if len(ends) != len(part):
@@ -108,7 +112,7 @@ class WordIds:
         cut, other = [], []
         for w in words:
             m = LATIN.fullmatch(w)
-            if m:
+            if m and (self.parts or not m[2]):
                 core, tail = m.groups()
                 cut.append((w, core.lower() if self.folds else core, tail))
             else:
@@ -126,18 +130,27 @@ class WordIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        # each distinct word is looked up once, its ids are copied to all its places in numpy
+        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        coded = cut.flatten().dictionary_encode()
+        words, place = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         if len(self.young) >= self.kept:  # words not met in a while are forgotten
             self.old, self.young = self.young, {"": b""}
         young, old = self.young, self.old
-        new = set().union(*cut).difference(young)
+        own = list(map(young.get, words))
+        new = [i for i, data in enumerate(own) if data is None]
         if old:
-            again = [w for w in new if w in old]
-            young.update({w: old[w] for w in again})
-            new.difference_update(again)
-        if new:
-            self.learn(list(new))
-        return [b"".join([young[w] for w in words]) for words in cut]
+            young.update({words[i]: old[words[i]] for i in new if words[i] in old})
+        self.learn([words[i] for i in new if words[i] not in young])
+        for i in new:
+            own[i] = young[words[i]]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        ids, first = np.frombuffer(b"".join(own), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[place]
+        ends = np.concatenate(([0], np.cumsum(n)))
+        data = ids[np.repeat(first[place] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @functools.lru_cache(maxsize=2)

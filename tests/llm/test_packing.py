@@ -153,3 +153,14 @@ def test_sequences_hold_the_ids(spark):
     assert sorted(s["doc_id"] for s in row["spans"]) == [1, 2, 3] and row["length"] == len(row["ids"])
     for s in row["spans"]:
         assert row["ids"][s["offset"]:s["offset"] + s["length"]] == want[s["doc_id"]]
+
+
+def test_words_are_looked_up_once_and_parted_from_any_tail(monkeypatch):
+    encoder, seen = packing.WordIds(WORDS, kept=4), []
+    joined = encoder.joined
+    monkeypatch.setattr(encoder, "joined", lambda words, *rest: seen.extend(words) or joined(words, *rest))
+    texts = ["Baum*** Baum$$$ baum\nbaum, baum&%", "", "é#  x_*  'tis*", "<|endoftext|>* baum***"]
+    for _ in range(3):  # some words are forgotten in between
+        assert encoder.encode(texts) == [np.array(encoder.ids(t), "<u4").tobytes() for t in texts]
+    first = seen[:len(set(seen))]
+    assert first.count("baum") == 1 and not [w for w in seen if w.lower().startswith("baum") and w != "baum"]
