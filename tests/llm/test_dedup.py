@@ -166,6 +166,20 @@ def test_repeated_spans(spark, seed, length):
         assert len(spans) == x["n_spans"] and sum(e - s for s, e in spans) == x["n_removed"]
 
 
+def test_passages_that_start_at_an_anchor(spark):
+    texts = []
+    for k in range(24):  # one text starts with the passage and so at its first anchor, the other has other bytes before it
+        long = prose(300 + k, 220).encode()
+        where = suffix_dedup.minima(suffix_dedup.Hashes(long).grams(suffix_dedup.GRAM), suffix_dedup.SPAN)
+        at = int(np.flatnonzero(where == np.arange(len(where)))[0])
+        passage = long[at:at + 900]
+        pair = [passage + b"!" + prose(600 + k, 10).encode(), prose(500 + k, 10).encode() + passage]
+        texts += pair[::-1] if k % 2 else pair
+    rows = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = dict(enumerate(removed(texts, 400)))
+    assert {x["doc_id"]: (x["n_bytes"], x["n_removed"], x["n_spans"], x["kept_sha256"]) for x in suffix_dedup.repeated_spans(rows).collect()} == want
+
+
 def test_texts_longer_than_a_piece(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 1000)
     texts = [b"".join(w.encode() for w in (prose(s, 900), " ", prose(99, 200))) for s in (1, 2)]
