@@ -10,14 +10,18 @@ a prefix sum:
   (gaps and islands).  The island number is a prefix count of block starts,
   computed per bucket of ``bucket_lines`` lines plus a small per-bucket
   table, so a single huge output file is still processed by many tasks.
+  Lines that lie together in the table are put together before they move.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, MapType, StringType, StructField, StructType
 
 from tessera.functions import text as T
+from tessera.operators import wrap
+from tessera.session import stored
 
 # Fixed values of the decoder formats.
 FIELD_SEP = " ||| "          # n-best line: id ||| text ||| features ||| score
@@ -28,6 +32,10 @@ DEFAULT_BUCKET_LINES = 1 << 20
 
 #: White space of Unicode, U+0020 apart (Python's ``isspace`` also takes U+001C to U+001F).
 OTHER_BLANKS = "".join(c for c in T.PY_WHITESPACE if c not in " \x1c\x1d\x1e\x1f")
+_TO_SPACES = dict.fromkeys(map(ord, OTHER_BLANKS), " ")
+
+LINES_KEPT = 200_000         # lines read before, kept by a task
+FRAGMENT_SIZE = 1 << 22      # characters of a run after which it is cut
 
 
 def parse_nbest(raw: DataFrame, n_best: int = 1, file: str = "src_file", seq: str = "seq",
@@ -125,6 +133,130 @@ def with_alternatives(df: DataFrame, rest: Column, out: str) -> DataFrame:
               .drop("_ak", "_av", "_adk"))
 
 
+def alternatives(rest: str) -> dict[str, str]:
+    """:func:`with_alternatives` of one text."""
+    blanks = rest if rest.isprintable() else rest.translate(_TO_SPACES)     # a space is the only printable blank
+    fields = [x for x in blanks.split(" ") if x]
+    return dict(zip(fields[::2], fields[1::2]))
+
+
+def read_line(line: str | None) -> tuple | None:
+    """A line of n-best-words output: ``None`` when blank, ``()`` a header, else its token
+    field, the keys and the values of its map as texts, and the map itself when these can't
+    tell it (no entry, or a mark within)."""
+    s = (line or "").strip()
+    if not s:
+        return None
+    if s.count(FIELD_SEP) == 3:
+        return ()
+    tok, _, rest = s.partition(WORD_SEP)
+    found = alternatives(rest)                # its texts hold no space, the mark between positions
+    odd = not found or wrap.BETWEEN_ENTRIES in rest
+    return tok, wrap.BETWEEN_ENTRIES.join(found), wrap.BETWEEN_ENTRIES.join(found.values()), found if odd else None
+
+
+def fragments(raw: DataFrame, n_best: int, file: str = "src_file", seq: str = "seq", line: str = "line") -> DataFrame:
+    """Neighbouring lines of ``raw`` read and put together where they lie, without a shuffle.
+
+    Rows whose ``seq`` follow each other in a partition are a segment.  A row is a run of a
+    segment's non-blank lines (``seq`` of the first; ``gap``: a blank line is before it, null
+    at the segment's start) with the tokens' ``text`` and the maps as in ``wrap.packed_words``, or
+    (``blank``) the blank line at the segment's end.  In a segment that starts with the file,
+    ``block`` counts the runs; ``whole`` marks those of an item that ends in the segment.
+    Any cut of the file into segments gives the same blocks, fewer cuts only less to number.
+    """
+    kinds = {f.name: f.dataType for f in raw.schema}
+    schema = StructType([StructField(file, kinds[file]), StructField("seq", LongType()), StructField("gap", BooleanType()),
+                         StructField("blank", BooleanType()), StructField("block", LongType()), StructField("whole", BooleanType()),
+                         StructField("text", StringType()), StructField("w", StringType()), StructField("v", StringType()),
+                         StructField("m", ArrayType(MapType(StringType(), StringType())))])
+
+    limit = FRAGMENT_SIZE
+
+    def run(batches):
+        import pyarrow as pa
+
+        out, pending, seen = [], [], {}
+        now = after = start = gap = block = None        # the segment's file and next line, the open run, its number
+        parts, size, broken = None, 0, False
+
+        def end_run(closed):
+            nonlocal pending, parts, size, block, broken
+            texts = [p for p in parts if p]
+            row = [now, start, gap, False, block, False, "".join([p[0] for p in texts if p[0] != END_TOKEN]), None, None, None]
+            if any(p[3] is not None for p in texts):
+                row[9] = [list((p[3] if p[3] is not None else dict(zip(p[1].split(wrap.BETWEEN_ENTRIES), p[2].split(wrap.BETWEEN_ENTRIES)))).items())
+                          for p in texts]
+            elif texts:
+                row[7], row[8] = (wrap.BETWEEN_POSITIONS.join([p[k] for p in texts]) for k in (1, 2))
+            pending.append(row)
+            parts, size = None, 0
+            if closed and block is not None:
+                block += 1
+                if block % n_best == 0:
+                    for r in pending:
+                        r[5] = not broken
+                    out.extend(pending)
+                    pending, broken = [], False
+            elif not closed or block is None:
+                broken = True
+                out.extend(pending)
+                pending = []
+
+        def end_segment():
+            nonlocal pending, broken
+            if after is not None and parts is None:
+                out.append([now, after - 1, None, True, None, False, None, None, None, None])
+            elif parts is not None:
+                end_run(False)
+            out.extend(pending)
+            pending, broken = [], False
+
+        def rows():
+            kinds_ = [*file_kind, pa.int64(), pa.bool_(), pa.bool_(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.string(),
+                      pa.list_(pa.map_(pa.string(), pa.string()))]
+            columns = list(zip(*out)) or [()] * len(kinds_)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds_)], names=schema.names)
+
+        file_kind = None
+        for batch in batches:
+            file_kind = [batch.schema.field(0).type]
+            lists = [batch.column(0).to_pylist(), *(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in (1, 2))]
+            for f, s, text in zip(*lists):
+                if s != after or f != now:
+                    end_segment()
+                    now, parts, before = f, None, None
+                    block = 0 if s == 0 else None
+                after = s + 1
+                got = seen.get(text, 0)
+                if got == 0:
+                    got = read_line(text)
+                    if text is not None and len(text) < 200:
+                        if len(seen) >= LINES_KEPT:
+                            seen.clear()
+                        seen[text] = got
+                if got is None:
+                    if parts is not None:
+                        end_run(True)
+                    before = True
+                    continue
+                if parts is not None and size > limit:
+                    end_run(False)
+                if parts is None:
+                    parts, start, gap = [], s, before
+                before = False
+                parts.append(got)
+                size += len(text)
+            yield rows()
+            out.clear()
+        end_segment()
+        if out:
+            yield rows()
+
+    lines = raw.where(F.col(file).isNotNull() & F.col(seq).isNotNull()).select(file, F.col(seq).cast("long"), line)
+    return lines.mapInArrow(run, schema)
+
+
 def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", seq: str = "seq",
                       line: str = "line", n_items: int | None = None,
                       bucket_lines: int = DEFAULT_BUCKET_LINES) -> DataFrame:
@@ -136,37 +268,35 @@ def parse_nbest_words(raw: DataFrame, n_best: int = 1, file: str = "src_file", s
     trailing incomplete n-best group is kept only when the output does not end
     with a blank line, like the reference's end-of-stream rule.
 
-    Lines move to their item as plain text and become maps there, so that maps
-    are never shuffled; the result is partitioned by ``file, item``.
+    Lines are read where they lie into :func:`fragments`, a stage table.  Fragments
+    whose item is not told by their segment alone are numbered by
+    :func:`block_index`, to which a run of lines is one line.  All move to their
+    item as packed text and become maps there, so that maps are never shuffled;
+    the result is partitioned by ``file, item``.
     """
-    rows, files = block_index(raw, file, seq, line, bucket_lines)
-    # Literal (non-regex) string functions: a header has exactly three
-    # FIELD_SEPs; a token line is ``token|||rest``.
-    s = F.col("_s")
-    n_sep = (F.length(s) - F.length(F.replace(s, F.lit(FIELD_SEP), F.lit("")))) / len(FIELD_SEP)
-    header = n_sep == 3
-    at = F.instr(s, WORD_SEP)
-    tok = F.when(~header, F.substring_index(s, WORD_SEP, 1))
-    rest = F.when(at > 0, F.expr(f"substr(_s, instr(_s, '{WORD_SEP}') + {len(WORD_SEP)})")).otherwise(F.lit(""))
-    moved = (rows.filter("_nb")
-             .select(file, F.floor(F.col("block") / n_best).cast("long").alias("item"),
-                     (F.col("block") % n_best).cast("int").alias("rank"), seq, line, "n_blocks", "ends_open")
-             .filter((F.col("item") < F.floor(F.col("n_blocks") / n_best)) | F.col("ends_open")))
+    parts = stored(fragments(raw, n_best, file, seq, line), "fragments")
+    at = F.struct(F.col("seq").alias("s"), F.when(F.col("blank"), F.lit("")).otherwise(F.lit("x")).alias("l"))
+    ahead = F.struct((F.col("seq") - 1).alias("s"), F.lit("").alias("l"))
+    marks = parts.select(file, F.explode(F.when(F.col("gap"), F.array(ahead, at)).otherwise(F.array(at))).alias("_l"))
+    numbered, _ = block_index(marks.select(file, F.col("_l.s").alias("seq"), F.col("_l.l").alias("line")), file, "seq", "line", bucket_lines)
+    packed = ["seq", "text", "w", "v", "m"]
+    place = [F.floor(F.col("block") / n_best).cast("long").alias("item"), (F.col("block") % n_best).cast("int").alias("rank")]
+    whole = parts.where("whole").select(file, *place, *packed)
+    edges = (parts.where("not whole and not blank").select(file, *packed)
+             .join(numbered.where("_nb").select(file, "seq", "block", "n_blocks", "ends_open"), [file, "seq"])
+             .select(file, *place, *packed, "n_blocks", "ends_open")
+             .filter((F.col("item") < F.floor(F.col("n_blocks") / n_best)) | F.col("ends_open"))
+             .drop("n_blocks", "ends_open"))
+    moved = whole.unionByName(edges)
     if n_items is not None:
         moved = moved.filter(F.col("item") < n_items)
-    body = (moved.select(file, "item", "rank", seq, line).repartition(file, "item").withColumn("_s", T.strip(F.col(line)))
-            .select(file, "item", "rank", seq, header.alias("_hdr"), tok.alias("_tok"), rest.alias("_rest")))
-    body = with_alternatives(body, F.col("_rest"), "_m")
-    # Maps are not orderable, their entry arrays are: collect (seq, token,
-    # entries) and sort natively, then rebuild the maps.
-    entries = F.when(~F.col("_hdr"), F.map_entries("_m"))
-    blocks = (body.select(file, "item", "rank",
-                          F.struct(F.col(seq).alias("s"), F.col("_tok").alias("t"), entries.alias("m")).alias("e"))
-              .groupBy(file, "item", "rank").agg(F.sort_array(F.collect_list("e")).alias("_e")))
-    ordered = F.col("_e")
-    text = T.strip(F.array_join(F.transform(
-        F.filter(ordered, lambda e: e["t"].isNotNull() & (e["t"] != END_TOKEN)), lambda e: e["t"]), ""))
-    maps = F.transform(F.filter(ordered, lambda e: e["m"].isNotNull()), lambda e: F.map_from_entries(e["m"]))
+    blocks = (moved.repartition(file, "item").groupBy(file, "item", "rank")
+              .agg(F.collect_list(F.struct(*packed)).alias("_e")))
+    # sort_array cannot order structs holding maps; a comparator on seq can.
+    ordered = F.array_sort("_e", lambda l, r: F.signum(l["seq"] - r["seq"]).cast("int"))
+    text = T.strip(F.array_join(F.transform(ordered, lambda e: e["text"]), ""))
+    none = F.array().cast("array<map<string,string>>")
+    maps = F.flatten(F.transform(ordered, lambda e: F.coalesce(wrap.unpacked_words(e), none)))
     return blocks.select(file, "item", "rank", text.alias("translation"), maps.alias("nbest_words"))
 
 

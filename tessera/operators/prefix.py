@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 LEVELS = 3  # widths of 2 ** 16 at each level leave at most 2 ** 15 buckets of 64-bit orders on top
 
 
@@ -32,6 +34,8 @@ def prefix_sum(df: DataFrame, order: str, value: str, out: str, group: list[str]
     bucket, total, start = f"_bucket{levels}", f"_total{levels}", f"_start{levels}"
     df = df.withColumn(bucket, F.expr(f"(`{order}` - pmod(`{order}`, {width}L)) div {width}L").cast("long"))
     totals = df.groupBy(*group, bucket).agg(F.sum(value).alias(total))
+    if levels == LEVELS:
+        totals = materialize(totals)     # every level reads it: the rows are worked out once for all of them
     if levels > 1:
         starts = prefix_sum(totals, bucket, total, start, group, 1 << 16, levels - 1).drop(total)
     else:

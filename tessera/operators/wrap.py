@@ -19,21 +19,33 @@ MAX_SENTENCE_LENGTH = 200
 
 ColumnFn = Callable[[Column], Column]
 
-#: Word lists whose JSON has more characters stay as they are: Jackson takes no key of more than 50,000.
-PACKED_LENGTH = 50_000
+#: Marks between the positions of a packed word list (a space: the keys are then mostly the text once more, which
+#: compresses well) and between the entries of a position.
+BETWEEN_POSITIONS, BETWEEN_ENTRIES = " ", "\x1f"
 
 
 def packed_words(words: str) -> list[Column]:
-    """A word list as the fields ``w`` and ``m`` of a struct to be shuffled: its JSON, a
-    fraction of the size of its maps, or, when that is long, the list itself."""
-    packed = F.to_json(F.col(words))
-    short = F.length(packed) <= PACKED_LENGTH
-    return [F.when(short, packed).alias("w"), F.when(~short, F.col(words)).alias("m")]
+    """A word list as the fields ``w``, ``v`` and ``m`` of a struct to be shuffled: its keys and
+    its values as one text each, a fraction of the size of its maps, or, when these would not
+    tell it (an empty list or position, a null, a mark in a text), the list itself."""
+    def joined(of):
+        texts = F.transform(F.col(words), lambda m: F.array_join(F.transform(of(m), lambda x: F.coalesce(x, F.lit(BETWEEN_POSITIONS))), BETWEEN_ENTRIES))
+        return F.array_join(texts, BETWEEN_POSITIONS)
+
+    def marks(text):
+        return F.length(text) - F.length(F.translate(text, BETWEEN_POSITIONS + BETWEEN_ENTRIES, ""))
+
+    w, v = joined(F.map_keys), joined(F.map_values)
+    between = F.aggregate(F.col(words), F.lit(-1), lambda n, m: n + F.size(m))
+    plain = F.coalesce((marks(w) == between) & (marks(v) == between), F.lit(False))
+    return [F.when(plain, w).alias("w"), F.when(plain, v).alias("v"), F.when(~plain, F.col(words)).alias("m")]
 
 
 def unpacked_words(part: Column) -> Column:
     """The word list of :func:`packed_words`."""
-    return F.coalesce(F.from_json(part["w"], "array<map<string,string>>"), part["m"])
+    positions = F.arrays_zip(F.split(part["w"], BETWEEN_POSITIONS, -1).alias("w"), F.split(part["v"], BETWEEN_POSITIONS, -1).alias("v"))
+    maps = F.transform(positions, lambda p: F.map_from_arrays(F.split(p["w"], BETWEEN_ENTRIES, -1), F.split(p["v"], BETWEEN_ENTRIES, -1)))
+    return F.coalesce(maps, part["m"])
 
 
 def wrap_lines(lines: DataFrame, keys: Sequence[str] = ("doc_id", "line_no"), text: str = "text",

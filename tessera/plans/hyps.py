@@ -69,6 +69,9 @@ def nbest_topk(spark, sf_dir):
     return nbest.top_k(hyps, 1).select("src_file", "item", "rank", "translation", "score")
 
 
+BLOCK_EXTRA = 3      # lines of a block beside its tokens': header, end token, blank
+
+
 def words_block_lines(hyp: F.Column, item: F.Column) -> F.Column:
     """One n-best-words block: header, one line per token (alternatives: the
     token and its lower-cased form), the end token, a closing blank line."""
@@ -88,7 +91,8 @@ def words_raw(units: DataFrame, file: str, order: str, text: str = "text") -> Da
     """
     blocks = F.concat(words_block_lines(F.col(text), F.col(order)),
                       words_block_lines(F.lower(F.col(text)), F.col(order)))
-    per_unit = units.select(file, order, F.col(text).alias(text), F.size(blocks).alias("_n"))
+    tokens = [F.size(T.tokens(F.col(text))), F.size(T.tokens(F.lower(F.col(text))))]
+    per_unit = units.select(file, order, F.col(text).alias(text), (tokens[0] + tokens[1] + 2 * BLOCK_EXTRA).alias("_n"))
     starts = prefix.prefix_sum(per_unit, order, "_n", "_first", group=[file])
     return (starts.select(F.col(file).alias("src_file"), "_first", F.posexplode(blocks).alias("_pos", "line"))
             .select("src_file", (F.col("_first") + F.col("_pos")).cast("long").alias("seq"), "line"))
