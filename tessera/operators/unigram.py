@@ -13,7 +13,8 @@ The reference encodes with a sentencepiece model whose pieces carry the mark
 * *Pruning*: after some rounds the pieces are kept whose loss would cost the
   corpus most likelihood (their count in best segmentations, times what the best
   segmentation of the piece itself without it scores less), until ``size`` are left.
-* *Encoding*: the best segmentation of each word (Viterbi), line by line, no shuffle.
+* *Encoding*: the best segmentation of each word (Viterbi), line by line, no shuffle;
+  the new words of a batch are segmented at once, as arrays.
 
 Word types are the only table a round reads; the driver holds the model
 (``seed_size`` pieces at most), never data.
@@ -36,7 +37,9 @@ MAX_LENGTH = 16          # characters of a piece, the mark included
 SHRINK = 0.75            # share of the pieces that a pruning keeps
 ROUNDS = 2               # of expectation and maximisation before each pruning
 UNKNOWN = 10.0           # log probability that an unknown character lies below the least piece
-WORDS_KEPT = 200_000
+WORDS_KEPT = 200_000     # segmented before, kept by a task
+LATTICE = (np.int64, np.int32, np.int32, np.int32, np.int32)   # numbers of the columns of stored lattices
+AT_ONCE = 10_000         # words segmented at once
 
 
 def word_counts(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -129,13 +132,14 @@ class Lattices:
         word = np.repeat(np.arange(len(lengths)), edges_of)
         score = scores[piece]                      # the last score is that of -1
         kept = score > -np.inf
+        word, piece, score, end, start = word[kept], piece[kept], score[kept], end[kept], (end - size)[kept]
         self.first, self.last = base, base + lengths
-        self.word, self.piece, self.score, end, size = word[kept], piece[kept], score[kept], end[kept], size[kept]
-        by_end = np.argsort(end, kind="stable")
-        self.word, self.piece, self.score, end, size = (x[by_end] for x in (self.word, self.piece, self.score, end, size))
-        self.target = base[self.word] + end
-        self.source = self.target - size
-        self.end, self.start, self.nodes = end, end - size, int((lengths + 1).sum())
+        by_end = _order(end)
+        self.word, self.piece, self.score, self.end, self.start = (x[by_end] for x in (word, piece, score, end, start))
+        self.target, self.source = base[self.word] + self.end, base[self.word] + self.start
+        by_start = _order(-start)                  # as the edges came, those of a word are together
+        self._back = start[by_start], (base[word] + start)[by_start], (base[word] + end)[by_start], score[by_start]
+        self.nodes = int((lengths + 1).sum())
 
     @staticmethod
     def _groups(position, node):
@@ -156,9 +160,9 @@ class Lattices:
 
     def backward(self):
         """Log of the summed probability from each node to its word's end."""
-        total, by_start = np.zeros(self.nodes), np.lexsort((self.source, -self.start))
-        target, score, source = self.target[by_start], self.score[by_start], self.source[by_start]
-        for a, b, nodes, at, sizes in self._groups(self.start[by_start], source):
+        total = np.zeros(self.nodes)
+        start, source, target, score = self._back
+        for a, b, nodes, at, sizes in self._groups(start, source):
             total[nodes] = _log_sums(total[target[a:b]] + score[a:b], at, sizes)
         return total
 
@@ -180,6 +184,12 @@ class Lattices:
             node = self.source[edges_]
 
 
+def _order(position):
+    """Stable order of positions; those of ordinary words are sorted by their digits."""
+    small = not len(position) or np.abs(position).max() < 1 << 15
+    return np.argsort(position.astype(np.int16) if small else position, kind="stable")
+
+
 def _log_sums(x, at, sizes):
     """log(sum(exp(x))) of each group."""
     top = np.maximum.reduceat(x, at)
@@ -199,20 +209,91 @@ def edge_lists(word: str, ids: dict[str, int], longest: int) -> tuple[list[int],
     return piece, end, size
 
 
+class Trie:
+    """The pieces by their characters: from a node (0 at first) and a character to the next
+    node, as sorted arrays; ``number`` has the piece that ends at a node, or -1."""
+
+    def __init__(self, pieces):
+        self.chars = np.array(sorted({ord(c) for p in pieces for c in p}) or [-1])
+        place, nodes, self.number = {c: k for k, c in enumerate(self.chars.tolist())}, {}, [-1]
+        for k, p in enumerate(pieces):
+            node = 0
+            for c in p:
+                key = node * len(place) + place[ord(c)]
+                if key not in nodes:
+                    nodes[key] = len(self.number)
+                    self.number.append(-1)
+                node = nodes[key]
+            self.number[node] = k
+        self.number, self.longest = np.array(self.number), max(map(len, pieces), default=1)
+        self.keys = np.array(sorted(nodes) or [-1])
+        self.to = np.array([nodes.get(k, 0) for k in self.keys.tolist()])
+
+    def edges(self, words: list[str]):
+        """:func:`edge_lists` of many words at once: the words' lengths and numbers of edges, then all numbers, ends and lengths."""
+        lengths = np.array([len(w) for w in words], np.int64)
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        base = np.cumsum(lengths) - lengths
+        word = np.repeat(np.arange(len(words)), lengths)
+        left = (base + lengths)[word] - np.arange(len(codes))
+        char = np.searchsorted(self.chars, codes).clip(max=len(self.chars) - 1)
+        char[self.chars[char] != codes] = -1
+        at, node, single = np.arange(len(codes)), np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+        starts, sizes, pieces = [], [], []
+        for k in range(self.longest):
+            more = left[at] > k
+            at, node = at[more], node[more]
+            c = char[at + k]
+            key = node * len(self.chars) + c
+            found = np.searchsorted(self.keys, key).clip(max=len(self.keys) - 1)
+            hit = (c >= 0) & (self.keys[found] == key)
+            at, node = at[hit], self.to[found[hit]]
+            whole = self.number[node] >= 0
+            starts.append(at[whole])
+            pieces.append(self.number[node[whole]])
+            sizes.append(np.full(len(starts[-1]), k + 1))
+            if k == 0:
+                single[starts[0]] = True
+        alone = np.flatnonzero(~single)
+        start = np.concatenate([*starts, alone])
+        size, piece = np.concatenate([*sizes, np.ones(len(alone), np.int64)]), np.concatenate([*pieces, np.full(len(alone), -1)])
+        order = np.lexsort((start, start + size))
+        start, size, piece = start[order], size[order], piece[order]
+        return lengths, np.bincount(word[start], minlength=len(words)), piece, start + size - base[word[start]], size
+
+
+def best_of_all(words: list[str], trie: Trie, scores) -> list[str]:
+    """:func:`best` of many words without line breaks, each as its units with spaces between them."""
+    lengths, edges_of, piece, end, size = trie.edges(words)
+    lat, base = Lattices(lengths, edges_of, piece, end, size, scores), np.cumsum(lengths) - lengths
+    starts, strange = np.zeros(lengths.sum(), bool), np.zeros(lengths.sum(), bool)
+    for of, edges_ in lat.paths():
+        at = base[of] + lat.start[edges_]
+        starts[at], strange[at] = True, lat.piece[edges_] < 0
+    starts[1:] &= ~(strange[1:] & strange[:-1])    # unknown neighbours are one unit
+    starts[base] = True
+    at = np.flatnonzero(starts)[1:]
+    between = np.full(len(starts), ord(" "))
+    between[base] = ord("\n")
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+    return np.insert(codes, at, between[at]).astype("<u4").tobytes().decode("utf-32-le").split("\n")
+
+
 def lattices(words: DataFrame, pieces: dict[str, float]) -> DataFrame:
-    """``n, length, piece, end, size``: each word's count, length and lattice of ``pieces``, numbered in their order."""
-    ids, longest = {p: k for k, p in enumerate(pieces)}, max(map(len, pieces))
-    lists = pa.list_(pa.int32())
+    """``n, length, edges, piece, end``: of some thousand words a row, their counts, lengths and numbers
+    of edges, and the edges of their lattices of ``pieces``, numbered in their order, as arrays of numbers."""
+    trie = Trie(list(pieces))
 
     def run(batches):
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            found = [edge_lists(w, ids, longest) for w in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([len(w) for w in texts], pa.int32()),
-                                              *(pa.array([f[k] for f in found], lists) for k in range(3))],
-                                             names=["n", "length", "piece", "end", "size"])
+            if not batch.num_rows:
+                continue
+            lengths, edges_of, piece, end, _ = trie.edges(batch.column(0).to_pylist())
+            n = batch.column(1).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in zip(
+                (n, lengths, edges_of, piece, end), LATTICE)], names=["n", "length", "edges", "piece", "end"])
 
-    return words.select("word", "n").mapInArrow(run, "n long, length int, piece array<int>, end array<int>, size array<int>")
+    return words.select("word", "n").mapInArrow(run, "n binary, length binary, edges binary, piece binary, end binary")
 
 
 def counts_of(words: DataFrame, pieces: dict[str, float], stored: DataFrame | None = None,
@@ -225,15 +306,13 @@ def counts_of(words: DataFrame, pieces: dict[str, float], stored: DataFrame | No
     unknown = min(pieces.values()) - UNKNOWN
     scores = np.array([*(pieces.get(p, unknown if len(p) == 1 else -np.inf) for p in names), unknown])
 
+    sizes = np.array([*map(len, names), 1])
+
     def run(batches):
         total, all_, first = 0.0, np.zeros(len(scores)), np.zeros(len(scores))
-        for batch in batches:
-            n, lengths = (batch.column(k).to_numpy(zero_copy_only=False).astype(t) for k, t in ((0, float), (1, int)))
-            if not len(n):
-                continue
-            lists = [batch.column(k) for k in (2, 3, 4)]
-            edges_of = np.diff(lists[0].offsets.to_numpy())
-            lat = Lattices(lengths, edges_of, *(x.flatten().to_numpy(zero_copy_only=False) for x in lists), scores)
+        for row in (row for batch in batches for row in zip(*(batch.column(k) for k in range(5)))):
+            n, lengths, edges_of, piece, end = (np.frombuffer(x.as_buffer(), t).astype(np.int64) for x, t in zip(row, LATTICE))
+            n, lat = n.astype(float), Lattices(lengths, edges_of, piece, end, sizes[piece], scores)
             forward, backward = lat.forward(), lat.backward()
             likely = forward[lat.last]
             total += float(n @ likely)
@@ -299,6 +378,8 @@ def encode(lines: DataFrame, model: DataFrame, keys=("doc_id", "line_no"), text:
     longest = max(map(len, pieces), default=1)
     unknown = min(pieces.values(), default=0.0) - UNKNOWN
 
+    trie, scores = Trie(list(pieces)), np.array([*pieces.values(), unknown])
+
     def segment(batches):
         seen: dict[str, str] = {}
         for pdf in batches:
@@ -308,8 +389,8 @@ def encode(lines: DataFrame, model: DataFrame, keys=("doc_id", "line_no"), text:
             if len(seen) + len(new) > WORDS_KEPT:
                 seen.clear()
                 new = list(distinct)
-            for w in new:
-                seen[w] = " ".join(best(MARK + w, pieces, longest, unknown)[1])
+            for k in range(0, len(new), AT_ONCE):
+                seen.update(zip(new[k:k + AT_ONCE], best_of_all([MARK + w for w in new[k:k + AT_ONCE]], trie, scores)))
             pdf[text] = [" ".join([seen[w] for w in line]) for line in words]
             yield pdf
 
