@@ -72,7 +72,7 @@ def encode_lines(lines: DataFrame, proc: TextProcessor, models: Models | None =
     if proc.truecases:
         if models.cases is None:
             raise ValueError(f"{proc.name} needs a case model")
-        out = truecase.truecase(truecase.token_table(out, ids, text), models.cases, ids).withColumnRenamed("text", text)
+        out = truecase.truecase_lines(out, models.cases, ids, text).withColumnRenamed("text", text)
     if proc.subwords == "spm" and models.pieces is not None:
         out = unigram.encode(out, models.pieces, ids, text)
     elif proc.subwords:
